@@ -13,6 +13,7 @@ RUN_DATE = "1998-06-15"
 FX_FIRST_DAY = "1995-01-01"
 FX_DAYS = 2500
 BATCH_DATE = "2024-01-30"
+CODES = [f"C{number:02d}" for number in range(30)]
 ROW_ID = ["l_orderkey", "l_linenumber"]
 
 
@@ -22,13 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide transactions, one per order line, with every kind of defect the rules look for."""
-    code = F.concat(F.lit("C"), F.lpad((F.col("l_suppkey") % 30).cast("string"), 2, "0"))
-    currency = (
-        F.when(F.col("l_partkey") % 41 == 0, F.lit(None).cast("string"))
-        .when(F.col("l_partkey") % 37 == 0, F.lit("   "))
-        .when(F.col("l_partkey") % 11 == 0, F.concat(F.lit(" "), code, F.lit(" ")))
-        .otherwise(code)
+    plain_code = (F.col("l_suppkey") % len(CODES)).cast("int")
+    spelling = (
+        F.when(F.col("l_partkey") % 41 == 0, F.lit(None).cast("int"))
+        .when(F.col("l_partkey") % 37 == 0, F.lit(2 * len(CODES)))
+        .when(F.col("l_partkey") % 11 == 0, plain_code + len(CODES))
+        .otherwise(plain_code)
     )
+    currency = F.get(F.lit([*CODES, *[f" {code} " for code in CODES], "   "]), spelling)
     price = F.col("l_extendedprice")
     amount = F.when(F.col("l_partkey") % 47 == 0, -price).otherwise(price).cast(MONEY)
     side = (

@@ -41,9 +41,10 @@ def merge_changes(
         return untouched.unionAll(applied)
     batch = latest.select(key, F.struct(*latest.columns).alias("change"))
     merged = target.select(key, F.struct(*target.columns).alias("kept")).join(batch, key, "full_outer")
-    survivor = F.coalesce(F.struct(*[F.col(f"change.{c}").alias(c) for c in target.columns]), F.col("kept"))
+    unchanged = F.col("change").isNull()
+    applied = F.struct(*[F.col(f"change.{c}").alias(c) for c in target.columns])
     return (
-        merged.where(F.col("change").isNull() | (F.col(f"change.{op}") != DELETE))
-        .select(F.when(F.col("change").isNull(), F.col("kept")).otherwise(survivor).alias("row"))
+        merged.where(unchanged | (F.col(f"change.{op}") != DELETE))
+        .select(F.when(unchanged, F.col("kept")).otherwise(applied).alias("row"))
         .select("row.*")
     )

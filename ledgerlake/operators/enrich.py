@@ -53,6 +53,14 @@ def duplicate_rates(fx: DataFrame) -> DataFrame:
     )
 
 
+def require_unique_rates(fx: DataFrame) -> DataFrame:
+    """`fx` itself, or an error that names some of the doubled rates."""
+    doubled = duplicate_rates(fx).take(5)
+    if doubled:
+        raise ValueError(f"more than one rate per day and currency: {doubled}")
+    return fx
+
+
 def enrich_with_fx(
     txn: DataFrame, rates: DataFrame, limit: int = BROADCAST_BYTES
 ) -> DataFrame:

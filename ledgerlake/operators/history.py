@@ -69,17 +69,26 @@ def apply_to_history(
     run_date: str,
     key: str = "id",
     op: str = "op",
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The dimension after one batch with one change per key.
 
     Only keys whose attributes changed are closed, at `run_date`, and get a new version.
-    Closed versions are passed through without a shuffle; open versions meet the batch in
-    one join. Applying the same batch again changes nothing.
+    Closed versions are passed through without a shuffle, and so are the open versions of
+    untouched keys while the batch's keys are small enough to broadcast. The others meet the
+    batch in one join. Applying the same batch again changes nothing.
     """
     start = F.lit(run_date).cast("date")
     columns = ["sk", key, *attributes, "start_date", "end_date"]
     dimension = dimension.select(columns)
+    passed = dimension.where(F.col("end_date").isNotNull())
     current = dimension.where(F.col("end_date").isNull())
+    touched = latest.select(key)
+    if fits_broadcast(touched, limit):
+        passed = passed.unionAll(
+            current.join(F.broadcast(touched), key, "left_anti").select(columns)
+        )
+        current = current.join(F.broadcast(touched), key, "left_semi")
     met = current.select(key, F.struct(*columns).alias("now")).join(
         latest.select(key, F.struct(op, *attributes).alias("change")), key, "full_outer"
     )
@@ -112,7 +121,7 @@ def apply_to_history(
         version("change", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(run_date))), start, no_end),
     )
     versions = met.select(F.explode(F.array_compact(F.array(kept, added))).alias("v")).select("v.*")
-    return dimension.where(F.col("end_date").isNotNull()).unionAll(versions.select(columns))
+    return passed.unionAll(versions.select(columns))
 
 
 def lookup_version(

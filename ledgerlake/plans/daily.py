@@ -15,6 +15,7 @@ from ledgerlake.operators.enrich import (
     enrich_by_date,
     enrich_with_fx,
     reject_unknown_currency,
+    require_unique_rates,
 )
 from ledgerlake.operators.project import (
     add_amount_column,
@@ -34,7 +35,7 @@ from ledgerlake.operators.validate import (
 )
 from ledgerlake.plans.layout import LakePaths
 from ledgerlake.schemas import BRONZE, INGESTION_DATE, TRANSACTIONS
-from ledgerlake.sinks.lake import cluster_by_date, write_dates, write_day, write_output
+from ledgerlake.sinks.lake import partitions_for, replace_dates, stored_bytes, write_day
 from ledgerlake.sources.lake import read_day, read_days, read_fx_data, read_fx_days, read_transactions
 from ledgerlake.sources.landing import CORRUPT, read_csv, split_corrupt
 
@@ -90,10 +91,21 @@ def bronze_rows(raw: DataFrame, run_date: str) -> DataFrame:
 
 
 def run_bronze(
-    spark: SparkSession, paths: LakePaths, run_date: str, files: int | None = None
+    spark: SparkSession,
+    paths: LakePaths,
+    run_date: str,
+    files: int | None = None,
+    file_bytes: int | None = None,
 ) -> str:
-    """Raw Parquet of one day to bronze, under the bronze schema."""
+    """Raw Parquet of one day to bronze, under the bronze schema.
+
+    By default each task writes the rows it read. `files` or `file_bytes` (one file per that
+    many raw bytes) ask for a layout of its own, at the cost of a shuffle.
+    """
     raw = read_day(spark, paths.raw, run_date)
+    if file_bytes is not None:
+        stored = stored_bytes(spark, f"{paths.raw}/{INGESTION_DATE}={run_date}")
+        files = partitions_for(stored, file_bytes)
     rows = conform(bronze_rows(raw, run_date), BRONZE)
     return write_day(rows, paths.bronze, run_date, files=files)
 
@@ -148,7 +160,7 @@ def run_gold(
     """
     txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE.names)
     since = _shift_days(run_date, -max_lag_days)
-    fx = read_fx_days(spark, paths.fx, since, _shift_days(run_date, 1))
+    fx = require_unique_rates(read_fx_days(spark, paths.fx, since, _shift_days(run_date, 1)))
     counters = Observation("gold")
     rows = gold_rows(txn, fx, max_lag_days).observe(counters, *quality_counters())
     outcome = F.when(F.col(REJECT_REASON).isNull(), F.lit("valid")).otherwise(F.lit("reject"))
@@ -172,7 +184,7 @@ def run_backfill(spark: SparkSession, paths: LakePaths, since: str, until: str)
     """The per-currency table for all dates [since, until), in one job."""
     txn = read_days(spark, paths.bronze, since, until)
     rates = effective_rates(read_fx_days(spark, paths.fx, since, until))
-    write_output(currency_aggregate_by_date(txn, rates), paths.currency_agg)
+    replace_dates(currency_aggregate_by_date(txn, rates), paths.currency_agg, since, until)
 
 
 def run_detail_backfill(spark: SparkSession, paths: LakePaths, since: str, until: str) -> None:
@@ -181,7 +193,7 @@ def run_detail_backfill(spark: SparkSession, paths: LakePaths, since: str, until
     valid = validate_transactions(txn).transform(add_currency_column).transform(add_amount_column)
     rates = effective_rates(read_fx_days(spark, paths.fx, since, until))
     rows = enrich_by_date(valid, rates, date_column=INGESTION_DATE).transform(convert_to_sgd)
-    write_dates(cluster_by_date(rows), paths.detail)
+    replace_dates(rows, paths.detail, since, until)
 
 
 def _shift_days(day: str, days: int) -> str:

@@ -7,6 +7,7 @@ a table cannot be read and replaced in the same job, and the old version allows
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,14 +74,22 @@ def run_fact_load(
     until: str,
     fact_id: str,
     fact_date: str,
-    loaded: DataFrame | None = None,
 ) -> None:
-    """Append the facts of [since, until) that are not loaded yet, with dimension keys."""
-    known = facts.limit(0) if loaded is None else loaded
+    """Append the facts of [since, until) that are not loaded yet, with dimension keys.
+
+    Facts that arrive late join those of their day that are there already; running the same
+    load again appends nothing.
+    """
+    try:
+        loaded = spark.read.parquet(paths.fact)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        loaded = facts.limit(0)
     dimension = _version(spark, paths.dimension, version)
-    rows = load_facts(facts, known, dimension, fact_id, fact_date, since, until)
+    rows = load_facts(facts, loaded, dimension, fact_id, fact_date, since, until)
     dated = rows.withColumn(EVENT_DATE, F.col(fact_date).cast("string"))
-    write_dates(cluster_by_date(dated, EVENT_DATE), paths.fact, EVENT_DATE)
+    cluster_by_date(dated, EVENT_DATE).write.mode("append").partitionBy(EVENT_DATE).parquet(paths.fact)
 
 
 def fact_report(

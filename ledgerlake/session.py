@@ -38,7 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
     setting is required, because a folder of one machine is lost with that machine.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
     if not context.master.startswith("local"):

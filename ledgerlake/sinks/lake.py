@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,31 @@ def write_dates(df: DataFrame, root: str, *partitions: str, compression: str = "
     )
 
 
+def replace_dates(
+    df: DataFrame, root: str, since: str, until: str, partition: str = INGESTION_DATE
+) -> None:
+    """Replace all dates of [since, until), also those that `df` has no rows for any more.
+
+    A dynamic overwrite leaves a date alone when it gets no rows. Such a date still has the
+    files it had before; its folder is then overwritten with no rows.
+    """
+    spark = df.sparkSession
+    try:
+        before = stored_files(spark, root).select("path")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        before = None
+    write_output(df, root, partition)
+    if before is None:
+        return
+    day = F.col(partition)
+    kept = stored_files(spark, root).where((day >= since) & (day < until))
+    stale = kept.join(before, "path", "left_semi").select(day.cast("string").alias("day")).distinct()
+    for row in stale.collect():  # at most the days of the period
+        write_day(df.limit(0), root, row["day"], partition)
+
+
 def cluster_by_date(df: DataFrame, *partitions: str) -> DataFrame:
     """Bring the rows of a date together before `write_dates`.
 
@@ -71,10 +97,15 @@ def partitions_for(total_bytes: int, target_bytes: int = FILE_BYTES) -> int:
     return max(1, math.ceil(total_bytes / target_bytes))
 
 
-def stored_bytes(spark: SparkSession, root: str) -> int:
-    """Bytes of the Parquet files below `root`. The files are listed, not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+def stored_files(spark: SparkSession, root: str, names: str = "*.parquet") -> DataFrame:
+    """(path, length, partition columns) of the files below `root`, which are listed, not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(root)
+    return files.drop("content", "modificationTime")
+
+
+def stored_bytes(spark: SparkSession, root: str, names: str = "*.parquet") -> int:
+    total = F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
+    return stored_files(spark, root, names).agg(total).first()["bytes"]
 
 
 def write_fx(rates: DataFrame, root: str) -> None:
@@ -106,9 +137,7 @@ def compact(
     """
     layer = spark.read.parquet(source)
     sizes = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(source)
+        stored_files(spark, source)
         .groupBy(partition)
         .agg(F.sum("length").alias("bytes"))
         .select(partition, F.ceil(F.col("bytes") / target_bytes).cast("int").alias("__files"))
