@@ -334,7 +334,9 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "compaction")
     txn = fx_in.yearly_batches(fx_in.transactions(spark, sf_dir)).drop("chq_no")
     sink.write_dates(txn.repartition(16), f"{root}/small")
-    sink.compact(spark, f"{root}/small", f"{root}/compact", target_bytes=256 * 1024)
+    sink.compact(
+        spark, f"{root}/small", f"{root}/compact", "1995-01-01", "2002-01-01", target_bytes=256 * 1024
+    )
     return lake.read_days(spark, f"{root}/compact", "1995-01-01", "2002-01-01")
 
 
@@ -504,11 +506,14 @@ def cdc_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads: everything before the last day, then the last day as a batch."""
     root = scratch_path(spark, "warehouse")
     paths = WarehousePaths.under(root)
-    warehouse.run_curation(_land_feed(spark, sf_dir, root), paths)
+    feed = _land_feed(spark, sf_dir, root)
+    in_batch = F.to_date("updated_at") >= F.lit(BATCH_DATE).cast("date")
     claims = fx_in.claims(spark, sf_dir)
     keys = ("claim_id", "claim_date")
-    warehouse.run_initial_load(spark, paths, BATCH_DATE, "initial")
+    warehouse.run_curation(feed.where(~in_batch), paths, "initial")
+    warehouse.run_initial_load(spark, paths, "initial")
     warehouse.run_fact_load(spark, claims, paths, "initial", "2024-01-01", BATCH_DATE, *keys)
+    warehouse.run_curation(feed.where(in_batch), paths, BATCH_DATE)
     warehouse.run_batch(spark, paths, BATCH_DATE, "initial")
     warehouse.run_fact_load(spark, claims, paths, BATCH_DATE, BATCH_DATE, "2024-02-01", *keys)
     facts = spark.read.parquet(paths.fact)

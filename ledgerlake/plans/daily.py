@@ -164,14 +164,7 @@ def run_gold(
     counters = Observation("gold")
     rows = gold_rows(txn, fx, max_lag_days).observe(counters, *quality_counters())
     outcome = F.when(F.col(REJECT_REASON).isNull(), F.lit("valid")).otherwise(F.lit("reject"))
-    (
-        rows.drop(INGESTION_DATE)
-        .withColumn("outcome", outcome)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("outcome")
-        .parquet(f"{paths.gold}/{INGESTION_DATE}={run_date}")
-    )
+    write_day(rows.withColumn("outcome", outcome), paths.gold, run_date, within=("outcome",))
     return counters.get
 
 

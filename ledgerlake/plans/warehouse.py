@@ -18,46 +18,54 @@ from ledgerlake.operators.history import apply_to_history, build_history, load_f
 from ledgerlake.operators.project import add_event_partitions
 from ledgerlake.plans.layout import WarehousePaths
 from ledgerlake.schemas import CHANGES
-from ledgerlake.sinks.lake import cluster_by_date, write_dates, write_day
-from ledgerlake.sources.lake import read_day, read_versions
+from ledgerlake.sinks.lake import cluster_by_date, write_day
+from ledgerlake.sources.lake import read_day
 
+DELIVERY = "delivery"
 VERSION = "version"
 BATCH = "batch"
 EVENT_DATE = "date"
 STATE_COLUMNS = ["id", "seq", "segment", "value", "email", "phone"]
 TRACKED = ["segment"]
+_CURATED = T.StructType(
+    [*CHANGES.fields, T.StructField(EVENT_DATE, T.StringType()), T.StructField(DELIVERY, T.StringType())]
+)
 
 
-def run_curation(feed: DataFrame, paths: WarehousePaths) -> None:
-    """Conformed changes to Parquet by event date."""
-    dated = add_event_partitions(feed, "updated_at")
-    write_dates(cluster_by_date(dated, EVENT_DATE), paths.curated, EVENT_DATE)
+def run_curation(feed: DataFrame, paths: WarehousePaths, delivery: str) -> None:
+    """One delivery of conformed changes to Parquet, by event date within the delivery.
+
+    A delivery may hold late events of earlier dates; they do not touch what other deliveries
+    brought for those dates.
+    """
+    dated = cluster_by_date(add_event_partitions(feed, "updated_at"), EVENT_DATE)
+    write_day(dated, paths.curated, delivery, DELIVERY, within=(EVENT_DATE,))
 
 
-def _curated(spark: SparkSession, paths: WarehousePaths) -> DataFrame:
-    schema = T.StructType([*CHANGES.fields, T.StructField(EVENT_DATE, T.StringType())])
-    return read_versions(spark, paths.curated, schema)
+def _curated(spark: SparkSession, paths: WarehousePaths, delivery: str) -> DataFrame:
+    """The changes of one delivery under the target schema."""
+    return read_day(spark, paths.curated, delivery, DELIVERY, _CURATED).select(CHANGES.names)
 
 
 def _version(spark: SparkSession, root: str, version: str) -> DataFrame:
     return read_day(spark, root, version, VERSION).drop(VERSION)
 
 
-def run_initial_load(spark: SparkSession, paths: WarehousePaths, until: str, version: str) -> None:
-    """Latest state and dimension history from all curated changes before `until`."""
-    changes = _curated(spark, paths).where(F.col(EVENT_DATE) < until)
+def run_initial_load(spark: SparkSession, paths: WarehousePaths, delivery: str) -> None:
+    """Latest state and dimension history from a first delivery with all changes so far."""
+    changes = _curated(spark, paths, delivery)
     state = latest_changes(changes).where(F.col("op") != DELETE).select(STATE_COLUMNS)
-    write_day(state, paths.ods, version, VERSION)
-    write_day(build_history(changes, TRACKED), paths.dimension, version, VERSION)
+    write_day(state, paths.ods, delivery, VERSION)
+    write_day(build_history(changes, TRACKED), paths.dimension, delivery, VERSION)
 
 
 def run_batch(spark: SparkSession, paths: WarehousePaths, run_date: str, previous: str) -> None:
-    """One day's changes into latest state and dimension.
+    """The delivery of `run_date` into latest state and dimension.
 
     The last change per key is staged once as a table; both merges read it.
     """
-    changes = _curated(spark, paths).where(F.col(EVENT_DATE) == run_date)
-    write_day(latest_changes(changes).drop(EVENT_DATE), paths.staging, run_date, BATCH)
+    latest = latest_changes(_curated(spark, paths, run_date))
+    write_day(latest, paths.staging, run_date, BATCH)
     staged = read_day(spark, paths.staging, run_date, BATCH)
     state = merge_changes(_version(spark, paths.ods, previous), staged)
     write_day(state, paths.ods, run_date, VERSION)

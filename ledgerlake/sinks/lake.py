@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.keys import row_hash
 from ledgerlake.operators.joins import lookup_join
 from ledgerlake.schemas import INGESTION_DATE
+from ledgerlake.sources.lake import read_day, read_days
 
 FILE_BYTES = 128 * 1024 * 1024
 
@@ -21,16 +22,18 @@ def write_day(
     run_date: str,
     partition: str = INGESTION_DATE,
     files: int | None = None,
+    within: tuple[str, ...] = (),
 ) -> str:
     """Replace one day of a layer, also when `df` is empty. Returns the day's path.
 
     Writing into the day's folder needs no sort by partition and leaves no rows of an
-    earlier run. Without `files` the rows are written where they are, one file per task;
-    a number costs a round-robin shuffle.
+    earlier run, in none of the folders `within` the day. Without `files` the rows are
+    written where they are, one file per task; a number costs a round-robin shuffle.
     """
     leaf = f"{root}/{partition}={run_date}"
     laid_out = df.drop(partition) if files is None else df.drop(partition).repartition(files)
-    laid_out.write.mode("overwrite").parquet(leaf)
+    writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*within) if within else writer).parquet(leaf)
     return leaf
 
 
@@ -68,18 +71,17 @@ def replace_dates(
     """
     spark = df.sparkSession
     try:
-        before = stored_files(spark, root).select("path")
+        listed_before = stored_files(spark, root)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        before = None
-    write_output(df, root, partition)
-    if before is None:
+        write_output(df, root, partition)
         return
+    write_output(df, root, partition)
+    # The list was made before the write: what is still found was not replaced.
     day = F.col(partition)
-    kept = stored_files(spark, root).where((day >= since) & (day < until))
-    stale = kept.join(before, "path", "left_semi").select(day.cast("string").alias("day")).distinct()
-    for row in stale.collect():  # at most the days of the period
+    stale = listed_before.where((day >= since) & (day < until))
+    for row in stale.select(day.cast("string").alias("day")).distinct().collect():  # days of the period
         write_day(df.limit(0), root, row["day"], partition)
 
 
@@ -99,7 +101,12 @@ def partitions_for(total_bytes: int, target_bytes: int = FILE_BYTES) -> int:
 
 def stored_files(spark: SparkSession, root: str, names: str = "*.parquet") -> DataFrame:
     """(path, length, partition columns) of the files below `root`, which are listed, not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(root)
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", names)
+        .option("ignoreMissingFiles", True)
+        .load(root)
+    )
     return files.drop("content", "modificationTime")
 
 
@@ -123,26 +130,50 @@ def write_fx(rates: DataFrame, root: str) -> None:
     write_dates(cluster_by_date(dated, *layout), root, *layout)
 
 
+def compact_day(
+    spark: SparkSession,
+    source: str,
+    destination: str,
+    run_date: str,
+    partition: str = INGESTION_DATE,
+    target_bytes: int = FILE_BYTES,
+) -> str:
+    """Rewrite one day to a new place with files of about `target_bytes`, without a shuffle.
+
+    Each task reads as many of the small files as one large file holds.
+    """
+    stored = stored_bytes(spark, f"{source}/{partition}={run_date}")
+    day = read_day(spark, source, run_date, partition)
+    return write_day(
+        day.coalesce(partitions_for(stored, target_bytes)), destination, run_date, partition
+    )
+
+
 def compact(
     spark: SparkSession,
     source: str,
     destination: str,
+    since: str,
+    until: str,
     partition: str = INGESTION_DATE,
     target_bytes: int = FILE_BYTES,
 ) -> None:
-    """Rewrite a layer to a new place with files of about `target_bytes`.
+    """Rewrite the days [since, until) to a new place with files of about `target_bytes`.
 
     The stored bytes of each date give its number of files; the rows of a date are spread over
-    that many shuffle keys, so one large date is not rewritten by one task.
+    that many shuffle keys, so one large date is not rewritten by one task. The period bounds
+    the number of shuffle partitions; use `compact_day` where a single day has thousands.
     """
-    layer = spark.read.parquet(source)
+    layer = read_days(spark, source, since, until, partition)
+    day = F.col(partition)
     sizes = (
         stored_files(spark, source)
-        .groupBy(partition)
+        .where((day >= since) & (day < until))
+        .groupBy(day.cast("string").alias(partition))
         .agg(F.sum("length").alias("bytes"))
         .select(partition, F.ceil(F.col("bytes") / target_bytes).cast("int").alias("__files"))
     )
-    total = max(1, sizes.agg(F.sum("__files").alias("n")).first()["n"] or 1)
+    total = sizes.agg(F.coalesce(F.sum("__files"), F.lit(1)).alias("n")).first()["n"]
     spread = (
         lookup_join(layer.withColumn("__file", row_hash(layer.columns)), sizes, [partition])
         .withColumn("__file", F.pmod("__file", "__files").cast("int"))
