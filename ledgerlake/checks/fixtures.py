@@ -33,15 +33,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     currency = F.get(F.lit([*CODES, *[f" {code} " for code in CODES], "   "]), spelling)
     price = F.col("l_extendedprice")
     amount = F.when(F.col("l_partkey") % 47 == 0, -price).otherwise(price).cast(MONEY)
-    side = (
-        F.when(F.col("l_orderkey") % 50 == 0, "B")
-        .when(F.col("l_orderkey") % 53 == 0, "X")
-        .when(F.col("l_returnflag") == "R", "W")
-        .otherwise("D")
-    )
+    both = F.col("l_orderkey") % 50 == 0
+    one = F.col("l_orderkey") % 53 != 0
+    withdrawn = both | (one & (F.col("l_returnflag") == "R"))
+    deposited = both | (one & (F.col("l_returnflag") != "R"))
     day = F.col("l_shipdate").cast("date").cast("string")
     account = F.concat(F.lit(" AC"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0"))
-    withdrawn, deposited = side.isin("W", "B"), side.isin("D", "B")
     return table(spark, sf_dir, "lineitem").select(
         account.alias("account_no"),
         day.alias("date"),

@@ -21,6 +21,7 @@ from ledgerlake.sources import lake, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+LANDED_FILES = 16
 V2_SINCE = "2024-01-16"
 FIX_DATE = "1998-12-31"
 
@@ -71,7 +72,7 @@ def q1_row_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land_raw(spark: SparkSession, paths: LakePaths, sf_dir: str) -> None:
-    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE)
+    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
     sink.write_fx(fx_in.fx_rates(spark, sf_dir).where(F.col("run_date") == RUN_DATE), paths.fx)
 
 
@@ -272,7 +273,7 @@ def salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def bronze_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = LakePaths.under(scratch_path(spark, "bronze"))
-    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE)
+    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
     daily.run_bronze(spark, paths, RUN_DATE, files=8)
     return lake.read_transactions(spark, paths.bronze, RUN_DATE)
 
@@ -286,6 +287,7 @@ def _land_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
         fx_in.transactions(spark, sf_dir)
         .withColumn("balance_amt", balance)
         .select(TRANSACTIONS.names)
+        .repartition(LANDED_FILES)
         .write.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -333,7 +335,7 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "compaction")
     txn = fx_in.yearly_batches(fx_in.transactions(spark, sf_dir)).drop("chq_no")
-    sink.write_dates(txn.repartition(16), f"{root}/small")
+    sink.write_dates(txn.repartition(LANDED_FILES), f"{root}/small")
     sink.compact(
         spark, f"{root}/small", f"{root}/compact", "1995-01-01", "2002-01-01", target_bytes=256 * 1024
     )
@@ -375,7 +377,7 @@ def _land_feed(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     schemas = {"v1": CHANGES_V1, "v2": CHANGES}
     for name, version in zip(schemas, _two_versions(spark, sf_dir), strict=True):
         as_text = version.withColumn("updated_at", F.col("updated_at").cast("string"))
-        as_text.repartition(16).write.option("header", True).csv(f"{root}/landed/{name}")
+        as_text.repartition(LANDED_FILES).write.option("header", True).csv(f"{root}/landed/{name}")
     return landing.read_change_feed(
         spark, {f"{root}/landed/{name}": schema for name, schema in schemas.items()}, CHANGES
     )
@@ -425,7 +427,7 @@ def gold_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch with all transactions through the gold job; counts per outcome and currency."""
     paths = LakePaths.under(scratch_path(spark, "gold"))
-    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE)
+    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
     two_days = F.col("run_date").isin(RUN_DATE, "1998-06-14")
     sink.write_fx(fx_in.fx_rates(spark, sf_dir).where(two_days), paths.fx)
     daily.run_bronze(spark, paths, RUN_DATE)

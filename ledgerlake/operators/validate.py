@@ -44,6 +44,10 @@ def _either(first: str, second: str) -> Column:
     return F.col(first).isNotNull() | F.col(second).isNotNull()
 
 
+def _has_text(column: str) -> Column:
+    return F.coalesce(trimmed(column) != "", F.lit(False))
+
+
 def validate_transactions(df: DataFrame) -> DataFrame:
     """Rows with an amount and a currency on whichever side. The condition reaches the scan."""
     return df.where(
@@ -69,8 +73,8 @@ def reject_rules() -> list[tuple[str, Column]]:
     """(reason, condition), most basic rule first. No condition is ever null."""
     withdrawn = F.col("withdrawal_amt").isNotNull()
     deposited = F.col("deposit_amt").isNotNull()
-    in_withdrawal_currency = trimmed("withdrawal_currency", blank_as_null=True).isNotNull()
-    in_deposit_currency = trimmed("deposit_currency", blank_as_null=True).isNotNull()
+    in_withdrawal_currency = _has_text("withdrawal_currency")
+    in_deposit_currency = _has_text("deposit_currency")
     smallest = F.least("withdrawal_amt", "deposit_amt")  # skips nulls
     return [
         ("both_amounts", withdrawn & deposited),
