@@ -512,14 +512,15 @@ def cdc_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     in_batch = F.to_date("updated_at") >= F.lit(BATCH_DATE).cast("date")
     claims = fx_in.claims(spark, sf_dir)
     keys = ("claim_id", "claim_date")
-    warehouse.run_curation(feed.where(~in_batch), paths, "initial")
-    warehouse.run_initial_load(spark, paths, "initial")
+    customers = warehouse.Feed(CHANGES, tracked=("segment",))
+    warehouse.run_curation(feed.where(~in_batch), customers, paths, "initial")
+    warehouse.run_initial_load(spark, customers, paths, "initial")
     warehouse.run_fact_load(spark, claims, paths, "initial", "2024-01-01", BATCH_DATE, *keys)
-    warehouse.run_curation(feed.where(in_batch), paths, BATCH_DATE)
-    warehouse.run_batch(spark, paths, BATCH_DATE, "initial")
+    warehouse.run_curation(feed.where(in_batch), customers, paths, BATCH_DATE)
+    warehouse.run_batch(spark, customers, paths, BATCH_DATE, "initial")
     warehouse.run_fact_load(spark, claims, paths, BATCH_DATE, BATCH_DATE, "2024-02-01", *keys)
     facts = spark.read.parquet(paths.fact)
-    dimension = lake.read_day(spark, paths.dimension, BATCH_DATE, warehouse.VERSION)
+    dimension = warehouse.read_version(spark, paths.dimension, BATCH_DATE)
     versions = dimension.select("sk", "segment", "start_date", "end_date")
     return joins.lookup_join(facts, versions, ["sk"], "left").select(
         "claim_id", "id", "claim_date", "amount", "sk", "segment", "start_date", "end_date"

@@ -36,7 +36,8 @@ def merge_changes(
     """
     touched = latest.select(key)
     if fits_broadcast(touched, limit):
-        untouched = target.join(F.broadcast(touched), key, "left_anti")
+        # A join by column name puts the key first.
+        untouched = target.join(F.broadcast(touched), key, "left_anti").select(target.columns)
         applied = latest.where(F.col(op) != DELETE).select(target.columns)
         return untouched.unionAll(applied)
     batch = latest.select(key, F.struct(*latest.columns).alias("change"))

@@ -5,6 +5,8 @@ A version is valid in [start_date, end_date); an open version has no end date.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def _differs(left: list[Column], right: list[Column]) -> Column:
 
 def build_history(
     changes: DataFrame,
-    attributes: list[str],
+    attributes: Sequence[str],
     key: str = "id",
     updated_at: str = "updated_at",
     order: tuple[str, ...] = ("updated_at", "seq"),
@@ -65,7 +67,7 @@ def build_history(
 def apply_to_history(
     dimension: DataFrame,
     latest: DataFrame,
-    attributes: list[str],
+    attributes: Sequence[str],
     run_date: str,
     key: str = "id",
     op: str = "op",

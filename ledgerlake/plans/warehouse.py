@@ -7,6 +7,8 @@ a table cannot be read and replaced in the same job, and the old version allows
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,8 @@ from pyspark.sql import types as T
 from ledgerlake.operators.aggregate import reconcile
 from ledgerlake.operators.changes import DELETE, latest_changes, merge_changes
 from ledgerlake.operators.history import apply_to_history, build_history, load_facts
-from ledgerlake.operators.project import add_event_partitions
+from ledgerlake.operators.project import add_event_partitions, conform
 from ledgerlake.plans.layout import WarehousePaths
-from ledgerlake.schemas import CHANGES
 from ledgerlake.sinks.lake import cluster_by_date, write_day
 from ledgerlake.sources.lake import read_day
 
@@ -25,52 +26,82 @@ DELIVERY = "delivery"
 VERSION = "version"
 BATCH = "batch"
 EVENT_DATE = "date"
-STATE_COLUMNS = ["id", "seq", "segment", "value", "email", "phone"]
-TRACKED = ["segment"]
-_CURATED = T.StructType(
-    [*CHANGES.fields, T.StructField(EVENT_DATE, T.StringType()), T.StructField(DELIVERY, T.StringType())]
-)
 
 
-def run_curation(feed: DataFrame, paths: WarehousePaths, delivery: str) -> None:
-    """One delivery of conformed changes to Parquet, by event date within the delivery.
+@dataclass(frozen=True)
+class Feed:
+    """What the steps need to know about one source table's changes."""
+
+    schema: T.StructType
+    tracked: tuple[str, ...]
+    key: str = "id"
+    op: str = "op"
+    updated_at: str = "updated_at"
+    sequence: str = "seq"
+
+    @property
+    def order(self) -> tuple[str, str]:
+        return (self.updated_at, self.sequence)
+
+    @property
+    def state_columns(self) -> list[str]:
+        return [name for name in self.schema.names if name not in (self.op, self.updated_at)]
+
+    @property
+    def curated_schema(self) -> T.StructType:
+        folders = [T.StructField(name, T.StringType()) for name in (EVENT_DATE, DELIVERY)]
+        return T.StructType([*self.schema.fields, *folders])
+
+
+def run_curation(changes: DataFrame, feed: Feed, paths: WarehousePaths, delivery: str) -> None:
+    """One delivery of changes to Parquet under the target schema, by event date.
 
     A delivery may hold late events of earlier dates; they do not touch what other deliveries
     brought for those dates.
     """
-    dated = cluster_by_date(add_event_partitions(feed, "updated_at"), EVENT_DATE)
-    write_day(dated, paths.curated, delivery, DELIVERY, within=(EVENT_DATE,))
+    dated = add_event_partitions(conform(changes, feed.schema), feed.updated_at)
+    write_day(
+        cluster_by_date(dated, EVENT_DATE), paths.curated, delivery, DELIVERY, within=(EVENT_DATE,)
+    )
 
 
-def _curated(spark: SparkSession, paths: WarehousePaths, delivery: str) -> DataFrame:
-    """The changes of one delivery under the target schema."""
-    return read_day(spark, paths.curated, delivery, DELIVERY, _CURATED).select(CHANGES.names)
+def read_curated(spark: SparkSession, feed: Feed, paths: WarehousePaths, delivery: str) -> DataFrame:
+    """The changes of one delivery; columns that its files lack are null."""
+    return read_day(spark, paths.curated, delivery, DELIVERY, feed.curated_schema).select(
+        feed.schema.names
+    )
 
 
-def _version(spark: SparkSession, root: str, version: str) -> DataFrame:
+def read_version(spark: SparkSession, root: str, version: str) -> DataFrame:
+    """One version of the latest state or of the dimension."""
     return read_day(spark, root, version, VERSION).drop(VERSION)
 
 
-def run_initial_load(spark: SparkSession, paths: WarehousePaths, delivery: str) -> None:
+def run_initial_load(spark: SparkSession, feed: Feed, paths: WarehousePaths, delivery: str) -> None:
     """Latest state and dimension history from a first delivery with all changes so far."""
-    changes = _curated(spark, paths, delivery)
-    state = latest_changes(changes).where(F.col("op") != DELETE).select(STATE_COLUMNS)
+    changes = read_curated(spark, feed, paths, delivery)
+    latest = latest_changes(changes, feed.key, feed.order)
+    state = latest.where(F.col(feed.op) != DELETE).select(feed.state_columns)
     write_day(state, paths.ods, delivery, VERSION)
-    write_day(build_history(changes, TRACKED), paths.dimension, delivery, VERSION)
+    dimension = build_history(changes, feed.tracked, feed.key, feed.updated_at, feed.order, feed.op)
+    write_day(dimension, paths.dimension, delivery, VERSION)
 
 
-def run_batch(spark: SparkSession, paths: WarehousePaths, run_date: str, previous: str) -> None:
+def run_batch(
+    spark: SparkSession, feed: Feed, paths: WarehousePaths, run_date: str, previous: str
+) -> None:
     """The delivery of `run_date` into latest state and dimension.
 
     The last change per key is staged once as a table; both merges read it.
     """
-    latest = latest_changes(_curated(spark, paths, run_date))
+    latest = latest_changes(read_curated(spark, feed, paths, run_date), feed.key, feed.order)
     write_day(latest, paths.staging, run_date, BATCH)
     staged = read_day(spark, paths.staging, run_date, BATCH)
-    state = merge_changes(_version(spark, paths.ods, previous), staged)
+    state = merge_changes(read_version(spark, paths.ods, previous), staged, feed.key, feed.op)
     write_day(state, paths.ods, run_date, VERSION)
-    dimension = _version(spark, paths.dimension, previous)
-    write_day(apply_to_history(dimension, staged, TRACKED, run_date), paths.dimension, run_date, VERSION)
+    dimension = read_version(spark, paths.dimension, previous)
+    versions = apply_to_history(dimension, staged, feed.tracked, run_date, feed.key, feed.op)
+    write_day(versions, paths.dimension, run_date, VERSION)
 
 
 def run_fact_load(
@@ -82,6 +113,7 @@ def run_fact_load(
     until: str,
     fact_id: str,
     fact_date: str,
+    key: str = "id",
 ) -> None:
     """Append the facts of [since, until) that are not loaded yet, with dimension keys.
 
@@ -94,8 +126,8 @@ def run_fact_load(
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         loaded = facts.limit(0)
-    dimension = _version(spark, paths.dimension, version)
-    rows = load_facts(facts, loaded, dimension, fact_id, fact_date, since, until)
+    dimension = read_version(spark, paths.dimension, version)
+    rows = load_facts(facts, loaded, dimension, fact_id, fact_date, since, until, key)
     dated = rows.withColumn(EVENT_DATE, F.col(fact_date).cast("string"))
     cluster_by_date(dated, EVENT_DATE).write.mode("append").partitionBy(EVENT_DATE).parquet(paths.fact)
 
@@ -104,5 +136,5 @@ def fact_report(
     spark: SparkSession, facts: DataFrame, paths: WarehousePaths, fact_date: str, measures: list[str]
 ) -> DataFrame:
     """Counts and sums per day of the delivered facts and of the fact table."""
-    table = spark.read.parquet(paths.fact).select(F.col(fact_date), *measures)
+    table = spark.read.parquet(paths.fact).select(fact_date, *measures)
     return reconcile(facts.select(fact_date, *measures), table, [fact_date], measures)
