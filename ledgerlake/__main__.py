@@ -12,9 +12,11 @@ from ledgerlake.session import build_session
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="ledgerlake")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("bronze", "bronze-from-csv", "currency-agg", "silver-detail", "gold"):
+    for name in ("fx-ingest", "bronze", "bronze-from-csv", "currency-agg", "silver-detail", "gold"):
         job = jobs.add_parser(name)
         job.add_argument("--run-date", required=True)
+        if name == "fx-ingest":
+            job.add_argument("--reply", required=True, help="landed JSON of the day's rates")
         if name == "bronze-from-csv":
             job.add_argument("--csv", required=True, help="folder or glob of the day's files")
         if name.startswith("bronze") or name == "silver-detail":
@@ -34,7 +36,9 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = build_session(f"ledgerlake {args.job}")
     paths = LakePaths.under(args.lake)
-    if args.job == "bronze":
+    if args.job == "fx-ingest":
+        daily.run_fx_ingest(spark, args.reply, paths, args.run_date)
+    elif args.job == "bronze":
         daily.run_bronze(spark, paths, args.run_date, files=args.files)
     elif args.job == "bronze-from-csv":
         print(daily.run_bronze_from_csv(spark, args.csv, paths, args.run_date, files=args.files))

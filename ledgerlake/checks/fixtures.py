@@ -83,16 +83,15 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fx_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies of the rates service for the days that have transactions, one row per day."""
-    traded = transactions(spark, sf_dir).select(F.col("value_date").alias("run_date")).distinct()
-    rated = fx_rates(spark, sf_dir).where(F.col("rate_to_sgd").isNotNull())
+def fx_replies(rates: DataFrame) -> DataFrame:
+    """Replies of the rates service, one row per day."""
+    rated = rates.where(F.col("rate_to_sgd").isNotNull())
     # A day has at most one rate per nation.
     per_day = rated.groupBy("run_date", "base_currency").agg(
         F.map_from_entries(F.collect_list(F.struct("target_currency", "rate_to_sgd"))).alias("rates")
     )
     epoch_day = F.date_diff(F.col("run_date").cast("date"), F.lit("1970-01-01").cast("date"))
-    return per_day.join(traded, "run_date", "left_semi").select(
+    return per_day.select(
         (epoch_day.cast("long") * 86400).alias("timestamp"),
         F.col("base_currency").alias("base"),
         "rates",

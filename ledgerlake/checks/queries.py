@@ -73,7 +73,9 @@ def q1_row_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _land_raw(spark: SparkSession, paths: LakePaths, sf_dir: str) -> None:
     sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
-    sink.write_fx(fx_in.fx_rates(spark, sf_dir).where(F.col("run_date") == RUN_DATE), paths.fx)
+    reply = scratch_path(spark, "reply")
+    fx_in.fx_replies(fx_in.fx_rates(spark, sf_dir).where(F.col("run_date") == RUN_DATE)).write.json(reply)
+    daily.run_fx_ingest(spark, reply, paths, RUN_DATE)
 
 
 @registered
@@ -246,8 +248,9 @@ def backfill_detail_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def fx_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "fx")
-    replies = fx_in.fx_snapshots(spark, sf_dir)
-    replies.write.json(f"{root}/landed")
+    traded = fx_in.transactions(spark, sf_dir).select(F.col("value_date").alias("run_date")).distinct()
+    rates = fx_in.fx_rates(spark, sf_dir).join(traded, "run_date", "left_semi")
+    fx_in.fx_replies(rates).write.json(f"{root}/landed")
     return landing.read_fx_snapshot(spark, f"{root}/landed", multi_line=False)
 
 

@@ -35,9 +35,9 @@ from ledgerlake.operators.validate import (
 )
 from ledgerlake.plans.layout import LakePaths
 from ledgerlake.schemas import BRONZE, INGESTION_DATE, TRANSACTIONS
-from ledgerlake.sinks.lake import partitions_for, replace_dates, stored_bytes, write_day
+from ledgerlake.sinks.lake import partitions_for, replace_dates, stored_bytes, write_day, write_fx
 from ledgerlake.sources.lake import read_day, read_days, read_fx_data, read_fx_days, read_transactions
-from ledgerlake.sources.landing import CORRUPT, read_csv, split_corrupt
+from ledgerlake.sources.landing import CORRUPT, read_csv, read_fx_snapshot, split_corrupt
 
 
 def currency_aggregate(
@@ -90,6 +90,11 @@ def bronze_rows(raw: DataFrame, run_date: str) -> DataFrame:
     return stamp_ingestion_date(trim_strings(raw), run_date)
 
 
+def run_fx_ingest(spark: SparkSession, reply_path: str, paths: LakePaths, run_date: str) -> None:
+    """One landed reply of the rates service to the rates layer."""
+    write_fx(read_fx_snapshot(spark, reply_path, run_date), paths.fx)
+
+
 def run_bronze(
     spark: SparkSession,
     paths: LakePaths,

@@ -1,4 +1,6 @@
 import json
+import subprocess
+import sys
 from collections import Counter
 from decimal import Decimal
 from pathlib import Path
@@ -286,3 +288,21 @@ def test_job_arguments():
     assert (args.job, args.max_lag_days) == ("gold", 1)
     with pytest.raises(SystemExit):
         arguments().parse_args(["gold", "--lake", "/l"])
+
+
+def test_job_from_the_command_line(spark, paths, tmp_path):
+    sink.write_day(conform(raw(spark, [1, 2], "USD"), BRONZE), paths.bronze, DAY)
+    sink.write_fx(rates(spark), paths.fx)
+    command = [sys.executable, "-m", "ledgerlake", "currency-agg", "--lake", str(tmp_path), "--run-date", DAY]
+    subprocess.run(command, check=True, capture_output=True, cwd=Path(__file__).parents[1], timeout=180)
+    assert [tuple(r) for r in lake.read_day(spark, paths.currency_agg, DAY).collect()] == [("USD", 2, D(6), DAY)]
+
+
+def test_one_large_date_is_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        df = spark.range(400000, numPartitions=8).select(F.col("id"), F.lit(DAY).alias("ingestion_date"))
+        sink.write_output(df, str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) > 3
