@@ -32,7 +32,8 @@ def effective_rates(fx: DataFrame, max_lag_days: int = 0) -> DataFrame:
     """
     known = prepare_fx(fx).where(F.col("rate_to_sgd").isNotNull())
     if max_lag_days == 0:
-        return known.select(F.col("run_date").alias("value_date"), "currency", "rate_to_sgd")
+        same_day = F.col("run_date").cast("string").alias("value_date")
+        return known.select(same_day, "currency", "rate_to_sgd")
     offered = known.withColumn("lag", F.explode(F.sequence(F.lit(0), F.lit(max_lag_days)))).select(
         F.date_add(F.col("run_date").cast("date"), F.col("lag")).cast("string").alias("value_date"),
         "currency",

@@ -56,12 +56,14 @@ def read_fx_data(spark: SparkSession, root: str, run_date: str) -> DataFrame:
 
 
 def read_fx_days(spark: SparkSession, root: str, since: str, until: str) -> DataFrame:
-    """The rates of [since, until) from the `year=/month=/day=` layout, with their `run_date`."""
+    """The rates of [since, until) from the `year=/month=/day=` layout, with their `run_date`.
+
+    The condition uses partition columns only, so other days are pruned.
+    """
     day = F.make_date("year", "month", "day")
-    first, last = int(since[:4]), int(until[:4])
-    rates = spark.read.parquet(root).where(F.col("year").between(first, last))
     return (
-        rates.where((day >= F.lit(since).cast("date")) & (day < F.lit(until).cast("date")))
+        spark.read.parquet(root)
+        .where((day >= F.lit(since).cast("date")) & (day < F.lit(until).cast("date")))
         .withColumn("run_date", day.cast("string"))
         .drop("year", "month", "day")
     )
@@ -84,9 +86,12 @@ def register_table(
 def create_external_table(
     spark: SparkSession, name: str, root: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """A catalog table over a layer. Dropping it leaves the files."""
-    if schema is None:
-        table = spark.catalog.createTable(name, path=root, source="parquet")
-    else:
-        table = spark.catalog.createTable(name, path=root, source="parquet", schema=schema)
-    return table
+    """A catalog table over a layer, with the partitions that exist now.
+
+    Queries list only the partitions they need. Call `spark.catalog.recoverPartitions(name)`
+    after new dates arrive. Dropping the table leaves the files.
+    """
+    spark.catalog.createTable(name, path=root, source="parquet", schema=schema)
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)

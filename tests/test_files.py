@@ -171,12 +171,13 @@ def test_compaction_splits_a_large_date(spark, tmp_path):
     assert len(list((tmp_path / "b").rglob("*.parquet"))) > 1
 
 
-def test_external_table(spark, tmp_path):
+@pytest.mark.parametrize("partitions", [(), ("k",)])
+def test_external_table(spark, tmp_path, partitions):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string")
-    df.write.parquet(str(tmp_path / "t"))
+    df.write.partitionBy(*partitions).parquet(str(tmp_path / "t"))
     table = lake.create_external_table(spark, "external_check", str(tmp_path / "t"))
     try:
-        assert rows(spark.sql("SELECT k FROM external_check WHERE v = 2")) == Counter([("b",)])
+        assert rows(spark.sql("SELECT v FROM external_check WHERE k = 'b'")) == Counter([(2,)])
         assert table.count() == 2
     finally:
         spark.sql("DROP TABLE external_check")
@@ -231,6 +232,8 @@ def test_fx_layout_round_trip(spark, paths):
     assert lake.read_fx_data(spark, paths.fx, DAY).columns == ["base_currency", "target_currency", "rate_to_sgd"]
     days = lake.read_fx_days(spark, paths.fx, DAY, "2024-01-10")
     assert [r["run_date"] for r in days.collect()] == [DAY]
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert "make_date" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
 
 
 # --- cells --------------------------------------------------------------------------------
