@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from ledgerlake.functions.money import DIVIDE, MULTIPLY
 from ledgerlake.plans import daily
 from ledgerlake.plans.layout import LakePaths
 from ledgerlake.session import build_session
@@ -27,8 +28,11 @@ def arguments() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         job.add_argument("--since", required=True, help="first day")
         job.add_argument("--until", required=True, help="day after the last")
-    for job in jobs.choices.values():
+    for name, job in jobs.choices.items():
         job.add_argument("--lake", required=True, help="root of all layers")
+        if not name.startswith(("fx", "bronze")):
+            default = DIVIDE if name == "gold" else MULTIPLY
+            job.add_argument("--rate-mode", choices=(MULTIPLY, DIVIDE), default=default)
     return parser
 
 
@@ -43,15 +47,15 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "bronze-from-csv":
         print(daily.run_bronze_from_csv(spark, args.csv, paths, args.run_date, files=args.files))
     elif args.job == "currency-agg":
-        daily.run_currency_aggregate(spark, paths, args.run_date)
+        daily.run_currency_aggregate(spark, paths, args.run_date, args.rate_mode)
     elif args.job == "silver-detail":
-        daily.run_silver_detail(spark, paths, args.run_date, files=args.files)
+        daily.run_silver_detail(spark, paths, args.run_date, args.files, args.rate_mode)
     elif args.job == "gold":
-        print(daily.run_gold(spark, paths, args.run_date, args.max_lag_days))
+        print(daily.run_gold(spark, paths, args.run_date, args.max_lag_days, args.rate_mode))
     elif args.job == "backfill":
-        daily.run_backfill(spark, paths, args.since, args.until)
+        daily.run_backfill(spark, paths, args.since, args.until, args.rate_mode)
     else:
-        daily.run_detail_backfill(spark, paths, args.since, args.until)
+        daily.run_detail_backfill(spark, paths, args.since, args.until, args.rate_mode)
 
 
 if __name__ == "__main__":

@@ -138,24 +138,36 @@ def run_bronze_from_csv(
     return counters.get
 
 
-def run_currency_aggregate(spark: SparkSession, paths: LakePaths, run_date: str) -> str:
+def run_currency_aggregate(
+    spark: SparkSession, paths: LakePaths, run_date: str, rate_mode: str = MULTIPLY
+) -> str:
     """One day's bronze and rates to the per-currency silver table."""
     txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE.names)
     fx = read_fx_data(spark, paths.fx, run_date)
-    return write_day(currency_aggregate(txn, fx, run_date), paths.currency_agg, run_date)
+    totals = currency_aggregate(txn, fx, run_date, rate_mode)
+    return write_day(totals, paths.currency_agg, run_date)
 
 
 def run_silver_detail(
-    spark: SparkSession, paths: LakePaths, run_date: str, files: int | None = None
+    spark: SparkSession,
+    paths: LakePaths,
+    run_date: str,
+    files: int | None = None,
+    rate_mode: str = MULTIPLY,
 ) -> str:
     """One day's bronze and rates to the per-transaction silver table."""
     txn = read_transactions(spark, paths.bronze, run_date)
     fx = read_fx_data(spark, paths.fx, run_date)
-    return write_day(silver_detail(txn, fx, run_date), paths.detail, run_date, files=files)
+    rows = silver_detail(txn, fx, run_date, rate_mode)
+    return write_day(rows, paths.detail, run_date, files=files)
 
 
 def run_gold(
-    spark: SparkSession, paths: LakePaths, run_date: str, max_lag_days: int = 1
+    spark: SparkSession,
+    paths: LakePaths,
+    run_date: str,
+    max_lag_days: int = 1,
+    rate_mode: str = DIVIDE,
 ) -> dict[str, int]:
     """One day to gold and rejects; returns the quality counters.
 
@@ -167,7 +179,7 @@ def run_gold(
     since = _shift_days(run_date, -max_lag_days)
     fx = require_unique_rates(read_fx_days(spark, paths.fx, since, _shift_days(run_date, 1)))
     counters = Observation("gold")
-    rows = gold_rows(txn, fx, max_lag_days).observe(counters, *quality_counters())
+    rows = gold_rows(txn, fx, max_lag_days, rate_mode).observe(counters, *quality_counters())
     outcome = F.when(F.col(REJECT_REASON).isNull(), F.lit("valid")).otherwise(F.lit("reject"))
     write_day(rows.withColumn("outcome", outcome), paths.gold, run_date, within=("outcome",))
     return counters.get
@@ -178,19 +190,25 @@ def read_gold(spark: SparkSession, paths: LakePaths, run_date: str) -> tuple[Dat
     return split_by_reason(read_day(spark, paths.gold, run_date).drop("outcome"))
 
 
-def run_backfill(spark: SparkSession, paths: LakePaths, since: str, until: str) -> None:
+def run_backfill(
+    spark: SparkSession, paths: LakePaths, since: str, until: str, rate_mode: str = MULTIPLY
+) -> None:
     """The per-currency table for all dates [since, until), in one job."""
     txn = read_days(spark, paths.bronze, since, until)
     rates = effective_rates(read_fx_days(spark, paths.fx, since, until))
-    replace_dates(currency_aggregate_by_date(txn, rates), paths.currency_agg, since, until)
+    totals = currency_aggregate_by_date(txn, rates, rate_mode)
+    replace_dates(totals, paths.currency_agg, since, until)
 
 
-def run_detail_backfill(spark: SparkSession, paths: LakePaths, since: str, until: str) -> None:
+def run_detail_backfill(
+    spark: SparkSession, paths: LakePaths, since: str, until: str, rate_mode: str = MULTIPLY
+) -> None:
     """The per-transaction silver table for all dates [since, until), in one job."""
     txn = read_days(spark, paths.bronze, since, until)
     valid = validate_transactions(txn).transform(add_currency_column).transform(add_amount_column)
     rates = effective_rates(read_fx_days(spark, paths.fx, since, until))
-    rows = enrich_by_date(valid, rates, date_column=INGESTION_DATE).transform(convert_to_sgd)
+    rows = enrich_by_date(valid, rates, date_column=INGESTION_DATE)
+    rows = rows.transform(convert_to_sgd, rate_mode)
     replace_dates(rows, paths.detail, since, until)
 
 

@@ -65,6 +65,15 @@ def test_zero_rate_divides_to_null(txn, fx):
     assert out["USD"] == 90 / 1.6
 
 
+def test_amounts_may_be_doubles(txn, fx):
+    doubles = txn.withColumn("withdrawal_amt", F.col("withdrawal_amt").cast("double")).withColumn(
+        "deposit_amt", F.col("deposit_amt").cast("double")
+    )
+    day = fx.where("run_date = '2024-01-02'")
+    out = daily.currency_aggregate(doubles, day, "d")
+    assert {r["currency"]: r["total_value_sgd"] for r in out.collect()} == {"USD": 144.0, "ZRO": 0.0}
+
+
 def test_unknown_rate_mode():
     with pytest.raises(ValueError, match="rate_mode"):
         enrich.to_sgd("amount", "rate_to_sgd", "add")

@@ -288,7 +288,7 @@ def test_cluster_without_shared_folder_is_refused():
 
 def test_job_arguments():
     args = arguments().parse_args(["gold", "--lake", "/l", "--run-date", DAY])
-    assert (args.job, args.max_lag_days) == ("gold", 1)
+    assert (args.job, args.max_lag_days, args.rate_mode) == ("gold", 1, "divide")
     with pytest.raises(SystemExit):
         arguments().parse_args(["gold", "--lake", "/l"])
 
