@@ -291,6 +291,11 @@ ORACLE: dict[str, str] = {
         JOIN fx_all r ON r.run_date = v.ingestion_date AND r.currency = v.currency
         WHERE rate IS NOT NULL""",
     ),
+    "duplicate_rates": _with(
+        _TXN, _FX,
+        """SELECT run_date, currency AS target_currency, CAST(2 AS BIGINT) AS rates FROM fx_all
+        WHERE run_date IN (SELECT value_date FROM txn)""",
+    ),
     "fx_ingest": _with(
         _TXN, _FX,
         """SELECT run_date, base_currency, currency AS target_currency,
@@ -397,6 +402,18 @@ moved AS (SELECT h_dim.*, b.op, b.segment AS new_segment, end_date IS NULL AND b
           count(*) = count(*) FILTER (rate IS NOT NULL) AS ok
         FROM valid v LEFT JOIN fx ON fx.currency = v.currency GROUP BY v.currency""",
     ),
+    "cdc_to_ods": _with(
+        _CDC, _latest("latest"),
+        f"SELECT id, seq, segment, value, {_CONTACTS} FROM latest WHERE op <> 'D'",
+    ),
+    "reconcile_facts": _with(
+        _FACTS,
+        f"""SELECT CAST(claim_date AS VARCHAR) AS claim_date, count(*) AS source_count,
+          count(*) FILTER (claim_date < DATE '{V2_SINCE}') AS target_count,
+          CAST(sum(amount) AS DOUBLE) AS source_amount,
+          CAST(coalesce(sum(amount) FILTER (claim_date < DATE '{V2_SINCE}'), 0) AS DOUBLE) AS target_amount,
+          claim_date < DATE '{V2_SINCE}' AS ok FROM claims GROUP BY claim_date""",
+    ),
     "cdc_to_warehouse": _with(
         _CDC, _history("h"), _FACTS,
         """SELECT claim_id, c.id, CAST(claim_date AS VARCHAR) AS claim_date,

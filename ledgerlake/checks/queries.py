@@ -245,6 +245,15 @@ def backfill_detail_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def duplicate_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates where every day with transactions was delivered once more."""
+    rates = fx_in.fx_rates(spark, sf_dir)
+    traded = fx_in.transactions(spark, sf_dir).select(F.col("value_date").alias("run_date"))
+    again = rates.join(traded, "run_date", "left_semi")
+    return enrich.duplicate_rates(rates.unionByName(again))
+
+
 @registered
 def fx_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "fx")
@@ -506,21 +515,36 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@registered
-def cdc_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads: everything before the last day, then the last day as a batch."""
-    root = scratch_path(spark, "warehouse")
+CUSTOMERS = warehouse.Feed(CHANGES, tracked=("segment",))
+
+
+def _deliver(spark: SparkSession, sf_dir: str, root: str) -> WarehousePaths:
+    """Two deliveries of changes: everything before the last day, then the last day."""
     paths = WarehousePaths.under(root)
     feed = _land_feed(spark, sf_dir, root)
     in_batch = F.to_date("updated_at") >= F.lit(BATCH_DATE).cast("date")
+    warehouse.run_curation(feed.where(~in_batch), CUSTOMERS, paths, "initial")
+    warehouse.run_curation(feed.where(in_batch), CUSTOMERS, paths, BATCH_DATE)
+    return paths
+
+
+@registered
+def cdc_to_ods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _deliver(spark, sf_dir, scratch_path(spark, "ods"))
+    warehouse.run_initial_load(spark, CUSTOMERS, paths, "initial")
+    warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, "initial")
+    return warehouse.read_version(spark, paths.ods, BATCH_DATE)
+
+
+@registered
+def cdc_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of both loads with the version of the dimension they refer to."""
+    paths = _deliver(spark, sf_dir, scratch_path(spark, "warehouse"))
     claims = fx_in.claims(spark, sf_dir)
     keys = ("claim_id", "claim_date")
-    customers = warehouse.Feed(CHANGES, tracked=("segment",))
-    warehouse.run_curation(feed.where(~in_batch), customers, paths, "initial")
-    warehouse.run_initial_load(spark, customers, paths, "initial")
+    warehouse.run_initial_load(spark, CUSTOMERS, paths, "initial")
     warehouse.run_fact_load(spark, claims, paths, "initial", "2024-01-01", BATCH_DATE, *keys)
-    warehouse.run_curation(feed.where(in_batch), customers, paths, BATCH_DATE)
-    warehouse.run_batch(spark, customers, paths, BATCH_DATE, "initial")
+    warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, "initial")
     warehouse.run_fact_load(spark, claims, paths, BATCH_DATE, BATCH_DATE, "2024-02-01", *keys)
     facts = spark.read.parquet(paths.fact)
     dimension = warehouse.read_version(spark, paths.dimension, BATCH_DATE)
@@ -528,3 +552,16 @@ def cdc_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.lookup_join(facts, versions, ["sk"], "left").select(
         "claim_id", "id", "claim_date", "amount", "sk", "segment", "start_date", "end_date"
     )
+
+
+@registered
+def reconcile_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered claims against a fact table that has only the first half of the month."""
+    paths = WarehousePaths.under(scratch_path(spark, "reconcile"))
+    dimension = history.build_history(fx_in.changes(spark, sf_dir), ["segment"])
+    sink.write_day(dimension, paths.dimension, BATCH_DATE, warehouse.VERSION)
+    claims = fx_in.claims(spark, sf_dir)
+    warehouse.run_fact_load(
+        spark, claims, paths, BATCH_DATE, "2024-01-01", V2_SINCE, "claim_id", "claim_date"
+    )
+    return warehouse.fact_report(spark, claims, paths, "claim_date", ["amount"])
