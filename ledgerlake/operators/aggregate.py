@@ -13,9 +13,13 @@ from ledgerlake.schemas import MONEY_TOTAL
 
 
 def aggregate_by_currency(enriched: DataFrame, run_date: str) -> DataFrame:
-    """Count and SGD total per currency of rows that already carry `amount_sgd`."""
+    """Count and SGD total per currency of rows that already carry `amount_sgd`.
+
+    The total is summed in the type of `amount_sgd`, exactly for decimals, and is a double.
+    """
     totals = enriched.groupBy("currency").agg(
-        F.count(F.lit(1)).alias("txn_count"), F.sum("amount_sgd").alias("total_value_sgd")
+        F.count(F.lit(1)).alias("txn_count"),
+        F.sum("amount_sgd").cast("double").alias("total_value_sgd"),
     )
     return stamp_ingestion_date(totals, run_date)
 
@@ -35,7 +39,7 @@ def currency_totals(txn: DataFrame, *keys: str) -> DataFrame:
 def price_totals(
     totals: DataFrame, rates: DataFrame, keys: list[str], rate_mode: str = MULTIPLY
 ) -> DataFrame:
-    """`totals` in SGD: (keys, txn_count, total_value_sgd).
+    """`totals` in SGD: (keys, txn_count, total_value_sgd as a double).
 
     All rows of a key share its rate, so it is applied once per key and the join sees the
     totals instead of the rows. Either side may be the larger one; adaptive execution
@@ -46,7 +50,7 @@ def price_totals(
         "value", to_sgd("amount", "rate_to_sgd", rate_mode)
     )
     return priced.groupBy(*keys).agg(
-        F.sum("rows").alias("txn_count"), F.sum("value").alias("total_value_sgd")
+        F.sum("rows").alias("txn_count"), F.sum("value").cast("double").alias("total_value_sgd")
     )
 
 

@@ -63,13 +63,19 @@ def currency_aggregate_by_date(
     return price_totals(currency_totals(valid, *keys), dated, keys, rate_mode)
 
 
+def _in_sgd(rows: DataFrame, rate_mode: str) -> DataFrame:
+    """Rows as they are stored: `amount_sgd` as a double, half the size of the exact product."""
+    converted = convert_to_sgd(rows, rate_mode)
+    return converted.withColumn("amount_sgd", F.col("amount_sgd").cast("double"))
+
+
 def silver_detail(
     txn: DataFrame, fx: DataFrame, run_date: str, rate_mode: str = MULTIPLY
 ) -> DataFrame:
     """Valid transactions with currency and rate, one row each."""
     valid = validate_transactions(txn).transform(add_currency_column).transform(add_amount_column)
     enriched = enrich_with_fx(valid, day_rates(fx))
-    return stamp_ingestion_date(convert_to_sgd(enriched, rate_mode), run_date)
+    return stamp_ingestion_date(_in_sgd(enriched, rate_mode), run_date)
 
 
 def gold_rows(
@@ -82,7 +88,7 @@ def gold_rows(
     checked = with_reject_reason(trim_strings(txn, blank_as_null=True)).transform(mask_pii)
     sided = checked.transform(add_currency_column).transform(add_amount_column)
     enriched = enrich_by_date(sided, effective_rates(fx, max_lag_days), "left")
-    return reject_unknown_currency(enriched).transform(convert_to_sgd, rate_mode)
+    return reject_unknown_currency(enriched).transform(_in_sgd, rate_mode)
 
 
 def bronze_rows(raw: DataFrame, run_date: str) -> DataFrame:
@@ -208,7 +214,7 @@ def run_detail_backfill(
     valid = validate_transactions(txn).transform(add_currency_column).transform(add_amount_column)
     rates = effective_rates(read_fx_days(spark, paths.fx, since, until))
     rows = enrich_by_date(valid, rates, date_column=INGESTION_DATE)
-    rows = rows.transform(convert_to_sgd, rate_mode)
+    rows = rows.transform(_in_sgd, rate_mode)
     replace_dates(rows, paths.detail, since, until)
 
 

@@ -48,8 +48,12 @@ def read_transactions(
     return read_day(spark, root, run_date, INGESTION_DATE, schema)
 
 
-def read_fx_data(spark: SparkSession, root: str, run_date: str) -> DataFrame:
-    """The rates of one day from the `year=/month=/day=` layout."""
+def read_fx_data(
+    spark: SparkSession, root: str, run_date: str, partition: str | None = None
+) -> DataFrame:
+    """The rates of one day from the `year=/month=/day=` layout, or from `<partition>=` folders."""
+    if partition is not None:
+        return read_day(spark, root, run_date, partition).drop(partition)
     year, month, day = run_date.split("-")
     leaf = f"{root}/year={year}/month={month}/day={day}"
     return spark.read.option("basePath", root).parquet(leaf).drop("year", "month", "day")

@@ -230,6 +230,8 @@ def test_fx_layout_round_trip(spark, paths):
     sink.write_fx(rates(spark, DAY).unionAll(rates(spark, "2024-01-10")), paths.fx)
     assert Path(paths.fx, "year=2024", "month=01", "day=02").is_dir()
     assert lake.read_fx_data(spark, paths.fx, DAY).columns == ["base_currency", "target_currency", "rate_to_sgd"]
+    sink.write_day(rates(spark, DAY), f"{paths.fx}2", DAY, "date")
+    assert lake.read_fx_data(spark, f"{paths.fx}2", DAY, "date").first()["rate_to_sgd"] == 2
     days = lake.read_fx_days(spark, paths.fx, DAY, "2024-01-10")
     assert [r["run_date"] for r in days.collect()] == [DAY]
     plan = days._jdf.queryExecution().executedPlan().toString()
