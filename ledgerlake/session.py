@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    # Shuffle joins hash the lookup instead of sorting the facts where all its partitions are
+    # known to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     # A task that writes few partition values keeps one open file for each instead of sorting.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
