@@ -406,6 +406,7 @@ moved AS (SELECT h_dim.*, b.op, b.segment AS new_segment, end_date IS NULL AND b
         _CDC, _latest("latest"),
         f"SELECT id, seq, segment, value, {_CONTACTS} FROM latest WHERE op <> 'D'",
     ),
+    "cdc_to_dimension": _with(_CDC, _history("h"), f"SELECT {_DIM} FROM h_dim"),
     "reconcile_facts": _with(
         _FACTS,
         f"""SELECT CAST(claim_date AS VARCHAR) AS claim_date, count(*) AS source_count,

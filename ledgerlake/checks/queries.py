@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 LANDED_FILES = 16
 V2_SINCE = "2024-01-16"
+FIRST_DELIVERY = "2024-01-29"
 FIX_DATE = "1998-12-31"
 
 
@@ -523,7 +524,7 @@ def _deliver(spark: SparkSession, sf_dir: str, root: str) -> WarehousePaths:
     paths = WarehousePaths.under(root)
     feed = _land_feed(spark, sf_dir, root)
     in_batch = F.to_date("updated_at") >= F.lit(BATCH_DATE).cast("date")
-    warehouse.run_curation(feed.where(~in_batch), CUSTOMERS, paths, "initial")
+    warehouse.run_curation(feed.where(~in_batch), CUSTOMERS, paths, FIRST_DELIVERY)
     warehouse.run_curation(feed.where(in_batch), CUSTOMERS, paths, BATCH_DATE)
     return paths
 
@@ -531,9 +532,17 @@ def _deliver(spark: SparkSession, sf_dir: str, root: str) -> WarehousePaths:
 @registered
 def cdc_to_ods(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _deliver(spark, sf_dir, scratch_path(spark, "ods"))
-    warehouse.run_initial_load(spark, CUSTOMERS, paths, "initial")
-    warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, "initial")
-    return warehouse.read_version(spark, paths.ods, BATCH_DATE)
+    warehouse.run_initial_load(spark, CUSTOMERS, paths, FIRST_DELIVERY)
+    warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, FIRST_DELIVERY)
+    return warehouse.read_state(spark, paths, BATCH_DATE)
+
+
+@registered
+def cdc_to_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _deliver(spark, sf_dir, scratch_path(spark, "dimension"))
+    warehouse.run_initial_load(spark, CUSTOMERS, paths, FIRST_DELIVERY)
+    warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, FIRST_DELIVERY)
+    return warehouse.read_dimension(spark, paths, BATCH_DATE)
 
 
 @registered
@@ -542,12 +551,12 @@ def cdc_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _deliver(spark, sf_dir, scratch_path(spark, "warehouse"))
     claims = fx_in.claims(spark, sf_dir)
     keys = ("claim_id", "claim_date")
-    warehouse.run_initial_load(spark, CUSTOMERS, paths, "initial")
-    warehouse.run_fact_load(spark, claims, paths, "initial", "2024-01-01", BATCH_DATE, *keys)
-    warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, "initial")
+    warehouse.run_initial_load(spark, CUSTOMERS, paths, FIRST_DELIVERY)
+    warehouse.run_fact_load(spark, claims, paths, FIRST_DELIVERY, "2024-01-01", BATCH_DATE, *keys)
+    warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, FIRST_DELIVERY)
     warehouse.run_fact_load(spark, claims, paths, BATCH_DATE, BATCH_DATE, "2024-02-01", *keys)
     facts = spark.read.parquet(paths.fact)
-    dimension = warehouse.read_version(spark, paths.dimension, BATCH_DATE)
+    dimension = warehouse.read_dimension(spark, paths, BATCH_DATE)
     versions = dimension.select("sk", "segment", "start_date", "end_date")
     return joins.lookup_join(facts, versions, ["sk"], "left").select(
         "claim_id", "id", "claim_date", "amount", "sk", "segment", "start_date", "end_date"
@@ -558,8 +567,9 @@ def cdc_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reconcile_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered claims against a fact table that has only the first half of the month."""
     paths = WarehousePaths.under(scratch_path(spark, "reconcile"))
-    dimension = history.build_history(fx_in.changes(spark, sf_dir), ["segment"])
-    sink.write_day(dimension, paths.dimension, BATCH_DATE, warehouse.VERSION)
+    changes_so_far = fx_in.changes(spark, sf_dir)
+    warehouse.run_curation(changes_so_far, CUSTOMERS, paths, BATCH_DATE)
+    warehouse.run_initial_load(spark, CUSTOMERS, paths, BATCH_DATE)
     claims = fx_in.claims(spark, sf_dir)
     warehouse.run_fact_load(
         spark, claims, paths, BATCH_DATE, "2024-01-01", V2_SINCE, "claim_id", "claim_date"

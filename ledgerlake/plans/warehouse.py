@@ -1,8 +1,8 @@
 """Change feed to curated files, latest state, dimension history, facts and reconciliation.
 
 Every step writes a table and the next one reads it, so a lost executor or a failed step costs
-only that step. Latest state and dimension are written as a new version beside the old one:
-a table cannot be read and replaced in the same job, and the old version allows a rerun.
+only that step. Latest state and open dimension rows are written as a new version beside the old
+one: a table cannot be read and replaced in the same job, and the old version allows a rerun.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ DELIVERY = "delivery"
 VERSION = "version"
 BATCH = "batch"
 EVENT_DATE = "date"
+STATE, OPEN, CLOSED = "state", "open", "closed"
 
 
 @dataclass(frozen=True)
@@ -72,9 +73,33 @@ def read_curated(spark: SparkSession, feed: Feed, paths: WarehousePaths, deliver
     )
 
 
-def read_version(spark: SparkSession, root: str, version: str) -> DataFrame:
-    """One version of the latest state or of the dimension."""
-    return read_day(spark, root, version, VERSION).drop(VERSION)
+def read_state(spark: SparkSession, paths: WarehousePaths, version: str) -> DataFrame:
+    """The latest state as of `version`."""
+    return read_day(spark, paths.ods, version, VERSION).drop(VERSION)
+
+
+def read_open_versions(spark: SparkSession, paths: WarehousePaths, version: str) -> DataFrame:
+    """The dimension rows that are open as of `version`."""
+    rows = read_day(spark, paths.dimension, version, VERSION)
+    return rows.where(F.col(STATE) == OPEN).drop(VERSION, STATE)
+
+
+def read_dimension(spark: SparkSession, paths: WarehousePaths, version: str) -> DataFrame:
+    """The dimension as of `version`: its open rows, and all rows closed up to then."""
+    rows = spark.read.parquet(paths.dimension)
+    written = F.col(VERSION).cast("string")
+    is_open = F.col(STATE) == OPEN
+    valid = (is_open & (written == version)) | (~is_open & (written <= version))
+    return rows.where(valid).drop(VERSION, STATE)
+
+
+def _write_dimension(rows: DataFrame, paths: WarehousePaths, version: str) -> None:
+    """Write what a batch changed: all open rows, and the rows that it closed.
+
+    A closed row never changes, so it is written once, by the batch that closed it.
+    """
+    state = F.when(F.col("end_date").isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
+    write_day(rows.withColumn(STATE, state), paths.dimension, version, VERSION, within=(STATE,))
 
 
 def run_initial_load(spark: SparkSession, feed: Feed, paths: WarehousePaths, delivery: str) -> None:
@@ -84,7 +109,7 @@ def run_initial_load(spark: SparkSession, feed: Feed, paths: WarehousePaths, del
     state = latest.where(F.col(feed.op) != DELETE).select(feed.state_columns)
     write_day(state, paths.ods, delivery, VERSION)
     dimension = build_history(changes, feed.tracked, feed.key, feed.updated_at, feed.order, feed.op)
-    write_day(dimension, paths.dimension, delivery, VERSION)
+    _write_dimension(dimension, paths, delivery)
 
 
 def run_batch(
@@ -92,16 +117,17 @@ def run_batch(
 ) -> None:
     """The delivery of `run_date` into latest state and dimension.
 
-    The last change per key is staged once as a table; both merges read it.
+    `previous` names the version to start from; names sort by date. The last change per key
+    is staged once as a table; both merges read it.
     """
     latest = latest_changes(read_curated(spark, feed, paths, run_date), feed.key, feed.order)
     write_day(latest, paths.staging, run_date, BATCH)
     staged = read_day(spark, paths.staging, run_date, BATCH)
-    state = merge_changes(read_version(spark, paths.ods, previous), staged, feed.key, feed.op)
+    state = merge_changes(read_state(spark, paths, previous), staged, feed.key, feed.op)
     write_day(state, paths.ods, run_date, VERSION)
-    dimension = read_version(spark, paths.dimension, previous)
-    versions = apply_to_history(dimension, staged, feed.tracked, run_date, feed.key, feed.op)
-    write_day(versions, paths.dimension, run_date, VERSION)
+    current = read_open_versions(spark, paths, previous)
+    versions = apply_to_history(current, staged, feed.tracked, run_date, feed.key, feed.op)
+    _write_dimension(versions, paths, run_date)
 
 
 def run_fact_load(
@@ -126,7 +152,7 @@ def run_fact_load(
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         loaded = facts.limit(0)
-    dimension = read_version(spark, paths.dimension, version)
+    dimension = read_dimension(spark, paths, version)
     rows = load_facts(facts, loaded, dimension, fact_id, fact_date, since, until, key)
     dated = rows.withColumn(EVENT_DATE, F.col(fact_date).cast("string"))
     cluster_by_date(dated, EVENT_DATE).write.mode("append").partitionBy(EVENT_DATE).parquet(paths.fact)
