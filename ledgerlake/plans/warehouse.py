@@ -20,7 +20,7 @@ from ledgerlake.operators.history import apply_to_history, build_history, load_f
 from ledgerlake.operators.project import add_event_partitions, conform
 from ledgerlake.plans.layout import WarehousePaths
 from ledgerlake.sinks.lake import cluster_by_date, write_day
-from ledgerlake.sources.lake import read_day
+from ledgerlake.sources.lake import read_day, read_days
 
 DELIVERY = "delivery"
 VERSION = "version"
@@ -147,7 +147,7 @@ def run_fact_load(
     load again appends nothing.
     """
     try:
-        loaded = spark.read.parquet(paths.fact)
+        loaded = read_days(spark, paths.fact, since, until, EVENT_DATE)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
