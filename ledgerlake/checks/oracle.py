@@ -351,7 +351,6 @@ ORACLE: dict[str, str] = {
         _CDC,
         """SELECT op, segment, CAST(CAST(updated_at AS DATE) AS VARCHAR) AS date,
           count(*) AS changes, count(DISTINCT id) AS ids FROM cdc
-        WHERE CAST(updated_at AS DATE) >= DATE '2024-01-10'
         GROUP BY op, segment, CAST(updated_at AS DATE)""",
     ),
     "gold_detail": _with(

@@ -411,7 +411,7 @@ def curated_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         """
         SELECT op, segment, CAST(date AS STRING) AS date,
                count(*) AS changes, count(DISTINCT id) AS ids
-        FROM curated_changes WHERE date >= DATE '2024-01-10' GROUP BY op, segment, date
+        FROM curated_changes GROUP BY op, segment, date
         """
     )
 

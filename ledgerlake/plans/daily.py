@@ -34,7 +34,7 @@ from ledgerlake.operators.validate import (
     with_reject_reason,
 )
 from ledgerlake.plans.layout import LakePaths
-from ledgerlake.schemas import BRONZE, INGESTION_DATE, TRANSACTIONS
+from ledgerlake.schemas import BRONZE, GOLD, INGESTION_DATE, TRANSACTIONS
 from ledgerlake.sinks.lake import partitions_for, replace_dates, stored_bytes, write_day, write_fx
 from ledgerlake.sources.lake import read_day, read_days, read_fx_data, read_fx_days, read_transactions
 from ledgerlake.sources.landing import CORRUPT, read_csv, read_fx_snapshot, split_corrupt
@@ -193,7 +193,8 @@ def run_gold(
 
 def read_gold(spark: SparkSession, paths: LakePaths, run_date: str) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) rows of one gold day."""
-    return split_by_reason(read_day(spark, paths.gold, run_date).drop("outcome"))
+    rows = read_day(spark, paths.gold, run_date, schema=GOLD)
+    return tuple(part.drop("outcome") for part in split_by_reason(rows))
 
 
 def run_backfill(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +19,7 @@ from ledgerlake.operators.history import apply_to_history, build_history, load_f
 from ledgerlake.operators.project import add_event_partitions, conform
 from ledgerlake.plans.layout import WarehousePaths
 from ledgerlake.sinks.lake import cluster_by_date, write_day
-from ledgerlake.sources.lake import read_day, read_days
+from ledgerlake.sources.lake import find, read_day, read_days
 
 DELIVERY = "delivery"
 VERSION = "version"
@@ -146,11 +145,8 @@ def run_fact_load(
     Facts that arrive late join those of their day that are there already; running the same
     load again appends nothing.
     """
-    try:
-        loaded = read_days(spark, paths.fact, since, until, EVENT_DATE)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    loaded = find(lambda: read_days(spark, paths.fact, since, until, EVENT_DATE))
+    if loaded is None:
         loaded = facts.limit(0)
     dimension = read_dimension(spark, paths, version)
     rows = load_facts(facts, loaded, dimension, fact_id, fact_date, since, until, key)

@@ -26,6 +26,20 @@ TRANSACTIONS = T.StructType(
 
 BRONZE = T.StructType(TRANSACTIONS.fields + [T.StructField(INGESTION_DATE, T.StringType())])
 
+# A bronze row, masked and converted, or with the reason of its rejection.
+GOLD = T.StructType(
+    [field for field in BRONZE.fields if field.name != "account_no"]
+    + [
+        T.StructField("account_no_hash", T.StringType()),
+        T.StructField("currency", T.StringType()),
+        T.StructField("amount", MONEY),
+        T.StructField("rate_to_sgd", RATE),
+        T.StructField("amount_sgd", T.DoubleType()),
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("outcome", T.StringType()),
+    ]
+)
+
 LONG_TRANSACTIONS = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),

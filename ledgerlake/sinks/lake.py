@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.keys import row_hash
 from ledgerlake.operators.joins import lookup_join
 from ledgerlake.schemas import INGESTION_DATE
-from ledgerlake.sources.lake import read_day, read_days
+from ledgerlake.sources.lake import find, read_day, read_days
 
 FILE_BYTES = 128 * 1024 * 1024
 
@@ -70,14 +69,10 @@ def replace_dates(
     files it had before; its folder is then overwritten with no rows.
     """
     spark = df.sparkSession
-    try:
-        listed_before = stored_files(spark, root)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        write_output(df, root, partition)
-        return
+    listed_before = find(lambda: stored_files(spark, root))
     write_output(df, root, partition)
+    if listed_before is None or partition not in listed_before.columns:
+        return
     # The list was made before the write: what is still found was not replaced.
     day = F.col(partition)
     stale = listed_before.where((day >= since) & (day < until))

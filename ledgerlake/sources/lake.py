@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +12,16 @@ from pyspark.sql import types as T
 from ledgerlake.schemas import INGESTION_DATE
 
 
+def find(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What `read` returns, or None where the layer has no files yet."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def _reader(spark: SparkSession, schema: T.StructType | None):
     return spark.read if schema is None else spark.read.schema(schema)
 

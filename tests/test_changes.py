@@ -165,6 +165,7 @@ def test_warehouse_reruns(spark, tmp_path):
     load = lambda source: warehouse.run_fact_load(
         spark, source, paths, "2024-01-02", "2024-01-01", "2024-01-03", "f", "day"
     )
+    load(facts.limit(0))
     load(facts.where("f < 3"))
     load(facts)  # one late fact of a day that has facts already
     load(facts)

@@ -14,7 +14,7 @@ from ledgerlake.__main__ import arguments
 from ledgerlake.operators.project import conform, mask_pii, to_long, to_wide, trim_strings
 from ledgerlake.plans import daily
 from ledgerlake.plans.layout import LakePaths
-from ledgerlake.schemas import BRONZE, CHANGES, CHANGES_V1, FX_RATES, TRANSACTIONS
+from ledgerlake.schemas import BRONZE, CHANGES, CHANGES_V1, FX_RATES, GOLD, TRANSACTIONS
 from ledgerlake.session import scratch_path, shared_folder
 from ledgerlake.sinks import lake as sink
 from ledgerlake.sources import lake, landing
@@ -86,6 +86,16 @@ def test_backfill_clears_dates_that_lost_their_rows(spark, paths):
     assert {r["ingestion_date"] for r in found.collect()} == {"2024-01-01", "2024-01-05"}
 
 
+def test_backfill_of_nothing_twice(spark, paths):
+    sink.write_fx(rates(spark), paths.fx)
+    sink.write_day(trim_strings(raw(spark, [1], "XXX")), paths.bronze, DAY)
+    for _ in range(2):
+        daily.run_backfill(spark, paths, DAY, "2024-01-03")
+    sink.write_day(trim_strings(raw(spark, [1])), paths.bronze, DAY)
+    daily.run_backfill(spark, paths, DAY, "2024-01-03")
+    assert spark.read.parquet(paths.currency_agg).count() == 1
+
+
 def test_backfill_equals_daily_runs(spark, paths, tmp_path):
     single = LakePaths.under(str(tmp_path / "single"))
     for day, rate in (("2024-01-01", "2"), (DAY, "3")):
@@ -114,6 +124,30 @@ def test_gold_counts_and_replaces_rejects(spark, paths):
     assert daily.read_gold(spark, paths, DAY)[1].count() == 0
 
 
+def test_a_day_without_rows(spark, paths):
+    sink.write_fx(rates(spark), paths.fx)
+    sink.write_day(raw(spark, [1]).limit(0), paths.raw, DAY)
+    daily.run_bronze(spark, paths, DAY)
+    assert daily.run_gold(spark, paths, DAY) == {
+        "input_count": 0, "valid_count": 0, "reject_count": 0, "unknown_currency_count": 0, "output_count": 0}
+    assert [part.count() for part in daily.read_gold(spark, paths, DAY)] == [0, 0]
+    daily.run_currency_aggregate(spark, paths, DAY)
+    assert lake.read_day(spark, paths.currency_agg, DAY).count() == 0
+
+
+def test_gold_schema(spark, paths):
+    sink.write_fx(rates(spark), paths.fx)
+    sink.write_day(raw(spark, [1]), paths.raw, DAY)
+    daily.run_bronze(spark, paths, DAY)
+    daily.run_gold(spark, paths, DAY)
+    stored = spark.read.parquet(paths.gold)
+    assert set(stored.columns) == set(GOLD.names)
+    kinds = {f.name: f.dataType for f in stored.schema.fields}
+    folders = ("ingestion_date", "outcome")
+    assert all(kinds[f.name] == f.dataType for f in GOLD.fields if f.name not in folders)
+    assert daily.read_gold(spark, paths, DAY)[0].count() == 1
+
+
 # --- layout -------------------------------------------------------------------------------
 
 
