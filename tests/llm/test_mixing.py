@@ -1,0 +1,63 @@
+from collections import defaultdict
+
+import pytest
+
+from ledgerlake.llm import mixing
+
+
+def slow_targets(words, weights=(5, 2, 1), most=3):
+    names = sorted(words, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    open_, left, target = set(names), sum(words.values()), {}
+    while open_:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > most * words[s]}
+        if not over:
+            return target | share
+        for s in over:
+            target[s] = most * words[s]
+            left -= most * words[s]
+        open_ -= over
+    return target
+
+
+def test_targets_equal_rounds_of_redistribution(spark):
+    for words in ({"a": 10, "b": 1000, "c": 5, None: 70, "é": 0}, {"x": 7}, {"a": 0, None: 0}, {"a": 900, "b": 1, "c": 1, "d": 2}):
+        df = spark.createDataFrame([(s, n) for s, n in words.items()], "source string, words long")
+        found = {r.source: r.target for r in mixing.water_fill(df).collect()}
+        assert found == pytest.approx(slow_targets(words))
+
+
+def test_mix_of_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    first = mixing.mix(docs, keep=["doc_id", "source"]).collect()
+    words = {r.doc_id: len((r.text or "").encode().split()) for r in docs.collect()}
+    assert {r.row.doc_id: r["size"] for r in first} == words
+    by_source, taken, most, target = defaultdict(int), defaultdict(int), defaultdict(int), {}
+    for r in first:
+        assert r.copies * r["size"] == r.taken <= 3 * r["size"]
+        by_source[r.row.source] += r["size"]
+        taken[r.row.source] += r.taken
+        most[r.row.source] = max(most[r.row.source], r["size"])
+        target[r.row.source] = r.target
+    assert target == pytest.approx(slow_targets(by_source))
+    assert all(abs(taken[s] - target[s]) <= 1.5 * most[s] for s in target)
+    again = mixing.mix(docs.repartition(7), keep=["doc_id", "source"]).collect()
+    assert sorted(map(str, again)) == sorted(map(str, first))
+
+
+def test_large_classes_are_cut(spark):
+    docs = spark.range(5000).selectExpr("id AS doc_id", "'one two' AS text", "IF(id < 4000, 'a', NULL) AS source")
+    rows = mixing.mix(docs, keep=["doc_id"]).collect()
+    for size, target in {(r.source_size, r.target) for r in rows}:
+        assert sum(r.taken for r in rows if r.source_size == size) == pytest.approx(target, abs=40)
+
+
+def test_nulls_and_clashing_columns(spark):
+    schema = "doc_id long, text string, source string, size int, target string, n long"
+    rows = [(1, None, None, 1, "t", 2), (None, "", "a", 1, "t", 2), (None, "a b", "a", 1, "t", 2), (2, "a b c", "a", 1, "t", 2)]
+    rows += [rows[-1], (3, "w " * 100_000, "b", None, None, None)]
+    found = mixing.mix(spark.createDataFrame(rows, schema), keep=["doc_id", "size", "target"]).collect()
+    assert sorted(r["size"] for r in found) == [0, 0, 2, 3, 3, 100_000]
+    assert {r.row["size"] for r in found} == {1, None}
+    assert mixing.mix(spark.createDataFrame([], schema), keep=["doc_id"]).count() == 0
