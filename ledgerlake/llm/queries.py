@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, simhash
+from ledgerlake.llm import mixing, packing, simhash
 from ledgerlake.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,17 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@registered
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        F.col("crc").alias("ids_crc32"),
+        F.col("sequence").alias("sequence_id"),
+        "offset",
+    )
