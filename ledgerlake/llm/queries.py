@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, packing, simhash
+from ledgerlake.llm import mixing, packing, simhash, suffix
 from ledgerlake.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("sequence").alias("sequence_id"),
         "offset",
     )
+
+
+@registered
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return cut.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
