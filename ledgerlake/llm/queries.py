@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, packing, simhash, suffix
+from ledgerlake.llm import mixing, packing, quality, simhash, suffix
 from ledgerlake.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,11 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         "kept_sha256",
     )
+
+
+@registered
+def op2_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select(
+        F.col("row.doc_id").alias("doc_id"), *quality.Metrics._fields, "base_failed", "kept", "bits"
+    )
