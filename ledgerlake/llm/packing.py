@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import texts, written
+from ledgerlake.llm.common import written
 from ledgerlake.llm.tokens import default_path, encoder
 
 CAPACITY = 4096
@@ -188,7 +188,7 @@ def tokenized(docs: DataFrame, path: str, capacity: int, id_col: str, text_col:
         for batch in rows:
             found = []
             doc_ids = batch.column(0).to_pylist()
-            for doc_id, ids in zip(doc_ids, encode(texts(batch.column(1))), strict=True):
+            for doc_id, ids in zip(doc_ids, encode(batch.column(1)), strict=True):
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     own = ids[start : start + capacity]

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -76,12 +77,39 @@ def test_near_the_bound_on_many_pieces():
     assert len(bins) < 60_000
 
 
-def test_chunks_give_the_tokenizer_s_ids():
+SAMPLES = [
+    "",
+    "  ",
+    "It's  fine,\tI'LL go...\n\nÀ bientôt é, ΣΑΣ, ok.,.",
+    "a<|endoftext|>b 12345 x1, y2. <|ENDOFTEXT|>, z \x1c\x1d q",
+    "日本語 テスト！ 👍🏽 ﬁ, İstanbul \u0958\u0959, e\u0301, e\u0301. ,. . , .a ,b. x,\u0301 \u212b",
+    "long words here, " * 300_000,
+    "no-blanks" * 3,
+    None,
+]
+
+
+def test_words_give_the_tokenizer_s_ids():
     whole = Tokenizer.from_file(tokens.default_path())
-    samples = ["", "  ", "It's  fine\tI'LL go.\n\nÀ bientôt é ΣΑΣ", "a<|endoftext|>b 12345 x y z \x1c\x1d q", "日本語 テスト！ 👍🏽 ﬁ"]
-    samples.append("long words here, " * 90_000)
-    found = list(tokens.ChunkEncoder(tokens.default_path()).stream(s.encode() for s in samples))
-    assert [x.tolist() for x in found] == [whole.encode(s, add_special_tokens=False).ids for s in samples]
+    for samples in (SAMPLES, [s for s in SAMPLES if "<|" not in (s or "")]):
+        found = list(tokens.WordEncoder(tokens.default_path()).stream(pa.array(samples, pa.string())))
+        assert [x.tolist() for x in found] == [whole.encode(s or "", add_special_tokens=False).ids for s in samples]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=30) | st.text("aB,.'s 1\n", max_size=30), max_size=4))
+def test_any_text_gives_the_tokenizer_s_ids(samples):
+    encode = tokens.encoder(tokens.default_path())
+    expected = [encode.tokenizer.encode(s, add_special_tokens=False).ids for s in samples]
+    assert [x.tolist() for x in encode.stream(pa.array(samples, pa.string()))] == expected
+
+
+def test_a_full_memory_changes_nothing(monkeypatch):
+    texts = pa.array([f"word{i % 7}, {'abcdefgh'[i % 8]} end." for i in range(40)])
+    expected = [x.tolist() for x in tokens.WordEncoder(tokens.default_path()).stream(texts)]
+    monkeypatch.setattr(tokens, "REMEMBERED", 5)
+    monkeypatch.setattr(tokens, "PIECE_BYTES", 30)
+    assert [x.tolist() for x in tokens.WordEncoder(tokens.default_path()).stream(texts)] == expected
 
 
 def test_documents_round_trip(spark):
