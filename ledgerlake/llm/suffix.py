@@ -37,7 +37,10 @@ STRETCH, COVER, SINGLE, SORT, HOT, LOOP = range(6)
 _rng = np.random.default_rng(20)
 _TABLE = _rng.integers(0, 1 << 63, 256, np.uint64)
 _FACTORS = _rng.integers(0, 1 << 63, 7, np.uint64) * np.uint64(2) + np.uint64(1)
-_ROW = "kind int, key long, hash long, doc long, at long, n long"
+# A row's place, size and kind in one number.
+AT, N = 24, 4
+MOST = (1 << AT - N) - 1
+_ROW = "key long, hash long, doc long, span long"
 
 
 def _sliding(values: np.ndarray, wanted: int, pick: np.ufunc) -> np.ndarray:
@@ -69,13 +72,21 @@ def least_hashes(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, n
 
 
 def _rows(kind: int, key, hash_, doc, at, n) -> Iterator[pa.RecordBatch]:
+    names = ["key", "hash", "doc", "span"]
     for i in range(0, len(doc), 100_000):
-        part = slice(i, i + 100_000)
-        columns = [np.asarray(c)[part].view(np.int64) for c in (key, hash_, doc, at, n)]
-        kinds = pa.array(np.full(len(columns[0]), kind, np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [kinds, *map(pa.array, columns)], ["kind", "key", "hash", "doc", "at", "n"]
-        )
+        key_, hash__, doc_, at_, n_ = (np.asarray(c)[i : i + 100_000].view(np.int64) for c in (key, hash_, doc, at, n))
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (key_, hash__, doc_, at_ << AT | n_ << N | kind))], names)
+
+
+def _split(at: np.ndarray, n: np.ndarray, *others: np.ndarray) -> list[np.ndarray]:
+    """Parts of at most `MOST` from each place on."""
+    times = -(-n // MOST)
+    rank = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return [
+        np.repeat(at, times) + rank * MOST,
+        np.minimum(np.repeat(n, times) - rank * MOST, MOST),
+        *(np.repeat(c, times) for c in others),
+    ]
 
 
 def _covers(doc: np.ndarray, at: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -91,8 +102,8 @@ def _covers(doc: np.ndarray, at: np.ndarray, n: np.ndarray) -> Iterator[pa.Recor
     new[1:] |= at[1:] > reach[:-1]
     starts = np.flatnonzero(new)
     ends = reach[np.append(starts[1:], len(doc)) - 1] if len(starts) else reach
-    doc, at = doc[starts], at[starts]
-    yield from _rows(COVER, doc, np.zeros_like(doc), doc, at, ends - at)
+    at, n, doc = _split(at[starts], ends - at[starts], doc[starts])
+    yield from _rows(COVER, doc, np.zeros_like(doc), doc, at, n)
 
 
 def _first(key: np.ndarray, hash_: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -139,7 +150,7 @@ class Block:
         cut[starts[fits]] = True
         src = np.flatnonzero(cut)
         n = np.diff(np.append(src, len(least)))
-        src, n = src[inside[src]], n[inside[src]]
+        src, n = _split(src[inside[src]], n[inside[src]])
         owner = np.flatnonzero(fits)[np.searchsorted(starts[fits], src, "right") - 1]
         data, digest, more = raw.tobytes(), xxhash.xxh3_64_intdigest, self.length - 1
         spans = zip(src.tolist(), (src + n + more).tolist(), strict=True)
@@ -206,106 +217,129 @@ def stretches(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def sift(rows: DataFrame, length: int) -> DataFrame:
-    """What is known once all blocks meet: equal stretches and strings become one with the bytes
-    of the others to remove; stretches that are alone under their hash go, unless they may repeat
-    themselves; the others get the kind SORT, or HOT where the group is."""
+    """(kind, key, hash, doc, at, n): what is known once all blocks meet. Equal stretches and
+    strings become one, with the bytes of the others to remove; stretches that are alone under
+    their hash go, unless they may repeat themselves; the others get the kind SORT, or HOT where
+    the group is."""
+    span = F.col("span")
+    kind, n = span.bitwiseAND(F.lit((1 << N) - 1).cast("long")), F.shiftright(span, N).bitwiseAND(F.lit(MOST).cast("long"))
+    place, empty = F.struct("doc", "span"), F.shiftright(span, N) == 0
     same = Window.partitionBy("family", "key", "hash")
     group = Window.partitionBy("family", "key")
-    real = F.when(F.col("n") > 0, F.col("hash"))
-    family = F.when(F.col("kind") == LOOP, F.lit(STRETCH)).otherwise(F.col("kind"))
+    real = F.when(~empty, F.col("hash"))
     known = (
-        rows.withColumn("family", family)
-        .withColumn("first", F.struct("doc", "at") == F.min(F.struct("doc", "at")).over(same))
+        rows.withColumn("family", F.when(kind == LOOP, F.lit(STRETCH)).otherwise(kind))
+        .repartition("family", "key")  # once for both windows
+        .withColumn("first", place == F.min(place).over(same))
         .withColumn("mixed", F.min(real).over(group) < F.max(real).over(group))
-        .withColumn("hot", (F.min("n").over(group) == 0) | (F.count(F.lit(1)).over(group) > GROUP))
+        .withColumn("hot", F.max(empty).over(group) | (F.count(F.lit(1)).over(group) > GROUP))
     )
-    kind = (
-        F.when(F.col("kind") == COVER, F.lit(COVER))
-        .when(F.col("n") == 0, F.lit(None))
-        .when(~F.col("first"), F.lit(COVER))
-        .when(F.col("kind") == SINGLE, F.lit(SINGLE))
+    cover = kind.isin(COVER) | ~F.col("first")
+    become = (
+        F.when(empty, F.lit(None))
+        .when(cover, F.lit(COVER))
+        .when(kind == SINGLE, F.lit(SINGLE))
         .when(F.col("hot"), F.lit(HOT))
-        .when(F.col("mixed") | (F.col("kind") == LOOP), F.lit(SORT))
+        .when(F.col("mixed") | (kind == LOOP), F.lit(SORT))
     )
-    n = F.when((F.col("kind") != COVER) & ~F.col("first"), F.col("n") + (length - 1)).otherwise(F.col("n"))
-    return known.select(kind.alias("kind"), "key", "hash", "doc", "at", n.alias("n")).where("kind is not null")
+    size = F.when(cover & (kind != COVER), n + (length - 1)).otherwise(n)
+    found = known.select(become.alias("kind"), "key", "hash", "doc", F.shiftright(span, AT).alias("at"), size.alias("n"))
+    return found.where("kind is not null")
+
+
+_PARTS = pa.schema(
+    [("kind", pa.int32()), *((c, pa.int64()) for c in ("key", "hash", "doc", "at", "n")), ("bytes", pa.binary())]
+)
+_PARTS_DDL = "kind int, key long, hash long, doc long, at long, n long, bytes binary"
 
 
 def fetch(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """The texts of SORT stretches as rows of that kind, and SINGLE rows for HOT ones."""
+    """The stretches to sort with their bytes, and the strings of hot groups with two hashes."""
     wanted = found.where(F.col("kind").isin(SORT, HOT)).groupBy("doc")
     wanted = wanted.agg(F.collect_list(F.struct("kind", "key", "at", "n")).alias("parts"))
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = batch_names(_ROW) + ["bytes"]
         for batch in rows:
             columns = dict(zip(batch.schema.names, batch.columns, strict=True))
             out: list[tuple] = []
             size = 0
             for doc, text, parts in zip(columns["doc"], columns["text"], columns["parts"], strict=True):
-                data, doc = text.cast(pa.large_binary()).as_py(), doc.as_py()
+                data, doc = text.cast(pa.binary()).as_py(), doc.as_py()
                 kind, key, at, n = (parts.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
                 for k, a, m in zip(*(c[kind == SORT].tolist() for c in (key, at, n)), strict=True):
                     out.append((SORT, k, 0, doc, a, m, data[a : a + m + length - 1]))
+                    size += m + length
                 hot = kind == HOT
                 if hot.any():
                     keys, hashes = (c.view(np.int64).tolist() for c in _singles(data, at[hot], n[hot], length))
-                    places = (i for a, m in zip(at[hot].tolist(), n[hot].tolist(), strict=True) for i in range(a, a + m))
+                    spans = zip(at[hot].tolist(), n[hot].tolist(), strict=True)
+                    places = (i for a, m in spans for i in range(a, a + m))
                     out += [(SINGLE, k, h, doc, i, 1, None) for k, h, i in zip(keys, hashes, places, strict=True)]
-                size += sum(n.tolist())
                 if len(out) > 50_000 or size > PIECE_BYTES:
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], _SCHEMA)
+                    yield _batch(out)
                     out, size = [], 0
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], _SCHEMA)
-
-    return docs.join(wanted, "doc").mapInArrow(batches, _ROW + ", bytes binary")
+            yield _batch(out)
 
+    return docs.join(wanted, "doc").mapInArrow(batches, _PARTS_DDL)
 
-def batch_names(schema: str) -> list[str]:
-    return [part.split()[0] for part in schema.split(", ")]
 
-
-_SCHEMA = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in batch_names(_ROW)[1:]), ("bytes", pa.binary())])
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(_PARTS)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, _PARTS, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=_PARTS)
 
 
 def sort_shards(parts: DataFrame, length: int) -> DataFrame:
-    """COVER rows for the strings of SORT rows that start earlier too. A group is in one shard."""
+    """(doc, at, n): the bytes of what starts earlier too. All rows of a key come to one task,
+    which sorts shards of whole groups and compares single strings by their hashes."""
 
     def shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        doc, at, n, data = (np.array(c) if i < 3 else c for i, c in enumerate(zip(*rows, strict=True)))
+        doc, at, n, data = zip(*rows, strict=True)
+        doc, at, n = np.array(doc), np.array(at), np.array(n)
         order = np.lexsort((at, doc))
         doc, at, n = doc[order], at[order], n[order]
         segment, offset = repeats([data[i] for i in order], n, length)
-        yield from _covers(doc[segment], at[segment] + offset, np.full(len(segment), length))
+        yield from placed(doc[segment], at[segment] + offset, np.full(len(segment), length))
+
+    def placed(doc: np.ndarray, at: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for batch in _covers(doc, at, n):
+            span = batch.column(3).to_numpy()
+            arrays = [batch.column(2), pa.array(span >> AT), pa.array(span >> N & MOST)]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc", "at", "n"])
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
+        held, size, last, single = [], 0, None, None
         for batch in rows:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > SHARD_BYTES and row[0] != last:
+            later = []
+            for kind, key, hash_, *part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if kind == SINGLE:
+                    if single == (key, hash_):
+                        later.append(part[:2])
+                    single = (key, hash_)
+                    continue
+                if size > SHARD_BYTES and key != last:
                     yield from shard(held)
                     held, size = [], 0
-                last = row[0]
-                held.append(row[1:])
-                size += len(row[4])
+                last = key
+                held.append(part)
+                size += len(part[3])
+            if later:
+                doc, at = np.array(later).T
+                yield from placed(doc, at, np.full(len(doc), length))
         if held:
             yield from shard(held)
 
-    return parts.repartition("key").sortWithinPartitions("key").select("key", "doc", "at", "n", "bytes").mapInArrow(
-        batches, _ROW
-    )
+    dealt = parts.repartition("key").sortWithinPartitions("key", "kind", "hash", "doc", "at")
+    return dealt.mapInArrow(batches, "doc long, at long, n long")
 
 
 def covers(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc, at, n): bytes of docs (doc: unique, text) that a string of `length` bytes covers
+    """(doc, at, n): bytes of docs (doc: unique, text, ...) that a string of `length` bytes covers
     which starts earlier too; the parts may overlap."""
     found = written(sift(stretches(docs, length, gram), length), "stretches")
-    fetched = fetch(docs, found, length)
-    singles = found.where(F.col("kind") == SINGLE).union(fetched.where(F.col("kind") == SINGLE).drop("bytes"))
-    again = sift(singles, length)
-    parts = sort_shards(fetched.where(F.col("kind") == SORT), length)
-    every = found.union(again).union(parts)
-    return every.where(F.col("kind") == COVER).select("doc", "at", "n")
+    singles = found.where(F.col("kind") == SINGLE).withColumn("bytes", F.lit(None).cast("binary"))
+    parts = sort_shards(fetch(docs, found, length).unionByName(singles), length)
+    return found.where(F.col("kind") == COVER).select("doc", "at", "n").union(parts)
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -316,7 +350,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     odd = docs.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("id is null or n > 1")
     if odd.isEmpty():
-        named = docs.where("id is not null").withColumn("doc", F.col("id"))
+        named = docs.where("id is not null").select(F.col("id").alias("doc"), "text", "row")
         return named, named
     docs = docs.withColumn("hash", F.xxhash64("text"))
     order = [F.asc_nulls_last("id"), F.asc("hash")]
@@ -324,7 +358,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = written(keys.withColumn("doc", F.monotonically_increasing_id()), "numbers")
     keys = keys.select(F.col("id").alias("key_id"), F.col("hash").alias("key_hash"), "doc")
     named = docs.join(keys, F.col("id").eqNullSafe(F.col("key_id")) & (F.col("hash") == F.col("key_hash")))
-    named = named.drop("key_id", "key_hash", "hash")
+    named = named.select("doc", "text", "row")
     return named, named.dropDuplicates(["doc"])
 
 
@@ -353,14 +387,15 @@ def remove_repeats(
     )
     named, unique = numbered(rows)
     parts = covers(unique, length, gram).groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("parts"))
-    joined = named.join(parts, "doc", "left").select("row", "text", "parts")
+    joined = named.join(parts, "doc", "left")
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            found = [cut_out(text, parts) for text, parts in zip(batch.column(1), batch.column(2), strict=True)]
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            found = [cut_out(text, parts) for text, parts in zip(columns["text"], columns["parts"], strict=True)]
             n_bytes, spans, digests, kept = zip(*found, strict=True) if found else ((), (), (), ())
             arrays = [
-                batch.column(0),
+                columns["row"],
                 pa.array(n_bytes, pa.int64()),
                 pa.array(spans, pa.list_(pa.list_(pa.int64()))),
                 pa.array(digests, pa.string()),

@@ -60,8 +60,15 @@ def test_blocks_cover_only_repeats(hot):
     texts = [bytes(rng.integers(97, 99, int(k)).astype(np.uint8)) for k in rng.integers(0, 60, 60)]
     expected = slow([(i, t.decode()) for i, t in enumerate(texts)], 10)
     for row in blocks_of(texts, 10, 60, hot):
-        if row["kind"] == suffix.COVER:
-            assert any(a <= row["at"] and row["at"] + row["n"] <= b for a, b in expected[row["doc"]][1])
+        at, n, kind = row["span"] >> suffix.AT, row["span"] >> suffix.N & suffix.MOST, row["span"] & 15
+        if kind == suffix.COVER:
+            assert any(a <= at and at + n <= b for a, b in expected[row["doc"]][1])
+
+
+def test_long_stretches_are_split():
+    at, n, doc = suffix._split(np.array([5, 9]), np.array([2 * suffix.MOST + 1, 3]), np.array([1, 2]))
+    assert n.tolist() == [suffix.MOST, suffix.MOST, 1, 3] and doc.tolist() == [1, 1, 1, 2]
+    assert at.tolist() == [5, 5 + suffix.MOST, 5 + 2 * suffix.MOST, 9]
 
 
 def test_hot_groups_and_shards(spark):
