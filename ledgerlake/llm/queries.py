@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, packing, quality, simhash, suffix
+from ledgerlake.llm import mixing, packing, quality, simhash, suffix, toxicity
 from ledgerlake.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,12 @@ def op2_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         F.col("row.doc_id").alias("doc_id"), *quality.Metrics._fields, "base_failed", "kept", "bits"
     )
+
+
+@registered
+def op7_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, machine).select(
+        F.col("id").alias("doc_id"), toxicity.held_out("id").alias("held_out"), "score", "predicted"
+    )
