@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, packing, quality, simhash, suffix, toxicity
+from ledgerlake.llm import mixing, packing, quality, simhash, suffix, topk, toxicity
 from ledgerlake.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,26 @@ def op7_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, machine).select(
         F.col("id").alias("doc_id"), toxicity.held_out("id").alias("held_out"), "score", "predicted"
     )
+
+
+@registered
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.search(table(spark, sf_dir, "embeddings"), wanted=F.col("id") % 100 == 0)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
+ORACLE["op1_exact_top_k"] = """
+WITH rows AS (
+    SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM rows q JOIN rows c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
