@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, packing, quality, simhash, suffix, topk, toxicity
+from ledgerlake.llm import html_text, mixing, packing, quality, simhash, suffix, topk, toxicity
 from ledgerlake.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ ranked AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@registered
+def op6_min_cut_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", "n_chars")
