@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import html_text, mixing, packing, quality, simhash, suffix, topk, toxicity
 from ledgerlake.llm.common import table
+from ledgerlake.llm.oracle import ORACLE
 
+__all__ = ["ORACLE", "REGISTRY"]
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -85,23 +86,6 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
-ORACLE["op1_exact_top_k"] = """
-WITH rows AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-),
-scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-    FROM rows q JOIN rows c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
-),
-ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
-)
-SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
-"""
-
-
 @registered
 def op6_min_cut_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
