@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import html_text, mixing, packing, quality, simhash, suffix, topk, toxicity
+from ledgerlake.llm import html_text, licences, mixing, packing, quality, simhash, suffix, topk, toxicity
 from ledgerlake.llm.common import table
 from ledgerlake.llm.oracle import ORACLE
 
@@ -90,3 +90,8 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_min_cut_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
     return found.select("row.page_id", "row.url", "text", "n_chars")
+
+
+@registered
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
