@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import html_text, licences, mixing, packing, quality, simhash, suffix, topk, toxicity
+from ledgerlake.llm import html_text, licences, mixing, packing, quality, quotes, simhash, suffix, topk, toxicity
 from ledgerlake.llm.common import table
 from ledgerlake.llm.oracle import ORACLE
 
@@ -95,3 +95,8 @@ def op6_min_cut_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@registered
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_ordered(table(spark, sf_dir, "conversations"))
