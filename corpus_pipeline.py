@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import mixing, packing, quality, simhash, suffix
-from ledgerlake.llm.common import table, written
+from ledgerlake.llm.common import importable, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -65,12 +65,20 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     )
 
 
+def _stage(work: Stage) -> Stage:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return work(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", quality_rules),
-    ("simhash_near_dedup", near_duplicates),
-    ("suffix_array_dedup", repeated_passages),
-    ("source_mixing", source_mixing),
-    ("best_fit_packing", best_fit_packing),
+    ("quality_rules", _stage(quality_rules)),
+    ("simhash_near_dedup", _stage(near_duplicates)),
+    ("suffix_array_dedup", _stage(repeated_passages)),
+    ("source_mixing", _stage(source_mixing)),
+    ("best_fit_packing", _stage(best_fit_packing)),
 ]
 
 # Fingerprints, tokens and the language model are beyond SQL; the tests compare with brute force.

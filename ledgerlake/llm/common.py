@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from itertools import combinations
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,15 @@ from ledgerlake.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets the Python workers of this machine import the package from where the driver has it."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

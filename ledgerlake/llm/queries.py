@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import html_text, licences, mixing, packing, quality, quotes, simhash, suffix, topk, toxicity
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import importable, table
 from ledgerlake.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "REGISTRY"]
@@ -16,7 +16,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    REGISTRY[query.__name__] = query
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    REGISTRY[query.__name__] = run
     return query
 
 
