@@ -366,13 +366,54 @@ ORACLE: dict[str, str] = {
         FROM gold WHERE reject_reason IS NOT NULL""",
     ),
     "gold_from_lake": _with(
-        _TXN, _FX,
-        f"\nshort AS (SELECT * FROM fx_all WHERE run_date IN ('{RUN_DATE}', '1998-06-14'))",
-        _EFFECTIVE.replace("fx_all", "short"), _gold("eff"),
+        _TXN, _FX, _EFFECTIVE, _gold("eff"),
         """SELECT coalesce(reject_reason, '') AS reject_reason, value_date,
           count(*) AS txn_count, CAST(sum(amount) AS DOUBLE) AS amount
         FROM gold GROUP BY reject_reason, value_date""",
     ),
+    "gold_reject_layer": _with(
+        _TXN, _FX, _EFFECTIVE, _gold("eff"),
+        f"""SELECT account_no_hash, value_date, {_SIDES}, reject_reason
+        FROM gold WHERE reject_reason IS NOT NULL""",
+    ),
+    "fx_ingest_bad_rate": _with(
+        _FX,
+        f"""SELECT currency AS target_currency,
+          CASE WHEN currency NOT IN ('C03', 'C05', 'C07') THEN CAST(rate AS DOUBLE) END AS rate_to_sgd,
+          CASE currency WHEN 'C03' THEN 'n/a' WHEN 'C05' THEN '1500000.5' WHEN 'C07' THEN '-1' END AS rate_text
+        FROM fx_all WHERE run_date = '{RUN_DATE}' AND rate IS NOT NULL""",
+    ),
+    "bronze_rejects": _with(
+        _TXN,
+        """SELECT value_date, CASE WHEN l_orderkey % 43 = 0
+            THEN replace(CAST(withdrawal_amt AS VARCHAR), '.', ',') ELSE CAST(withdrawal_amt AS VARCHAR)
+          END AS withdrawal_amt,
+          CASE WHEN l_orderkey % 43 = 0 AND withdrawal_amt IS NOT NULL THEN 'unparsed_withdrawal_amt'
+          END AS reject_reason FROM txn""",
+    ),
+    "change_feed_rejects": _with(_CDC, "SELECT seq, seq % 97 = 0 AS rejected FROM cdc"),
+    "ods_merge_late": _with(_CDC, _latest("latest"), f"SELECT {_CHANGE} FROM latest"),
+    "ods_merge_late_shuffled": _with(_CDC, _latest("latest"), f"SELECT {_CHANGE} FROM latest"),
+    "scd2_replay": _with(_CDC, _history("h"), f"SELECT {_DIM} FROM h_dim"),
+    "cdc_bad_ops": _with(
+        _CDC,
+        """SELECT seq, CASE WHEN seq % 103 = 0 THEN 'no_key'
+          WHEN seq % 101 = 0 OR seq % 89 = 0 THEN 'unknown_operation' END AS reject_reason FROM cdc""",
+    ),
+    "cdc_schema_change": _with(
+        _CDC, _latest("latest"),
+        f"""SELECT id, seq, segment,
+          CASE WHEN new THEN 'u' || id || '@example.com' END AS email,
+          CASE WHEN new THEN lpad(CAST(id AS VARCHAR), 8, '0') END AS phone,
+          CASE WHEN new THEN 'u' || id || '@example.com' END AS version_email
+        FROM (SELECT *, updated_at >= TIMESTAMP '{BATCH_DATE} 00:00:00' AS new FROM latest WHERE op <> 'D')""",
+    ),
+    "fact_load_duplicates": _with(
+        _FACTS,
+        """SELECT CAST(claim_date AS VARCHAR) AS label, count(*) AS n FROM claims GROUP BY claim_date
+        UNION ALL SELECT 'no_id', count(*) FROM claims WHERE claim_id % 5 = 0
+        UNION ALL SELECT 'no_date', count(*) FROM claims WHERE claim_id % 7 = 0""",
+    ),
     "cdc_latest": _with(_CDC, _latest("latest"), f"SELECT {_CHANGE} FROM latest"),
     "ods_merge": _MERGE,
     "ods_merge_shuffled": _MERGE,

@@ -14,7 +14,7 @@ from ledgerlake.functions.money import DIVIDE
 from ledgerlake.operators import aggregate, changes, enrich, history, joins, project, validate
 from ledgerlake.plans import daily, warehouse
 from ledgerlake.plans.layout import LakePaths, WarehousePaths
-from ledgerlake.schemas import CHANGES, CHANGES_V1, INGESTION_DATE, TRANSACTIONS
+from ledgerlake.schemas import CHANGES, CHANGES_V1, INGESTION_DATE, RATE, TRANSACTIONS
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import lake as sink
 from ledgerlake.sources import lake, landing
@@ -25,6 +25,8 @@ LANDED_FILES = 16
 V2_SINCE = "2024-01-16"
 FIRST_DELIVERY = "2024-01-29"
 FIX_DATE = "1998-12-31"
+CUSTOMERS = warehouse.Feed(CHANGES, tracked=("segment",))
+OLD_CUSTOMERS = warehouse.Feed(CHANGES_V1, tracked=("segment",))
 
 
 def registered(query: Query) -> Query:
@@ -227,8 +229,7 @@ def backfill_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = LakePaths.under(scratch_path(spark, "backfill"))
     txn = fx_in.yearly_batches(fx_in.trimmed_transactions(spark, sf_dir))
     sink.write_dates(sink.cluster_by_date(txn), paths.bronze)
-    delivered = F.substring("run_date", 6, 5) == "12-31"
-    sink.write_fx(fx_in.fx_rates(spark, sf_dir).where(delivered), paths.fx)
+    sink.write_fx(fx_in.fx_rates(spark, sf_dir), paths.fx)
     daily.run_backfill(spark, paths, "1995-01-01", "2002-01-01")
     return lake.read_days(spark, paths.currency_agg, "1995-01-01", "2002-01-01")
 
@@ -238,8 +239,7 @@ def backfill_detail_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = LakePaths.under(scratch_path(spark, "backfill-detail"))
     txn = fx_in.yearly_batches(fx_in.trimmed_transactions(spark, sf_dir))
     sink.write_dates(sink.cluster_by_date(txn), paths.bronze)
-    delivered = F.substring("run_date", 6, 5) == "12-31"
-    sink.write_fx(fx_in.fx_rates(spark, sf_dir).where(delivered), paths.fx)
+    sink.write_fx(fx_in.fx_rates(spark, sf_dir), paths.fx)
     daily.run_detail_backfill(spark, paths, "1995-01-01", "2002-01-01")
     return lake.read_days(spark, paths.detail, "1995-01-01", "2002-01-01").select(
         *ROW_ID, INGESTION_DATE, "value_date", "currency", "amount", "rate_to_sgd", "amount_sgd"
@@ -264,6 +264,26 @@ def fx_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_fx_snapshot(spark, f"{root}/landed", multi_line=False)
 
 
+@registered
+def fx_ingest_bad_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reply in which some rates are none: the rates of the day, and what was rejected."""
+    root = scratch_path(spark, "fx-bad")
+    paths = LakePaths.under(root)
+    reply = fx_in.fx_replies(fx_in.fx_rates(spark, sf_dir).where(F.col("run_date") == RUN_DATE))
+    spoiled = F.transform_values(
+        "rates",
+        lambda k, v: F.when(k == "C03", "n/a").when(k == "C05", "1500000.5").when(k == "C07", "-1")
+        .otherwise(v.cast("string")),
+    )
+    reply.withColumn("rates", spoiled).write.json(f"{root}/landed")
+    daily.run_fx_ingest(spark, f"{root}/landed", paths, RUN_DATE)
+    good = lake.read_fx_days(spark, paths.fx, RUN_DATE, "1998-06-16")
+    rejected = lake.read_day(spark, paths.fx_reject, RUN_DATE)
+    return good.select("target_currency", "rate_to_sgd", F.lit(None).cast("string").alias("rate_text")).unionAll(
+        rejected.select("target_currency", F.lit(None).cast(RATE), "rate_text")
+    )
+
+
 # --- hot keys -----------------------------------------------------------------------------
 
 
@@ -291,6 +311,21 @@ def bronze_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_transactions(spark, paths.bronze, RUN_DATE)
 
 
+@registered
+def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw amounts as text, some with a comma: bronze rows, and what was rejected and why."""
+    paths = LakePaths.under(scratch_path(spark, "bronze-rejects"))
+    text = F.col("withdrawal_amt").cast("string")
+    comma = F.when(F.col("l_orderkey") % 43 == 0, F.replace(text, F.lit("."), F.lit(","))).otherwise(text)
+    raw = fx_in.transactions(spark, sf_dir).withColumn("withdrawal_amt", comma)
+    sink.write_day(raw, paths.raw, RUN_DATE, files=LANDED_FILES)
+    daily.run_bronze(spark, paths, RUN_DATE)
+    good = lake.read_transactions(spark, paths.bronze, RUN_DATE)
+    rejected = lake.read_day(spark, paths.reject, RUN_DATE)
+    kept = good.select("value_date", F.col("withdrawal_amt").cast("string"), F.lit(None).alias("reject_reason"))
+    return kept.unionAll(rejected.select("value_date", "withdrawal_amt", "reject_reason"))
+
+
 def _land_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Transactions as CSV, where some balances are not numbers."""
     balance = F.when(F.col("l_orderkey") % 43 == 0, F.lit("n/a")).otherwise(
@@ -401,6 +436,22 @@ def change_feed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _land_feed(spark, sf_dir, scratch_path(spark, "feed"))
 
 
+@registered
+def change_feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change files with bad ids: which changes were read and which lines rejected."""
+    root = scratch_path(spark, "feed-rejects")
+    spoiled = F.when(F.col("seq") % 97 == 0, F.concat(F.lit("x"), F.col("id"))).otherwise(F.col("id").cast("string"))
+    as_text = fx_in.changes(spark, sf_dir).withColumn("id", spoiled)
+    as_text = as_text.withColumn("updated_at", F.col("updated_at").cast("string"))
+    as_text.repartition(LANDED_FILES).write.option("header", True).csv(f"{root}/landed")
+    feed, rejected = landing.split_change_feed(spark, {f"{root}/landed": CHANGES_V1}, CHANGES_V1)
+    # Spark does not read the raw line alone; see `landing.read_csv`.
+    rejected.write.parquet(f"{root}/rejected")
+    lines = spark.read.parquet(f"{root}/rejected")
+    seq = F.split_part(landing.CORRUPT, F.lit(","), F.lit(1)).cast("long").alias("seq")
+    return feed.select("seq", F.lit(False).alias("rejected")).unionAll(lines.select(seq, F.lit(True)))
+
+
 @registered
 def curated_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "curated")
@@ -441,8 +492,7 @@ def gold_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch with all transactions through the gold job; counts per outcome and currency."""
     paths = LakePaths.under(scratch_path(spark, "gold"))
     sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
-    two_days = F.col("run_date").isin(RUN_DATE, "1998-06-14")
-    sink.write_fx(fx_in.fx_rates(spark, sf_dir).where(two_days), paths.fx)
+    sink.write_fx(fx_in.fx_rates(spark, sf_dir), paths.fx)
     daily.run_bronze(spark, paths, RUN_DATE)
     daily.run_gold(spark, paths, RUN_DATE)
     valid, rejected = daily.read_gold(spark, paths, RUN_DATE)
@@ -452,6 +502,18 @@ def gold_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def gold_reject_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gold job leaves in the reject layer."""
+    paths = LakePaths.under(scratch_path(spark, "gold-rejects"))
+    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
+    sink.write_fx(fx_in.fx_rates(spark, sf_dir), paths.fx)
+    daily.run_bronze(spark, paths, RUN_DATE)
+    daily.run_gold(spark, paths, RUN_DATE)
+    rejected = lake.read_day(spark, paths.gold_reject, RUN_DATE)
+    return rejected.select("account_no_hash", "value_date", *_SIDES, validate.REJECT_REASON)
+
+
 # --- change feed to warehouse -------------------------------------------------------------
 
 
@@ -476,6 +538,28 @@ def ods_merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.merge_changes(*_ods_and_batch(spark, sf_dir), limit=0)
 
 
+@registered
+def ods_merge_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last day's changes first, then all that were before them."""
+    late = changes.latest_changes(fx_in.changes_before(spark, sf_dir))
+    return changes.merge_in_order(changes.latest_changes(fx_in.changes_of_batch(spark, sf_dir)), late)
+
+
+@registered
+def ods_merge_late_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    late = changes.latest_changes(fx_in.changes_before(spark, sf_dir))
+    state = changes.latest_changes(fx_in.changes_of_batch(spark, sf_dir))
+    return changes.merge_in_order(state, late, limit=0)
+
+
+@registered
+def scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole history, and the changes of a day in its middle once more."""
+    feed = fx_in.changes(spark, sf_dir)
+    day = changes.latest_changes(feed.where(F.to_date("updated_at") == F.lit(V2_SINCE).cast("date")))
+    return history.apply_to_history(history.build_history(feed, ["segment"]), day, ["segment"], V2_SINCE)
+
+
 @registered
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.build_history(fx_in.changes(spark, sf_dir), ["segment"])
@@ -488,6 +572,61 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.apply_to_history(before, batch, ["segment"], BATCH_DATE)
 
 
+@registered
+def cdc_bad_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes without a key or a known operation: which were curated, and which rejected and why."""
+    paths = WarehousePaths.under(scratch_path(spark, "bad-ops"))
+    feed = fx_in.changes(spark, sf_dir)
+    op = F.when(F.col("seq") % 101 == 0, "X").when(F.col("seq") % 89 != 0, F.col("op"))
+    feed = feed.withColumn("op", op).withColumn("id", F.when(F.col("seq") % 103 != 0, F.col("id")))
+    warehouse.run_curation(feed, OLD_CUSTOMERS, paths, BATCH_DATE)
+    good = warehouse.read_curated(spark, OLD_CUSTOMERS, paths, BATCH_DATE)
+    rejected = lake.read_day(spark, paths.change_reject, BATCH_DATE, warehouse.DELIVERY)
+    return good.select("seq", F.lit(None).cast("string").alias("reject_reason")).unionAll(
+        rejected.select("seq", "reject_reason")
+    )
+
+
+@registered
+def cdc_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first delivery without contacts, then a batch with them: the latest state."""
+    paths = WarehousePaths.under(scratch_path(spark, "schema-change"))
+    warehouse.run_curation(fx_in.changes_before(spark, sf_dir), OLD_CUSTOMERS, paths, FIRST_DELIVERY)
+    warehouse.run_initial_load(spark, OLD_CUSTOMERS, paths, FIRST_DELIVERY)
+    tracked = warehouse.Feed(CHANGES, tracked=("segment", "email"))
+    warehouse.run_curation(_with_contacts(fx_in.changes_of_batch(spark, sf_dir)), tracked, paths, BATCH_DATE)
+    warehouse.run_batch(spark, tracked, paths, BATCH_DATE, FIRST_DELIVERY)
+    emails = warehouse.read_dimension(spark, tracked, paths, BATCH_DATE).where("end_date IS NULL")
+    state = warehouse.read_state(spark, tracked, paths, BATCH_DATE)
+    versions = emails.select("id", F.col("email").alias("version_email"))
+    return joins.lookup_join(state, versions, ["id"], "left").select(
+        "id", "seq", "segment", "email", "phone", "version_email"
+    )
+
+
+@registered
+def fact_load_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims that come twice, or without an id or a date, loaded twice: rows per day and reason."""
+    paths = WarehousePaths.under(scratch_path(spark, "doubled"))
+    warehouse.run_curation(fx_in.changes(spark, sf_dir), OLD_CUSTOMERS, paths, BATCH_DATE)
+    warehouse.run_initial_load(spark, OLD_CUSTOMERS, paths, BATCH_DATE)
+    claims = fx_in.claims(spark, sf_dir)
+    nothing = F.lit(None)
+    delivered = (
+        claims.unionAll(claims.where("claim_id % 3 = 0"))
+        .unionAll(claims.where("claim_id % 5 = 0").withColumn("claim_id", nothing.cast("long")))
+        .unionAll(claims.where("claim_id % 7 = 0").withColumn("claim_date", nothing.cast("date")))
+    )
+    for _ in range(2):
+        warehouse.run_fact_load(
+            spark, OLD_CUSTOMERS, delivered, paths, BATCH_DATE, "2024-01-01", "2025-01-01", "claim_id", "claim_date"
+        )
+    per_day = spark.read.parquet(paths.fact).groupBy(F.col("claim_date").cast("string").alias("label"))
+    rejected = lake.read_day(spark, paths.fact_reject, BATCH_DATE, warehouse.VERSION)
+    per_reason = rejected.groupBy(F.col("reject_reason").alias("label"))
+    return per_day.agg(F.count(F.lit(1)).alias("n")).unionAll(per_reason.agg(F.count(F.lit(1)).alias("n")))
+
+
 def _fact_load(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
     claims = fx_in.claims(spark, sf_dir)
     loaded = claims.where(F.col("claim_date") < F.lit(V2_SINCE).cast("date"))
@@ -516,9 +655,6 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CUSTOMERS = warehouse.Feed(CHANGES, tracked=("segment",))
-
-
 def _deliver(spark: SparkSession, sf_dir: str, root: str) -> WarehousePaths:
     """Two deliveries of changes: everything before the last day, then the last day."""
     paths = WarehousePaths.under(root)
@@ -534,7 +670,7 @@ def cdc_to_ods(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _deliver(spark, sf_dir, scratch_path(spark, "ods"))
     warehouse.run_initial_load(spark, CUSTOMERS, paths, FIRST_DELIVERY)
     warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, FIRST_DELIVERY)
-    return warehouse.read_state(spark, paths, BATCH_DATE)
+    return warehouse.read_state(spark, CUSTOMERS, paths, BATCH_DATE)
 
 
 @registered
@@ -542,7 +678,7 @@ def cdc_to_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _deliver(spark, sf_dir, scratch_path(spark, "dimension"))
     warehouse.run_initial_load(spark, CUSTOMERS, paths, FIRST_DELIVERY)
     warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, FIRST_DELIVERY)
-    return warehouse.read_dimension(spark, paths, BATCH_DATE)
+    return warehouse.read_dimension(spark, CUSTOMERS, paths, BATCH_DATE)
 
 
 @registered
@@ -552,11 +688,11 @@ def cdc_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = fx_in.claims(spark, sf_dir)
     keys = ("claim_id", "claim_date")
     warehouse.run_initial_load(spark, CUSTOMERS, paths, FIRST_DELIVERY)
-    warehouse.run_fact_load(spark, claims, paths, FIRST_DELIVERY, "2024-01-01", BATCH_DATE, *keys)
+    warehouse.run_fact_load(spark, CUSTOMERS, claims, paths, FIRST_DELIVERY, "2024-01-01", BATCH_DATE, *keys)
     warehouse.run_batch(spark, CUSTOMERS, paths, BATCH_DATE, FIRST_DELIVERY)
-    warehouse.run_fact_load(spark, claims, paths, BATCH_DATE, BATCH_DATE, "2024-02-01", *keys)
+    warehouse.run_fact_load(spark, CUSTOMERS, claims, paths, BATCH_DATE, BATCH_DATE, "2024-02-01", *keys)
     facts = spark.read.parquet(paths.fact)
-    dimension = warehouse.read_dimension(spark, paths, BATCH_DATE)
+    dimension = warehouse.read_dimension(spark, CUSTOMERS, paths, BATCH_DATE)
     versions = dimension.select("sk", "segment", "start_date", "end_date")
     return joins.lookup_join(facts, versions, ["sk"], "left").select(
         "claim_id", "id", "claim_date", "amount", "sk", "segment", "start_date", "end_date"
@@ -572,6 +708,6 @@ def reconcile_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.run_initial_load(spark, CUSTOMERS, paths, BATCH_DATE)
     claims = fx_in.claims(spark, sf_dir)
     warehouse.run_fact_load(
-        spark, claims, paths, BATCH_DATE, "2024-01-01", V2_SINCE, "claim_id", "claim_date"
+        spark, CUSTOMERS, claims, paths, BATCH_DATE, "2024-01-01", V2_SINCE, "claim_id", "claim_date"
     )
-    return warehouse.fact_report(spark, claims, paths, "claim_date", ["amount"])
+    return warehouse.fact_report(spark, claims, paths, "claim_date", ["amount"], "2024-01-01", "2025-01-01")

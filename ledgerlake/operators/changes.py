@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.joins import BROADCAST_BYTES, fits_broadcast
 
 DELETE = "D"
+OPERATIONS = ("I", "U", DELETE)
+REASON = "reject_reason"
+
+
+def split_changes(
+    changes: DataFrame, key: str = "id", op: str = "op", updated_at: str = "updated_at"
+) -> tuple[DataFrame, DataFrame]:
+    """(changes that can be applied, the others with their reason)."""
+    known = F.coalesce(F.col(op).isin(*OPERATIONS), F.lit(False))
+    reason = (
+        F.when(F.col(key).isNull(), F.lit("no_key"))
+        .when(~known, F.lit("unknown_operation"))
+        .when(F.col(updated_at).isNull(), F.lit("no_time"))
+    )
+    judged = changes.withColumn(REASON, reason)
+    return judged.where(F.col(REASON).isNull()).drop(REASON), judged.where(F.col(REASON).isNotNull())
 
 
 def latest_changes(
@@ -49,3 +65,25 @@ def merge_changes(
         .select(F.when(unchanged, F.col("kept")).otherwise(applied).alias("row"))
         .select("row.*")
     )
+
+
+def merge_in_order(
+    state: DataFrame,
+    latest: DataFrame,
+    key: str = "id",
+    order: tuple[str, ...] = ("updated_at", "seq"),
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The last change of each key after one batch, in whichever order batches arrive.
+
+    `state` and `latest` hold one change per key, deletions included: a deleted key keeps its last
+    change as a tombstone, so that an older change does not bring it back. A batch applied again
+    changes nothing. A small batch leaves the state of other keys where it is.
+    """
+    latest = latest.select(state.columns)
+    touched = latest.select(key)
+    if not fits_broadcast(touched, limit):
+        return latest_changes(state.unionAll(latest), key, order).select(state.columns)
+    untouched = state.join(F.broadcast(touched), key, "left_anti").select(state.columns)
+    met = state.join(F.broadcast(touched), key, "left_semi").select(state.columns)
+    return untouched.unionAll(latest_changes(met.unionAll(latest), key, order).select(state.columns))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.keys import surrogate_key
 from ledgerlake.operators.changes import DELETE
-from ledgerlake.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join, split_join
+from ledgerlake.operators.joins import BROADCAST_BYTES, fits_broadcast, split_join
 
 
 def _differs(left: list[Column], right: list[Column]) -> Column:
@@ -78,7 +78,9 @@ def apply_to_history(
     Only keys whose attributes changed are closed, at `run_date`, and get a new version.
     Closed versions are passed through without a shuffle, and so are the open versions of
     untouched keys while the batch's keys are small enough to broadcast. The others meet the
-    batch in one join. Applying the same batch again changes nothing.
+    batch in one join. Applying the same batch again changes nothing. A key whose open version
+    began after `run_date`, or whose last version ended after it, is left as it is: a batch that
+    comes late neither destroys nor overlaps a version.
     """
     start = F.lit(run_date).cast("date")
     columns = ["sk", key, *attributes, "start_date", "end_date"]
@@ -91,12 +93,17 @@ def apply_to_history(
             current.join(F.broadcast(touched), key, "left_anti").select(columns)
         )
         current = current.join(F.broadcast(touched), key, "left_semi")
+    # The last ends of the batch's keys: at most one row for each of them.
+    ended = dimension.where(F.col("end_date") > start).select(key).distinct()
+    timely = latest.join(ended, key, "left_anti")
     met = current.select(key, F.struct(*columns).alias("now")).join(
-        latest.select(key, F.struct(op, *attributes).alias("change")), key, "full_outer"
+        timely.select(key, F.struct(op, *attributes).alias("change")), key, "full_outer"
     )
     is_open = F.col("now").isNotNull()
-    arrives = F.col("change").isNotNull() & (F.col(f"change.{op}") != DELETE)
-    leaves = F.col("change").isNotNull() & (F.col(f"change.{op}") == DELETE)
+    late = is_open & (F.col("now.start_date") > start)
+    applies = F.col("change").isNotNull() & ~late
+    arrives = applies & (F.col(f"change.{op}") != DELETE)
+    leaves = applies & (F.col(f"change.{op}") == DELETE)
     differs = _differs(
         [F.col(f"now.{a}") for a in attributes], [F.col(f"change.{a}") for a in attributes]
     )
@@ -115,7 +122,7 @@ def apply_to_history(
     no_end = F.lit(None).cast("date")
     # A version that would close on the day it began was never valid.
     kept = F.when(
-        is_open & ~(closes & (F.col("now.start_date") >= start)),
+        is_open & ~(closes & (F.col("now.start_date") == start)),
         version("now", F.col("now.sk"), F.col("now.start_date"), F.when(closes, start)),
     )
     added = F.when(
@@ -168,11 +175,27 @@ def lookup_version(
     return joined.select(*facts.columns, F.get(valid, F.lit(0))["sk"].alias("sk"))
 
 
+def split_facts(facts: DataFrame, fact_id: str, fact_date: str) -> tuple[DataFrame, DataFrame]:
+    """(facts with an id and a date, the others with their reason)."""
+    reason = F.when(F.col(fact_id).isNull(), F.lit("no_id")).when(F.col(fact_date).isNull(), F.lit("no_date"))
+    judged = facts.withColumn("reject_reason", reason)
+    good = F.col("reject_reason").isNull()
+    return judged.where(good).drop("reject_reason"), judged.where(~good)
+
+
+def unique_facts(facts: DataFrame, fact_id: str) -> DataFrame:
+    """One row for each id: the smallest of those that were delivered."""
+    rows = facts.groupBy(fact_id).agg(F.min(F.struct(*facts.columns)).alias("fact"))
+    return rows.select("fact.*")
+
+
 def new_facts(
     facts: DataFrame, loaded: DataFrame, fact_id: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Facts that are not in the loaded table yet."""
-    return lookup_join(facts, loaded.select(fact_id), [fact_id], "left_anti", limit)
+    """Facts that are not in the loaded table yet. Ids are unique, so no key is hot."""
+    ids = loaded.select(fact_id)
+    ids = F.broadcast(ids) if fits_broadcast(ids, limit) else ids.hint("merge")
+    return facts.join(ids, fact_id, "left_anti").select(facts.columns)
 
 
 def load_facts(
@@ -186,9 +209,13 @@ def load_facts(
     key: str = "id",
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The rows to append to the fact table for [since, until)."""
+    """The rows to append to the fact table for [since, until): each fact with an id once.
+
+    Facts without an id or a date are in no period; see `split_facts`.
+    """
     period = (F.col(fact_date) >= F.lit(since).cast("date")) & (
         F.col(fact_date) < F.lit(until).cast("date")
     )
-    fresh = new_facts(facts.where(period), loaded.where(period), fact_id, limit)
+    known = facts.where(period & F.col(fact_id).isNotNull())
+    fresh = new_facts(unique_facts(known, fact_id), loaded.where(period), fact_id, limit)
     return lookup_version(fresh, dimension, fact_date, since, until, key, limit)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions.keys import row_hash
+from ledgerlake.session import scratch_path
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 # What a row costs in a hashed relation besides its cells.
@@ -53,11 +54,16 @@ def lookup_join(
 def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
     """Keys with more rows than one shuffle partition's fair share, with their split count.
 
-    There are fewer of them than shuffle partitions, whatever the size of `df`.
+    There are fewer of them than shuffle partitions, whatever the size of `df`. The counts are
+    written once, so `df` is evaluated once.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows_per_key = df.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
-    fair_share = max(1, df.count() // partitions)
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "rows-per-key")
+    df.groupBy(*on).agg(F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    rows_per_key = spark.read.parquet(path)
+    total = rows_per_key.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()["rows"]
+    fair_share = max(1, total // partitions)
     return rows_per_key.where(F.col("rows") > fair_share).select(
         *on, F.ceil(F.col("rows") / fair_share).cast("int").alias(_SALTS)
     )
@@ -89,4 +95,5 @@ def split_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "i
         .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
         .drop(_SALTS)
     )
-    return spread.join(copies, [*on, _SALT], how).drop(_SALT)
+    # Without the hint Spark may broadcast a lookup that was found too large for it.
+    return spread.join(copies.hint("merge"), [*on, _SALT], how).drop(_SALT)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,25 @@ def mask_pii(df: DataFrame, salt: str | None = None) -> DataFrame:
     return df.withColumn("account_no_hash", hashed("account_no", salt)).drop("account_no")
 
 
+def unparsed_column(df: DataFrame, target: T.StructType) -> Column:
+    """The name of the first column whose cell `conform` would lose, as `unparsed_<name>`, or null.
+
+    Blank cells are no values, so they are not lost.
+    """
+    present = set(df.columns)
+    lost = [
+        F.when(
+            F.col(f.name).isNotNull()
+            & (F.trim(F.col(f.name).cast("string")) != "")
+            & F.col(f.name).try_cast(f.dataType).isNull(),
+            F.lit(f"unparsed_{f.name}"),
+        )
+        for f in target.fields
+        if f.name in present
+    ]
+    return F.coalesce(*lost, F.lit(None).cast("string"))
+
+
 def conform(df: DataFrame, target: T.StructType) -> DataFrame:
     """Exactly the target's columns, order and types.
 

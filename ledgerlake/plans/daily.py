@@ -25,6 +25,7 @@ from ledgerlake.operators.project import (
     mask_pii,
     stamp_ingestion_date,
     trim_strings,
+    unparsed_column,
 )
 from ledgerlake.operators.validate import (
     REJECT_REASON,
@@ -37,7 +38,7 @@ from ledgerlake.plans.layout import LakePaths
 from ledgerlake.schemas import BRONZE, GOLD, INGESTION_DATE, TRANSACTIONS
 from ledgerlake.sinks.lake import partitions_for, replace_dates, stored_bytes, write_day, write_fx
 from ledgerlake.sources.lake import read_day, read_days, read_fx_data, read_fx_days, read_transactions
-from ledgerlake.sources.landing import CORRUPT, read_csv, read_fx_snapshot, split_corrupt
+from ledgerlake.sources.landing import CORRUPT, read_csv, split_corrupt, split_fx_snapshot
 
 
 def currency_aggregate(
@@ -97,8 +98,15 @@ def bronze_rows(raw: DataFrame, run_date: str) -> DataFrame:
 
 
 def run_fx_ingest(spark: SparkSession, reply_path: str, paths: LakePaths, run_date: str) -> None:
-    """One landed reply of the rates service to the rates layer."""
-    write_fx(read_fx_snapshot(spark, reply_path, run_date), paths.fx)
+    """One landed reply of the rates service to the rates layer; what is no rate is rejected.
+
+    A reply without any rate is an error, for a day without rates would lose its transactions.
+    """
+    rates, rejected = split_fx_snapshot(spark, reply_path, run_date)
+    write_day(rejected.drop("run_date"), paths.fx_reject, run_date)
+    if rates.isEmpty():
+        raise ValueError(f"no rates in {reply_path}")
+    write_fx(require_unique_rates(rates), paths.fx)
 
 
 def run_bronze(
@@ -110,6 +118,9 @@ def run_bronze(
 ) -> str:
     """Raw Parquet of one day to bronze, under the bronze schema.
 
+    Rows with a cell that does not parse are rejected with its column's name as reason, the account
+    masked. They are counted during the write, so that days without any cost no second pass.
+
     By default each task writes the rows it read. `files` or `file_bytes` (one file per that
     many raw bytes) ask for a layout of its own, at the cost of a shuffle.
     """
@@ -117,8 +128,19 @@ def run_bronze(
     if file_bytes is not None:
         stored = stored_bytes(spark, f"{paths.raw}/{INGESTION_DATE}={run_date}")
         files = partitions_for(stored, file_bytes)
-    rows = conform(bronze_rows(raw, run_date), BRONZE)
-    return write_day(rows, paths.bronze, run_date, files=files)
+    text = bronze_rows(raw, run_date)
+    unparsed = unparsed_column(text, BRONZE)
+    counters = Observation("bronze")
+    counted = text.withColumn(REJECT_REASON, unparsed).observe(
+        counters, F.count(F.col(REJECT_REASON)).alias("rejected")
+    )
+    good = conform(counted.where(F.col(REJECT_REASON).isNull()), BRONZE)
+    leaf = write_day(good, paths.bronze, run_date, files=files)
+    rejected = text.withColumn(REJECT_REASON, unparsed).where(F.col(REJECT_REASON).isNotNull())
+    if counters.get["rejected"] == 0:
+        rejected = spark.createDataFrame([], rejected.schema)
+    write_day(mask_pii(rejected), paths.reject, run_date)
+    return leaf
 
 
 def run_bronze_from_csv(
@@ -144,12 +166,26 @@ def run_bronze_from_csv(
     return counters.get
 
 
+def _rates_of_day(spark: SparkSession, paths: LakePaths, run_date: str) -> DataFrame:
+    """The rates of one day, which may not hold a currency twice."""
+    fx = read_fx_data(spark, paths.fx, run_date)
+    require_unique_rates(fx.withColumn("run_date", F.lit(run_date)))
+    return fx
+
+
+def _value_dates(txn: DataFrame) -> tuple[str, str] | None:
+    """The first and the last value date of a batch, which may hold those of earlier days."""
+    day = F.trim("value_date").try_cast("date")
+    ends = txn.agg(F.min(day).cast("string").alias("first"), F.max(day).cast("string").alias("last")).first()
+    return None if ends["first"] is None else (ends["first"], ends["last"])
+
+
 def run_currency_aggregate(
     spark: SparkSession, paths: LakePaths, run_date: str, rate_mode: str = MULTIPLY
 ) -> str:
     """One day's bronze and rates to the per-currency silver table."""
     txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE.names)
-    fx = read_fx_data(spark, paths.fx, run_date)
+    fx = _rates_of_day(spark, paths, run_date)
     totals = currency_aggregate(txn, fx, run_date, rate_mode)
     return write_day(totals, paths.currency_agg, run_date)
 
@@ -162,8 +198,8 @@ def run_silver_detail(
     rate_mode: str = MULTIPLY,
 ) -> str:
     """One day's bronze and rates to the per-transaction silver table."""
-    txn = read_transactions(spark, paths.bronze, run_date)
-    fx = read_fx_data(spark, paths.fx, run_date)
+    txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE.names)
+    fx = _rates_of_day(spark, paths, run_date)
     rows = silver_detail(txn, fx, run_date, rate_mode)
     return write_day(rows, paths.detail, run_date, files=files)
 
@@ -177,17 +213,21 @@ def run_gold(
 ) -> dict[str, int]:
     """One day to gold and rejects; returns the quality counters.
 
-    Both outputs come from one pass and one write, below the day's folder as
+    Rates are looked up by value date, so those from the batch's first value date, less the lag, to
+    its last one are read. Both outputs come from one pass and one write, below the day's folder as
     `outcome=valid` and `outcome=reject`, so a rerun replaces both together. The counters are
-    observed during that write.
+    observed during that write. The rejected rows are then copied to the reject layer.
     """
     txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE.names)
-    since = _shift_days(run_date, -max_lag_days)
-    fx = require_unique_rates(read_fx_days(spark, paths.fx, since, _shift_days(run_date, 1)))
+    first, last = _value_dates(txn) or (run_date, run_date)
+    since = _shift_days(first, -max_lag_days)
+    fx = require_unique_rates(read_fx_days(spark, paths.fx, since, _shift_days(last, 1)))
     counters = Observation("gold")
     rows = gold_rows(txn, fx, max_lag_days, rate_mode).observe(counters, *quality_counters())
     outcome = F.when(F.col(REJECT_REASON).isNull(), F.lit("valid")).otherwise(F.lit("reject"))
     write_day(rows.withColumn("outcome", outcome), paths.gold, run_date, within=("outcome",))
+    rejected = read_day(spark, paths.gold, run_date, schema=GOLD).where(F.col("outcome") == "reject")
+    write_day(rejected.drop("outcome"), paths.gold_reject, run_date)
     return counters.get
 
 
@@ -201,8 +241,8 @@ def run_backfill(
     spark: SparkSession, paths: LakePaths, since: str, until: str, rate_mode: str = MULTIPLY
 ) -> None:
     """The per-currency table for all dates [since, until), in one job."""
-    txn = read_days(spark, paths.bronze, since, until)
-    rates = effective_rates(read_fx_days(spark, paths.fx, since, until))
+    txn = read_days(spark, paths.bronze, since, until, schema=BRONZE)
+    rates = effective_rates(require_unique_rates(read_fx_days(spark, paths.fx, since, until)))
     totals = currency_aggregate_by_date(txn, rates, rate_mode)
     replace_dates(totals, paths.currency_agg, since, until)
 
@@ -213,7 +253,7 @@ def run_detail_backfill(
     """The per-transaction silver table for all dates [since, until), in one job."""
     txn = read_days(spark, paths.bronze, since, until)
     valid = validate_transactions(txn).transform(add_currency_column).transform(add_amount_column)
-    rates = effective_rates(read_fx_days(spark, paths.fx, since, until))
+    rates = effective_rates(require_unique_rates(read_fx_days(spark, paths.fx, since, until)))
     rows = enrich_by_date(valid, rates, date_column=INGESTION_DATE)
     rows = rows.transform(_in_sgd, rate_mode)
     replace_dates(rows, paths.detail, since, until)

@@ -26,6 +26,14 @@ class LakePaths:
             reject=f"{root}/reject/transactions",
         )
 
+    @property
+    def fx_reject(self) -> str:
+        return f"{self.reject}_rates"
+
+    @property
+    def gold_reject(self) -> str:
+        return f"{self.reject}_gold"
+
     @property
     def currency_agg(self) -> str:
         return f"{self.silver}/currency_agg"
@@ -48,3 +56,11 @@ class WarehousePaths:
         root = root.rstrip("/")
         names = ("curated", "staging", "ods", "dimension", "fact")
         return cls(**{name: f"{root}/{name}" for name in names})
+
+    @property
+    def change_reject(self) -> str:
+        return f"{self.curated}_rejects"
+
+    @property
+    def fact_reject(self) -> str:
+        return f"{self.fact}_rejects"

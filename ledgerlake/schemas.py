@@ -60,12 +60,12 @@ FX_RATES = T.StructType(
     ]
 )
 
-# One reply of the rates service, as landed.
+# One reply of the rates service, as landed: a cell that is no rate must not spoil the others.
 FX_SNAPSHOT = T.StructType(
     [
         T.StructField("timestamp", T.LongType()),
         T.StructField("base", T.StringType()),
-        T.StructField("rates", T.MapType(T.StringType(), RATE)),
+        T.StructField("rates", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 

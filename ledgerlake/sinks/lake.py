@@ -13,6 +13,8 @@ from ledgerlake.schemas import INGESTION_DATE
 from ledgerlake.sources.lake import find, read_day, read_days
 
 FILE_BYTES = 128 * 1024 * 1024
+# Files that one job of a compaction writes.
+MOST_REDUCERS = 10_000
 
 
 def write_day(
@@ -156,10 +158,10 @@ def compact(
     """Rewrite the days [since, until) to a new place with files of about `target_bytes`.
 
     The stored bytes of each date give its number of files; the rows of a date are spread over
-    that many shuffle keys, so one large date is not rewritten by one task. The period bounds
-    the number of shuffle partitions; use `compact_day` where a single day has thousands.
+    that many shuffle keys, so one large date is not rewritten by one task. A long period is done
+    in slices of days with at most `MOST_REDUCERS` files together, so that the shuffle of a slice
+    does not grow with the period; use `compact_day` where a single day has more.
     """
-    layer = read_days(spark, source, since, until, partition)
     day = F.col(partition)
     sizes = (
         stored_files(spark, source)
@@ -168,12 +170,32 @@ def compact(
         .agg(F.sum("length").alias("bytes"))
         .select(partition, F.ceil(F.col("bytes") / target_bytes).cast("int").alias("__files"))
     )
-    total = sizes.agg(F.coalesce(F.sum("__files"), F.lit(1)).alias("n")).first()["n"]
+    first, total = None, 0
+    for row in [*sizes.orderBy(partition).collect(), None]:  # one row for each day of the period
+        if total and (row is None or total + row["__files"] > MOST_REDUCERS):
+            end = until if row is None else row[partition]
+            _compact_slice(spark, source, destination, first, end, partition, sizes, total)
+            first, total = None, 0
+        if row is not None:
+            first, total = first or row[partition], total + row["__files"]
+
+
+def _compact_slice(
+    spark: SparkSession,
+    source: str,
+    destination: str,
+    since: str,
+    until: str,
+    partition: str,
+    sizes: DataFrame,
+    files: int,
+) -> None:
+    layer = read_days(spark, source, since, until, partition)
     spread = (
         lookup_join(layer.withColumn("__file", row_hash(layer.columns)), sizes, [partition])
         .withColumn("__file", F.pmod("__file", "__files").cast("int"))
         .drop("__files")
-        .repartition(total, partition, "__file")
+        .repartition(files, partition, "__file")
         .drop("__file")
     )
     write_dates(spread.select(layer.columns), destination, partition)

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.schemas import INGESTION_DATE
+from ledgerlake.schemas import FX_RATES, INGESTION_DATE
+
+# Folder names in one glob; longer periods are listed by month, then by year.
+MOST_FOLDERS = 100
 
 
 def find(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -26,6 +30,32 @@ def _reader(spark: SparkSession, schema: T.StructType | None):
     return spark.read if schema is None else spark.read.schema(schema)
 
 
+def _days(since: str, until: str) -> list[date]:
+    first, end = date.fromisoformat(since), date.fromisoformat(until)
+    return [first + timedelta(days=n) for n in range((end - first).days)]
+
+
+def period_folders(root: str, since: str, until: str, layout: tuple[str, str, str]) -> str:
+    """A glob of the folders below `root` that days of [since, until) can be in.
+
+    `layout` has the folder of a day, of a month's days and of a year's days as patterns for
+    `date.strftime`. The finest one that needs at most `MOST_FOLDERS` names is used, so that the
+    listing follows the period and not the layer.
+    """
+    days = _days(since, until)
+    for pattern in layout:
+        names = list(dict.fromkeys(day.strftime(pattern) for day in days))
+        if len(names) <= MOST_FOLDERS:
+            break
+    return f"{root}/{{{','.join(names)}}}"
+
+
+def _found(read: Callable[[], DataFrame], empty: Callable[[], DataFrame]) -> DataFrame:
+    """What `read` returns, or `empty` where the period has no folders."""
+    found = find(read)
+    return empty() if found is None else found
+
+
 def read_day(
     spark: SparkSession,
     root: str,
@@ -49,8 +79,14 @@ def read_days(
     partition: str = INGESTION_DATE,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """The days [since, until) of a layer; other partitions are pruned."""
-    days = _reader(spark, schema).parquet(root)
+    """The days [since, until) of a layer. Other days are neither read nor, beyond their month or
+    year, listed. Without any folder in the period, the layer without rows."""
+    layout = tuple(f"{partition}={part}" for part in ("%Y-%m-%d", "%Y-%m-*", "%Y-*"))
+    folders = period_folders(root, since, until, layout)
+    days = _found(
+        lambda: _reader(spark, schema).option("basePath", root).parquet(folders),
+        lambda: _reader(spark, schema).parquet(root).limit(0),
+    )
     day = F.col(partition)
     return days.where((day >= since) & (day < until)).withColumn(partition, day.cast("string"))
 
@@ -75,11 +111,19 @@ def read_fx_data(
 def read_fx_days(spark: SparkSession, root: str, since: str, until: str) -> DataFrame:
     """The rates of [since, until) from the `year=/month=/day=` layout, with their `run_date`.
 
-    The condition uses partition columns only, so other days are pruned.
+    The condition uses partition columns only, so other days are pruned; see `period_folders` for
+    what is listed. Without any folder in the period there are no rows.
     """
     day = F.make_date("year", "month", "day")
+    folders = period_folders(root, since, until, ("year=%Y/month=%m/day=%d", "year=%Y/month=%m", "year=%Y"))
+    stored = T.StructType([f for f in FX_RATES.fields if f.name != "run_date"])
+    dated = T.StructType([*stored.fields, *(T.StructField(c, T.IntegerType()) for c in ("year", "month", "day"))])
+    rates = _found(
+        lambda: spark.read.option("basePath", root).schema(stored).parquet(folders),
+        lambda: spark.createDataFrame([], dated),
+    )
     return (
-        spark.read.parquet(root)
+        rates
         .where((day >= F.lit(since).cast("date")) & (day < F.lit(until).cast("date")))
         .withColumn("run_date", day.cast("string"))
         .drop("year", "month", "day")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators.project import conform
-from ledgerlake.schemas import FX_RATES, FX_SNAPSHOT, TRANSACTIONS
+from ledgerlake.schemas import FX_RATES, FX_SNAPSHOT, RATE, TRANSACTIONS
 
 CORRUPT = "_corrupt_record"
 
@@ -39,37 +39,57 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(~bad).drop(CORRUPT), df.where(bad)
 
 
-def read_fx_snapshot(
+def split_fx_snapshot(
     spark: SparkSession, path: str, run_date: str | None = None, multi_line: bool = True
-) -> DataFrame:
-    """Landed replies of the rates service as rows of the rates table.
+) -> tuple[DataFrame, DataFrame]:
+    """Landed replies of the rates service: rows of the rates table, and the rates that are none.
 
-    The date is the one that was asked for, or else the UTC day of the reply's timestamp.
+    The date is the one that was asked for, or else the UTC day of the reply's timestamp. A rate is
+    none if it is null, no number, not above zero, or beyond the type's range; it keeps its text as
+    `rate_text`.
     """
     replies = spark.read.schema(FX_SNAPSHOT).option("multiLine", multi_line).json(path)
     epoch_day = F.floor(F.col("timestamp") / 86400).cast("int")
     replied = F.date_add(F.lit("1970-01-01").cast("date"), epoch_day).cast("string")
     replies = replies.withColumn("run_date", replied if run_date is None else F.lit(run_date))
-    return replies.select(
+    rates = replies.select(
         "run_date",
         F.col("base").alias("base_currency"),
-        F.explode("rates").alias("target_currency", "rate_to_sgd"),
-    ).select(FX_RATES.names)
+        F.explode("rates").alias("target_currency", "rate_text"),
+    ).withColumn("rate_to_sgd", F.trim("rate_text").try_cast(RATE))
+    good = F.coalesce(F.col("rate_to_sgd") > 0, F.lit(False))
+    rejected = ["run_date", "base_currency", "target_currency", "rate_text"]
+    return rates.where(good).select(FX_RATES.names), rates.where(~good).select(rejected)
+
+
+def read_fx_snapshot(
+    spark: SparkSession, path: str, run_date: str | None = None, multi_line: bool = True
+) -> DataFrame:
+    """The good rows of `split_fx_snapshot`."""
+    return split_fx_snapshot(spark, path, run_date, multi_line)[0]
 
 
 def read_change_feed(
     spark: SparkSession, versions: Mapping[str, T.StructType], target: T.StructType
 ) -> DataFrame:
-    """Change files of several schema versions under one target schema.
+    """The good rows of `split_change_feed`."""
+    return split_change_feed(spark, versions, target)[0]
+
+
+def split_change_feed(
+    spark: SparkSession, versions: Mapping[str, T.StructType], target: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """Change files of several schema versions: rows under one target schema, and lines with cells
+    that do not parse, with the cells that do and their raw text (see `read_csv`).
 
     `versions` maps a folder or glob to the schema of the files in it. Spark packs small
     files into splits, so the task count follows the bytes and not the files.
     """
-    parts = [
-        conform(spark.read.schema(schema).option("header", True).csv(path), target)
-        for path, schema in versions.items()
-    ]
-    feed = parts[0]
-    for part in parts[1:]:
-        feed = feed.unionByName(part, allowMissingColumns=True)
-    return feed
+    with_line = T.StructType([*target.fields, T.StructField(CORRUPT, T.StringType())])
+    feed = rejects = None
+    for path, schema in versions.items():
+        good, bad = split_corrupt(read_csv(spark, path, schema))
+        good, bad = conform(good, target), conform(bad, with_line)
+        feed = good if feed is None else feed.unionAll(good)
+        rejects = bad if rejects is None else rejects.unionAll(bad)
+    return feed, rejects

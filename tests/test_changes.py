@@ -146,12 +146,12 @@ def test_warehouse_reruns(spark, tmp_path):
     for _ in range(2):
         warehouse.run_initial_load(spark, customers, paths, "2024-01-01")
         warehouse.run_batch(spark, customers, paths, "2024-01-02", "2024-01-01")
-    ods = warehouse.read_state(spark, paths, "2024-01-02")
+    ods = warehouse.read_state(spark, customers, paths, "2024-01-02")
     assert ods.columns == ["seq", "id", "segment", "value", "email", "phone"]
     assert rows(ods.select("id", "segment")) == Counter([(1, "x"), (2, "late"), (3, "n")])
     dimension = lambda day: {
         (r["id"], r["segment"], str(r["start_date"]), str(r["end_date"]))
-        for r in warehouse.read_dimension(spark, paths, day).collect()
+        for r in warehouse.read_dimension(spark, customers, paths, day).collect()
     }
     first = {(1, "a", "2024-01-01", "None"), (2, "b", "2024-01-01", "None")}
     assert dimension("2024-01-01") == first
@@ -163,12 +163,12 @@ def test_warehouse_reruns(spark, tmp_path):
     closed = spark.read.parquet(paths.dimension).where("state = 'closed'")
     assert closed.count() == 2  # written once, by the batch that closed them
     load = lambda source: warehouse.run_fact_load(
-        spark, source, paths, "2024-01-02", "2024-01-01", "2024-01-03", "f", "day"
+        spark, customers, source, paths, "2024-01-02", "2024-01-01", "2024-01-03", "f", "day"
     )
     load(facts.limit(0))
     load(facts.where("f < 3"))
     load(facts)  # one late fact of a day that has facts already
     load(facts)
-    report = warehouse.fact_report(spark, facts, paths, "day", ["amount"])
+    report = warehouse.fact_report(spark, facts, paths, "day", ["amount"], "2024-01-01", "2024-01-03")
     assert [r["ok"] for r in report.collect()] == [True, True]
     assert spark.read.parquet(paths.fact).where("sk IS NULL").count() == 0
