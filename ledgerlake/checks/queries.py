@@ -445,11 +445,8 @@ def change_feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_text = as_text.withColumn("updated_at", F.col("updated_at").cast("string"))
     as_text.repartition(LANDED_FILES).write.option("header", True).csv(f"{root}/landed")
     feed, rejected = landing.split_change_feed(spark, {f"{root}/landed": CHANGES_V1}, CHANGES_V1)
-    # Spark does not read the raw line alone; see `landing.read_csv`.
-    rejected.write.parquet(f"{root}/rejected")
-    lines = spark.read.parquet(f"{root}/rejected")
     seq = F.split_part(landing.CORRUPT, F.lit(","), F.lit(1)).cast("long").alias("seq")
-    return feed.select("seq", F.lit(False).alias("rejected")).unionAll(lines.select(seq, F.lit(True)))
+    return feed.select("seq", F.lit(False).alias("rejected")).unionAll(rejected.select(seq, F.lit(True)))
 
 
 @registered

@@ -18,9 +18,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS
     """Typed rows of the CSV files at `path` (a folder or a glob), with the raw line of bad ones.
 
     A line with unparsable cells or a wrong number of cells keeps its text in
-    `_corrupt_record`; all other lines have null there. Column pruning is off in the parser,
-    because a pruned read would not see that a line is bad. For the same reason Spark refuses
-    to read `_corrupt_record` alone: write the rows before narrowing them.
+    `_corrupt_record`; all other lines have null there. Column pruning is off in the parser, and
+    `split_corrupt` refers to all columns, because a pruned read would not see that a line is bad.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
@@ -34,8 +33,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(well-formed rows, the others with their raw text and the cells that did parse)."""
-    bad = F.col(CORRUPT).isNotNull()
+    """(well-formed rows, the others with their raw text and the cells that did parse).
+
+    The parser only sees that a line is bad if it converts the bad cell, so the condition refers to
+    every column, whichever of them the caller selects afterwards.
+    """
+    cells = [F.col(c).cast("string") for c in df.columns if c != CORRUPT]
+    never = F.length(F.concat_ws("", *cells)) < 0
+    bad = F.col(CORRUPT).isNotNull() | never
     return df.where(~bad).drop(CORRUPT), df.where(bad)
 
 
