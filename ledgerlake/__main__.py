@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from ledgerlake.functions.money import DIVIDE, MULTIPLY
-from ledgerlake.plans import daily
-from ledgerlake.plans.layout import LakePaths
+from ledgerlake.plans import daily, warehouse
+from ledgerlake.plans.layout import LakePaths, WarehousePaths
+from ledgerlake.schemas import CHANGES, INGESTION_DATE
 from ledgerlake.session import build_session
+from ledgerlake.sinks.lake import FILE_BYTES, compact
+from ledgerlake.sources.landing import split_change_feed
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -28,7 +33,29 @@ def arguments() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         job.add_argument("--since", required=True, help="first day")
         job.add_argument("--until", required=True, help="day after the last")
+    for name in ("change-feed", "initial-load", "batch", "fact-load"):
+        job = jobs.add_parser(name)
+        job.add_argument("--warehouse", required=True, help="root of all warehouse tables")
+        job.add_argument("--delivery", required=True, help="name of the delivery or version; names sort by date")
+        job.add_argument("--tracked", nargs="+", default=["segment"], help="columns with history")
+        if name == "change-feed":
+            job.add_argument("--changes", required=True, help="folder or glob of the delivery's CSV files")
+        if name == "batch":
+            job.add_argument("--previous", required=True, help="version to start from")
+        if name == "fact-load":
+            job.add_argument("--facts", required=True, help="Parquet of the delivered facts")
+            job.add_argument("--fact-id", required=True)
+            job.add_argument("--fact-date", required=True)
+            job.add_argument("--since", required=True, help="first day")
+            job.add_argument("--until", required=True, help="day after the last")
+    job = jobs.add_parser("compact")
+    for name in ("--source", "--destination", "--since", "--until"):
+        job.add_argument(name, required=True)
+    job.add_argument("--partition", default=INGESTION_DATE)
+    job.add_argument("--file-bytes", type=int, default=FILE_BYTES)
     for name, job in jobs.choices.items():
+        if name in ("change-feed", "initial-load", "batch", "fact-load", "compact"):
+            continue
         job.add_argument("--lake", required=True, help="root of all layers")
         if not name.startswith(("fx", "bronze")):
             default = DIVIDE if name == "gold" else MULTIPLY
@@ -36,9 +63,33 @@ def arguments() -> argparse.ArgumentParser:
     return parser
 
 
+def load(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One step of the change feed load."""
+    paths = WarehousePaths.under(args.warehouse)
+    feed = warehouse.Feed(CHANGES, tuple(args.tracked))
+    if args.job == "change-feed":
+        changes, rejected = split_change_feed(spark, {args.changes: CHANGES}, CHANGES)
+        rejected.write.mode("overwrite").parquet(f"{paths.change_reject}_lines/delivery={args.delivery}")
+        warehouse.run_curation(changes, feed, paths, args.delivery)
+    elif args.job == "initial-load":
+        warehouse.run_initial_load(spark, feed, paths, args.delivery)
+    elif args.job == "batch":
+        warehouse.run_batch(spark, feed, paths, args.delivery, args.previous)
+    else:
+        facts = spark.read.parquet(args.facts)
+        period = (args.since, args.until, args.fact_id, args.fact_date)
+        warehouse.run_fact_load(spark, feed, facts, paths, args.delivery, *period)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = build_session(f"ledgerlake {args.job}")
+    if args.job == "compact":
+        compact(spark, args.source, args.destination, args.since, args.until, args.partition, args.file_bytes)
+        return
+    if "warehouse" in args:
+        load(spark, args)
+        return
     paths = LakePaths.under(args.lake)
     if args.job == "fx-ingest":
         daily.run_fx_ingest(spark, args.reply, paths, args.run_date)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +34,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     currency = F.get(F.lit([*CODES, *[f" {code} " for code in CODES], "   "]), spelling)
     price = F.col("l_extendedprice")
-    amount = F.when(F.col("l_partkey") % 47 == 0, -price).otherwise(price).cast(MONEY)
+    mills = F.when(F.col("l_partkey") % 29 == 0, F.lit(Decimal("0.005"))).otherwise(F.lit(Decimal("0.000")))
+    amount = (F.when(F.col("l_partkey") % 47 == 0, -price).otherwise(price).cast(MONEY) + mills).cast(MONEY)
     both = F.col("l_orderkey") % 50 == 0
     one = F.col("l_orderkey") % 53 != 0
     withdrawn = both | (one & (F.col("l_returnflag") == "R"))
@@ -64,11 +67,14 @@ def yearly_batches(txn: DataFrame) -> DataFrame:
 
 
 def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily rates of all nations' currencies, with gaps and one currency without rates."""
+    """Daily rates of all nations' currencies, with gaps, a small unit and one without rates."""
     first = F.lit(FX_FIRST_DAY).cast("date")
     days = F.sequence(first, F.date_add(first, FX_DAYS - 1))
     nation = F.col("n_nationkey")
-    rate = F.expr("CAST(0.5 + n_nationkey * 0.05 + (year(day) - 1995) * 0.01 AS DECIMAL(12,6))")
+    rate = F.expr(
+        """CAST(CASE WHEN n_nationkey = 23 THEN 0.0000113456 + (year(day) - 1995) * 0.0000001
+        ELSE 0.5 + n_nationkey * 0.05 + (year(day) - 1995) * 0.01 END AS DECIMAL(18,12))"""
+    )
     return (
         table(spark, sf_dir, "nation")
         .select("n_nationkey", F.explode(days).alias("day"))

@@ -10,7 +10,8 @@ txn0 AS (SELECT l.*, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS vd,
    CASE WHEN l_partkey % 41 = 0 THEN NULL WHEN l_partkey % 37 = 0 THEN '   '
         WHEN l_partkey % 11 = 0 THEN ' C' || lpad(CAST(l_suppkey % 30 AS VARCHAR), 2, '0') || ' '
         ELSE 'C' || lpad(CAST(l_suppkey % 30 AS VARCHAR), 2, '0') END AS ccy,
-   CAST(CASE WHEN l_partkey % 47 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(18,2)) AS amt,
+   CAST(CAST(CASE WHEN l_partkey % 47 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(18,4))
+     + CASE WHEN l_partkey % 29 = 0 THEN 0.005 ELSE 0.000 END AS DECIMAL(20,4)) AS amt,
    CASE WHEN l_orderkey % 50 = 0 THEN 'B' WHEN l_orderkey % 53 = 0 THEN 'X'
         WHEN l_returnflag = 'R' THEN 'W' ELSE 'D' END AS side
  FROM lineitem l),
@@ -20,7 +21,7 @@ txn AS (SELECT ' AC' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS account_no,
    CASE WHEN side IN ('W','B') THEN ccy END AS withdrawal_currency,
    CASE WHEN side IN ('D','B') THEN amt END AS deposit_amt,
    CASE WHEN side IN ('D','B') THEN ccy END AS deposit_currency,
-   CAST(l_quantity AS DECIMAL(18,2)) AS balance_amt, l_orderkey, l_linenumber FROM txn0),
+   CAST(l_quantity AS DECIMAL(18,4)) AS balance_amt, l_orderkey, l_linenumber FROM txn0),
 clean AS (SELECT * REPLACE (trim(account_no) AS account_no,
    trim(withdrawal_currency) AS withdrawal_currency, trim(deposit_currency) AS deposit_currency)
  FROM txn)"""
@@ -31,7 +32,8 @@ cal AS (SELECT n_nationkey, CAST(unnest(range(DATE '1995-01-01', DATE '2001-11-0
 fx_all AS (SELECT CAST(dt AS VARCHAR) AS run_date, 'SGD' AS base_currency,
    'C' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS currency,
    CASE WHEN n_nationkey = 24 THEN NULL
-        ELSE CAST(0.5 + n_nationkey * 0.05 + (year(dt) - 1995) * 0.01 AS DECIMAL(12,6)) END AS rate
+        WHEN n_nationkey = 23 THEN CAST(0.0000113456 + (year(dt) - 1995) * 0.0000001 AS DECIMAL(18,12))
+        ELSE CAST(0.5 + n_nationkey * 0.05 + (year(dt) - 1995) * 0.01 AS DECIMAL(18,12)) END AS rate
  FROM cal WHERE (day(dt) + n_nationkey) % 9 <> 0)"""
 
 
@@ -173,7 +175,7 @@ _MERGE = _with(
 )
 _FACTS = """
 claims AS (SELECT event_id AS claim_id, user_id AS id, CAST(ts AS DATE) AS claim_date,
-   CAST(value AS DECIMAL(18,2)) AS amount FROM events)"""
+   CAST(value AS DECIMAL(18,4)) AS amount FROM events)"""
 _FACT_LOAD = _with(
     _CDC, _history("h"), _FACTS,
     f"""SELECT claim_id, c.id, CAST(claim_date AS VARCHAR) AS claim_date,

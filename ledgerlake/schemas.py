@@ -2,10 +2,12 @@
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
-RATE = T.DecimalType(12, 6)
-# Sum of MONEY that still multiplies exactly with RATE: 24 + 12 + 1 <= 38 digits.
-MONEY_TOTAL = T.DecimalType(24, 2)
+# Four places hold currencies with mills, twelve hold rates of currencies of small units. A product
+# of both is exact: 18 + 18 + 1 <= 38 digits.
+MONEY = T.DecimalType(18, 4)
+RATE = T.DecimalType(18, 12)
+# Sum of MONEY; times RATE it has 41 digits, of which Spark keeps 13 places.
+MONEY_TOTAL = T.DecimalType(22, 4)
 
 INGESTION_DATE = "ingestion_date"
 
