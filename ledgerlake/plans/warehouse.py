@@ -182,7 +182,7 @@ def run_fact_load(
     """
     facts, rejected = split_facts(facts, fact_id, fact_date)
     write_day(rejected, paths.fact_reject, version, VERSION)
-    loaded = find(lambda: read_days(spark, paths.fact, since, until, EVENT_DATE))
+    loaded = find(spark, paths.fact, lambda: read_days(spark, paths.fact, since, until, EVENT_DATE))
     if loaded is None:
         loaded = facts.limit(0)
     dimension = read_dimension(spark, feed, paths, version)

@@ -71,7 +71,7 @@ def replace_dates(
     files it had before; its folder is then overwritten with no rows.
     """
     spark = df.sparkSession
-    listed_before = find(lambda: stored_files(spark, root))
+    listed_before = find(spark, root, lambda: stored_files(spark, root))
     write_output(df, root, partition)
     if listed_before is None or partition not in listed_before.columns:
         return

@@ -16,12 +16,21 @@ from ledgerlake.schemas import FX_RATES, INGESTION_DATE
 MOST_FOLDERS = 100
 
 
-def find(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """What `read` returns, or None where the layer has no files yet."""
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any path that fits a glob, is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.globStatus(path))
+
+
+def find(spark: SparkSession, pattern: str, read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What `read` returns, or None where `pattern` has no files yet."""
+    if not exists(spark, pattern):
+        return None
     try:
         return read()
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
@@ -50,12 +59,6 @@ def period_folders(root: str, since: str, until: str, layout: tuple[str, str, st
     return f"{root}/{{{','.join(names)}}}"
 
 
-def _found(read: Callable[[], DataFrame], empty: Callable[[], DataFrame]) -> DataFrame:
-    """What `read` returns, or `empty` where the period has no folders."""
-    found = find(read)
-    return empty() if found is None else found
-
-
 def read_day(
     spark: SparkSession,
     root: str,
@@ -83,10 +86,9 @@ def read_days(
     year, listed. Without any folder in the period, the layer without rows."""
     layout = tuple(f"{partition}={part}" for part in ("%Y-%m-%d", "%Y-%m-*", "%Y-*"))
     folders = period_folders(root, since, until, layout)
-    days = _found(
-        lambda: _reader(spark, schema).option("basePath", root).parquet(folders),
-        lambda: _reader(spark, schema).parquet(root).limit(0),
-    )
+    days = find(spark, folders, lambda: _reader(spark, schema).option("basePath", root).parquet(folders))
+    if days is None:
+        days = _reader(spark, schema).parquet(root).limit(0)
     day = F.col(partition)
     return days.where((day >= since) & (day < until)).withColumn(partition, day.cast("string"))
 
@@ -118,10 +120,9 @@ def read_fx_days(spark: SparkSession, root: str, since: str, until: str) -> Data
     folders = period_folders(root, since, until, ("year=%Y/month=%m/day=%d", "year=%Y/month=%m", "year=%Y"))
     stored = T.StructType([f for f in FX_RATES.fields if f.name != "run_date"])
     dated = T.StructType([*stored.fields, *(T.StructField(c, T.IntegerType()) for c in ("year", "month", "day"))])
-    rates = _found(
-        lambda: spark.read.option("basePath", root).schema(stored).parquet(folders),
-        lambda: spark.createDataFrame([], dated),
-    )
+    rates = find(spark, folders, lambda: spark.read.option("basePath", root).schema(stored).parquet(folders))
+    if rates is None:
+        rates = spark.createDataFrame([], dated)
     return (
         rates
         .where((day >= F.lit(since).cast("date")) & (day < F.lit(until).cast("date")))
