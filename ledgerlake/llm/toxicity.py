@@ -42,7 +42,7 @@ WORST = 3
 FLOOR = -0.5
 # From this score on a text is predicted toxic.
 THRESHOLD = 0.7
-_CHUNK = 1 << 19
+_CHUNK = 1 << 17
 _PAIRS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
 
