@@ -34,7 +34,7 @@ WIDTH = 8.0
 LEAST_SPREAD = 0.45
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent
-PIECE_CHARS = 2 << 20
+PIECE_CHARS = 1 << 20
 _SYMBOLS = b"#*$%&|<>"
 _SIGNS = string.punctuation.encode()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
