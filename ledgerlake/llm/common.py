@@ -15,6 +15,7 @@ from ledgerlake.session import scratch_path
 # Runs of anything but the ASCII blank, tab, newline, vertical tab, form feed and return. In
 # Python, bytes.split() cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def importable(spark: SparkSession) -> None:
@@ -31,10 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table in the shared folder, so that a lost executor costs no earlier step."""
+    """`df` as a table in the shared folder, so that a lost executor costs no earlier step.
+
+    The shuffle files of the write go with it: what follows reads the table.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
