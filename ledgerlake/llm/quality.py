@@ -1,10 +1,12 @@
 """Quality rules: counts over words and lines, and the perplexity under a character n-gram model.
 
 The model is modified Kneser-Ney over `ORDER` characters, one for each language, counted over all
-texts by Spark. It is stored as sorted arrays of hashes with their logarithms. A text's perplexity
-is taken per word, leaving out words of nothing but signs, which sets apart texts whose words carry
-or alternate with signs that words do not have. Bands around the median of the language reject
-what is far above (noise, tables) or far below (monotony).
+texts by Spark. Every string that occurs is stored as itself, in sorted arrays with the logarithms
+beside them; the arrays are cut into parts by language and by the symbols in the middle of a string,
+so that more strings make more parts, not larger ones. A text's perplexity is taken per word, leaving
+out words of nothing but signs, which sets apart texts whose words carry or alternate with signs that
+words do not have. Bands around the median of the language reject what is far above (noise, tables)
+or far below (monotony).
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,11 +27,11 @@ from ledgerlake.llm.common import texts, written
 from ledgerlake.operators.joins import lookup_join
 
 ORDER = 4
-# Bits of a character: those beyond the common scripts share the last 256 numbers.
-CHAR_BITS = 12
-_SHARED = (1 << CHAR_BITS) - 256
-# Hashes have so many bits, so the whole model has 2 ** 24 entries at most (256 MB).
-HASH_BITS = 24
+# A symbol is a UTF-16 unit, so that four of them are a long and no two characters are the same.
+CHAR_BITS = 16
+# Strings of a part of the model, and bytes of text that a task holds while it goes through parts.
+PART_ROWS = 1 << 23
+HELD_BYTES = 32 << 20
 # Half the width of a band, in robust standard deviations and at least in bits per word.
 WIDTH = 8.0
 LEAST_SPREAD = 0.45
@@ -85,8 +88,7 @@ class Symbols:
     def __init__(self, split: list[list[bytes]], order: int):
         start = b"\n" * (order - 1)
         joined = "".join((start + b" ".join(words) + b" ").decode() for words in split if words)
-        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64)
-        points = np.where(points < _SHARED, points, _SHARED + points % 256)
+        points = np.frombuffer(joined.encode("utf-16-le"), np.uint16).astype(np.int64)
         grams = np.zeros(max(0, len(points) - order + 1), np.int64)
         for i in range(order):
             grams = grams << CHAR_BITS | points[i : i + len(grams)]
@@ -98,9 +100,11 @@ class Symbols:
         self.starts = np.flatnonzero(begins[inside])
 
 
-def _pieces(langs: list, rows: list[bytes | None]) -> Iterator[tuple[str | None, list[int], list[list[bytes]]]]:
-    """Rows of one language, split into words, some `PIECE_CHARS` bytes at a time."""
-    for lang in dict.fromkeys(langs):
+def _pieces(
+    langs: list, rows: list[bytes | None], wanted: list[str | None] | None = None
+) -> Iterator[tuple[str | None, list[int], list[list[bytes]]]]:
+    """Rows of one of the `wanted` languages, split into words, some `PIECE_CHARS` bytes at a time."""
+    for lang in dict.fromkeys(langs) if wanted is None else wanted:
         held, split, size = [], [], 0
         for i, (own, text) in enumerate(zip(langs, rows, strict=True)):
             if own != lang:
@@ -201,7 +205,7 @@ def train(counts: DataFrame, order: int = ORDER) -> DataFrame:
         d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         rows = (
             lookup_join(level, written(_discounts(level), "discounts"), ["lang"])
-            .withColumn("context", F.shiftright("gram", CHAR_BITS))
+            .withColumn("context", F.shiftrightunsigned("gram", CHAR_BITS))
             .withColumn("d", F.least(d, F.col("n")))
             .withColumn("total", F.sum("n").over(context))
             .withColumn("left", F.sum("d").over(context) / F.col("total"))
@@ -231,103 +235,221 @@ def train(counts: DataFrame, order: int = ORDER) -> DataFrame:
     return every
 
 
+Table = dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
 class Model(NamedTuple):
-    """Sorted hashes with log2 of p, and of gamma, beside them."""
+    """Parts of the model and where each language is: `shares` parts from `first` on. A part has, by
+    language and length, the sorted strings with log2 of p, and of gamma, beside them.
+
+    Of a language in several parts, one has all that the strings with its middles (see `share_of`)
+    need, down to the shortest string.
+    """
 
     order: int
-    hashes: np.ndarray
-    p: np.ndarray
-    gamma: np.ndarray
+    langs: np.ndarray
+    first: np.ndarray
+    shares: np.ndarray
+    parts: list[Broadcast]
     unknown: float
 
-    def _find(self, lang: np.uint64, order: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        slots = slots_of(lang, order, grams)
-        at = np.minimum(np.searchsorted(self.hashes, slots), len(self.hashes) - 1)
-        return at, self.hashes[at] == slots
+    def place(self, lang: np.uint64) -> tuple[int, int]:
+        at = int(np.searchsorted(self.langs, lang))
+        if at == len(self.langs) or self.langs[at] != lang:
+            return -1, 1
+        return int(self.first[at]), int(self.shares[at])
+
+    def wanted(self, langs: list[str | None]) -> Iterator[tuple[int, list[str | None], Table]]:
+        """Each part that has one of the languages, and which; -1 for those that none has. Only one
+        of several parts is in memory."""
+        found: dict[int, list[str | None]] = {}
+        for lang in dict.fromkeys(langs):
+            first, shares = self.place(language(lang))
+            for number in range(first, first + shares):
+                found.setdefault(number, []).append(lang)
+        for number, own in sorted(found.items()):
+            yield number, own, self.parts[number].value if number >= 0 else {}
+            if number >= 0 and len(self.parts) > 1 and getattr(self.parts[number], "_path", None):
+                self.parts[number].__dict__.pop("_value", None)
+
+    def log2(self, table: Table, number: int, lang: str | None, grams: np.ndarray) -> np.ndarray:
+        """log2 of the probability of the last symbol of each string, given the others; zero for
+        strings that another part has."""
+        key, grams = language(lang), grams.view(np.uint64)
+        first, shares = self.place(key)
+        if shares == 1:
+            return self._log2(table, int(key), grams)
+        result = np.zeros(len(grams))
+        own = share_of(middles(self.order, self.order, grams)[0], shares) == number - first
+        result[own] = self._log2(table, int(key), grams[own])
+        return result
 
-    def log2(self, lang: str | None, grams: np.ndarray) -> np.ndarray:
-        """log2 of the probability of the last symbol of each string, given the others."""
-        if not len(self.hashes):
-            return np.full(len(grams), self.unknown)
-        lang, result = language(lang), np.empty(len(grams))
+    def _log2(self, table: Table, lang: int, grams: np.ndarray) -> np.ndarray:
+        result = np.empty(len(grams))
         left, discount = np.arange(len(grams)), np.zeros(len(grams))
         for k in range(self.order, 0, -1):
-            own = grams[left] & ((1 << CHAR_BITS * k) - 1)
-            at, known = self._find(lang, k, own)
-            result[left[known]] = self.p[at[known]] + discount[left[known]]
+            own = grams[left] & _mask(k)
+            known, p, _ = _find(table, lang, k, own)
+            result[left[known]] = p[known] + discount[left[known]]
             left, own = left[~known], own[~known]
             if not len(left):
                 return result
             if k > 1:
-                at, known = self._find(lang, k - 1, own >> CHAR_BITS)
-                discount[left] += np.where(known, self.gamma[at], 0)
+                known, _, gamma = _find(table, lang, k - 1, own >> np.uint64(CHAR_BITS))
+                discount[left] += np.where(known, gamma, 0)
         result[left] = self.unknown + discount[left]
         return result
 
 
+def _find(table: Table, lang: int, k: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each string occurs, and if so its log2 of p and gamma."""
+    if (lang, k) not in table or not len(grams):
+        return np.zeros(len(grams), bool), np.zeros(len(grams)), np.zeros(len(grams))
+    strings, p, gamma = table[lang, k]
+    at = np.minimum(np.searchsorted(strings, grams), len(strings) - 1)
+    return strings[at] == grams, p[at], gamma[at]
+
+
 def language(lang: str | None) -> np.uint64:
-    return np.uint64(xxhash.xxh3_64_intdigest(("n" if lang is None else "l" + lang).encode()))
+    return _hashed("n" if lang is None else "l" + lang)
 
 
-def slots_of(lang: np.uint64, order: int, grams: np.ndarray) -> np.ndarray:
-    mixed = (grams.astype(np.uint64) ^ lang ^ np.uint64(order)) * _MIX
-    mixed ^= mixed >> np.uint64(31)
-    return (mixed * _MIX >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
+def _hashed(key: str) -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(key.encode()))
+
+
+def _mask(k: int) -> np.uint64:
+    return np.uint64((1 << CHAR_BITS * max(0, k)) - 1)
 
 
-def stored(trained: DataFrame, order: int = ORDER) -> Model:
-    """The model as arrays. Strings of one hash share the mean of their logarithms by count, so
-    there are no more rows than hashes."""
+def middles(order: int, k: int, grams: np.ndarray) -> list[np.ndarray]:
+    """The middles, without first and last symbol, of the longest strings that need strings of `k`
+    symbols as themselves, as a context, or to fall back on; none if that may be all of them."""
+    inner = _mask(order - 2)
+    if k == order:
+        return [grams >> np.uint64(CHAR_BITS) & inner]
+    return [grams >> np.uint64(CHAR_BITS), grams & inner] if k == order - 1 else []
+
+
+def share_of(middle: np.ndarray, shares: int) -> np.ndarray:
+    mixed = middle * _MIX
+    mixed ^= mixed >> np.uint64(31)
+    return (mixed * _MIX >> np.uint64(33)).astype(np.int64) % shares
+
+
+def _dealt(model: Model, lang: np.uint64, k: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in `grams`, part) for each part that a string of `k` symbols belongs to."""
+    (first, shares), every = model.place(lang), np.arange(len(grams))
+    if shares == 1:
+        return every, np.full(len(grams), first)
+    own = [share_of(middle, shares) for middle in middles(model.order, k, grams)]
+    if not own:
+        return np.repeat(every, shares), first + np.tile(np.arange(shares), len(grams))
+    at, share = [every], [own[0]]
+    if len(own) > 1:
+        at, share = [every, every[own[0] != own[1]]], [own[0], own[1][own[0] != own[1]]]
+    return np.concatenate(at), first + np.concatenate(share)
+
+
+def stored(trained: DataFrame, order: int = ORDER, part_rows: int = PART_ROWS) -> Model:
+    """The model in parts of about `part_rows` strings, one after the other in the driver."""
+    trained = written(trained, "model")
+    sizes = trained.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("least")).toArrow()
+    keys = np.array([_hashed(lang) for lang in sizes["lang"].to_pylist()], np.uint64)
+    by_key = np.argsort(keys)
+    first, shares, parts, room = [], [], 0, 0
+    for n in sizes["n"].to_numpy()[by_key].tolist():
+        shares.append(-(-n // part_rows))
+        if n > room:
+            parts, room = parts + shares[-1], part_rows if shares[-1] == 1 else 0
+        first.append(parts - shares[-1])
+        room -= n if shares[-1] == 1 else 0
+    least = min([-20.0, *np.log2(sizes["least"].to_numpy())])
+    model = Model(order, keys[by_key], np.array(first, int), np.array(shares, int), [], float(least))
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            langs, orders, grams = batch.column(0).to_pylist(), *(batch.column(i).to_numpy() for i in (1, 2))
-            slots = np.zeros(len(grams), np.int64)
-            codes = np.array([hash(x) for x in langs])
-            for lang, k in {*zip(langs, orders.tolist(), strict=True)}:
-                own = (codes == hash(lang)) & (orders == k)
-                slots[own] = slots_of(np.uint64(xxhash.xxh3_64_intdigest(lang.encode())), k, grams[own])
-            yield pa.RecordBatch.from_arrays([pa.array(slots), *batch.columns[3:]], ["slot", "n", "p", "gamma"])
-
-    weighted = lambda c: (F.sum(F.log2(c) * F.col("n")) / F.sum("n")).cast("float").alias(c)
-    slots = trained.mapInArrow(batches, "slot long, n long, p double, gamma double")
-    table = slots.groupBy("slot").agg(weighted("p"), weighted("gamma")).toArrow().sort_by("slot")
-    column = lambda c, kind: table[c].to_numpy().astype(kind)
-    p = column("p", np.float32)
-    return Model(order, column("slot", np.uint32), p, column("gamma", np.float32), float(p.min(initial=-20.0)))
+            names = batch.column(0).dictionary_encode()
+            codes, langs = names.indices.to_numpy(), [_hashed(lang) for lang in names.dictionary.to_pylist()]
+            orders, grams = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            p, gamma = (np.log2(batch.column(i).to_numpy()).astype(np.float32) for i in (4, 5))
+            for code, k in {*zip(codes.tolist(), orders.tolist(), strict=True)}:
+                own = np.flatnonzero((codes == code) & (orders == k))
+                at, part = _dealt(model, langs[code], k, grams[own].view(np.uint64))
+                own = own[at]
+                lang = np.full(len(own), langs[code], np.uint64).view(np.int64)
+                cells = (part.astype(np.int32), lang, np.full(len(own), k, np.int8), grams[own], p[own], gamma[own])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cells)], ["part", "lang", "order", "gram", "p", "gamma"])
+
+    rows = trained.mapInArrow(batches, "part int, lang long, order byte, gram long, p float, gamma float")
+    if parts > 1:
+        rows = written(rows.repartitionByRange(parts, "part"), "parts")
+    for number in range(parts):
+        own = rows.where(F.col("part") == number) if parts > 1 else rows
+        model.parts.append(trained.sparkSession.sparkContext.broadcast(_table(own.drop("part").toArrow())))
+    return model
+
+
+def _table(rows: pa.Table) -> Table:
+    lang, k, grams, p, gamma = (rows[c].to_numpy() for c in ("lang", "order", "gram", "p", "gamma"))
+    lang, grams = lang.view(np.uint64), grams.view(np.uint64)
+    by_gram = np.lexsort((grams, k, lang))
+    lang, k, grams, p, gamma = (c[by_gram] for c in (lang, k, grams, p, gamma))
+    cuts = np.flatnonzero((lang[1:] != lang[:-1]) | (k[1:] != k[:-1])) + 1
+    edges = zip([0, *cuts.tolist()], [*cuts.tolist(), len(lang)], strict=True)
+    return {(int(lang[a]), int(k[a])): (grams[a:b].copy(), p[a:b].copy(), gamma[a:b].copy()) for a, b in edges if a < b}
+
+
+def _held(rows: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches of at least so many bytes of text."""
+    held, size = [], 0
+    for batch in rows:
+        held.append(batch)
+        size += batch.column(0).nbytes
+        if size >= least:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str, lang_col: str) -> DataFrame:
     """(row, lang, the metrics, bits): bits is the sum of -log2 of the probabilities, per word that
     is more than ASCII signs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
         F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"),
     )
+    least = HELD_BYTES if len(model.parts) > 1 else 0
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in parts:
-            langs, cells = batch.column(1).to_pylist(), list(texts(batch.column(0)))
+        for group in _held(parts, least):
+            langs = [lang for batch in group for lang in batch.column(1).to_pylist()]
+            cells = [cell for batch in group for cell in texts(batch.column(0))]
             bits, found = np.full(len(langs), np.nan), [None] * len(langs)
             terms = np.ones(len(langs))
-            for lang, held, split in _pieces(langs, cells):
-                for i, words in zip(held, split, strict=True):
-                    found[i] = metrics(cells[i] or b"", words)
-                    terms[i] = max(1, len(words) - sum(not word.strip(_SIGNS) for word in words))
-                filled = [i for i, words in zip(held, split, strict=True) if words]
-                for first, grams, starts in _parts(split, model.order):
-                    if len(starts):
-                        sums = np.add.reduceat(model.log2(lang, grams), starts)
-                        own = filled if first < 0 else [held[first]]
-                        bits[own] = np.nan_to_num(bits[own]) - sums
-            columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * 5
-            per_word = pa.array(bits / terms, from_pandas=True)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2), batch.column(1), *columns, per_word], ["row", "lang", *Metrics._fields, "bits"]
-            )
+            for number, wanted, table in model.wanted(langs):
+                for lang, held, split in _pieces(langs, cells, wanted):
+                    if model.place(language(lang))[0] == number:
+                        for i, words in zip(held, split, strict=True):
+                            found[i] = metrics(cells[i] or b"", words)
+                            terms[i] = max(1, len(words) - sum(not word.strip(_SIGNS) for word in words))
+                    filled = [i for i, words in zip(held, split, strict=True) if words]
+                    for first, grams, starts in _parts(split, model.order):
+                        if len(starts):
+                            sums = np.add.reduceat(model.log2(table, number, lang, grams), starts)
+                            own = filled if first < 0 else [held[first]]
+                            bits[own] = np.nan_to_num(bits[own]) - sums
+            at = 0
+            for batch in group:
+                own = slice(at, at + batch.num_rows)
+                at += batch.num_rows
+                columns = [pa.array(c, pa.int64()) for c in zip(*found[own], strict=True)] or [pa.array([], pa.int64())] * 5
+                per_word = pa.array(bits[own] / terms[own], from_pandas=True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(2), batch.column(1), *columns, per_word], ["row", "lang", *Metrics._fields, "bits"]
+                )
 
     row = rows.schema["row"].dataType.simpleString()
     fields = ", ".join(f"{c} long" for c in Metrics._fields)

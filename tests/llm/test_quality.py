@@ -1,4 +1,6 @@
+import itertools
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -111,3 +113,32 @@ def test_nulls_long_texts_and_clashing_columns(spark):
     assert {r.row.bits for r in found} == {"b", None}
     assert not any(r.kept for r in found)
     assert quality.judge(spark.createDataFrame([], schema), ["doc_id"]).count() == 0
+
+
+@pytest.mark.parametrize("part_rows", [quality.PART_ROWS, 20_000, 200])
+def test_every_string_is_stored_as_itself_in_as_many_parts_as_it_takes(spark, part_rows):
+    # Strings that share hashes of 24 bits, characters that share numbers of 12 bits, pairs of units.
+    chance, signs = random.Random(7), [chr(0x4E00 + i) for i in range(600)] + [chr(0x1F600 + i) for i in range(40)]
+    made = lambda n: " ".join("".join(chance.choices(signs, k=6)) for _ in range(n))
+    rows = [(made(3000), "zh"), (made(3000), "zh"), (made(500), None), ("the cat sat on the mat", "en")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    trained = quality.train(quality.gram_counts(docs, "text", "lang"))
+    model = quality.stored(trained, part_rows=part_rows)
+    assert (len(model.parts) > 1) == (part_rows < quality.PART_ROWS)
+    known = {(r.lang, r.order, r.gram & (1 << 64) - 1): (math.log2(r.p), math.log2(r.gamma)) for r in trained.collect()}
+
+    def bits(text, lang):
+        total, units = 0.0, [10] * 3 + [int.from_bytes(c) for c in itertools.batched((text + " ").encode("utf-16-be"), 2)]
+        for i in range(3, len(units)):
+            for k in (4, 3, 2, 1, 0):
+                gram = sum(u << 16 * j for j, u in enumerate(reversed(units[i + 1 - k : i + 1])))
+                if not k or (lang, k, gram) in known:
+                    total += known[lang, k, gram][0] if k else model.unknown
+                    break
+                total += known.get((lang, k - 1, gram >> 16), (0, 0))[1]
+        return -total / len(text.split())
+
+    new = [(made(400), "zh"), (rows[0][0], "zh"), (made(100), None), ("the dog", "en"), ("the cat", "xx")]
+    found = quality.score(spark.createDataFrame(new, docs.schema).coalesce(1), model, ["text"], "text", "lang").collect()
+    for r in found:
+        assert r.bits == pytest.approx(bits(r.row.text, "n" if r.lang is None else "l" + r.lang), rel=1e-5)
