@@ -18,15 +18,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TAG = re.compile(
+# Comments, and elements of raw text, which run to the end of the page if they are not closed.
+_RAW = (
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|select|svg|iframe|object|canvas|audio|video)\b"
-    r"[^>]*+(?:(?<=/)>|>.*?(?:</(?P=raw)\s*+>|\Z))"
-    r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<rest>(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(?P<raw>script|style|textarea|title|iframe)(?=[\s/>])"
+    r"[^>]*+(?:(?<=/)>|>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z))"
+)
+_TAG = re.compile(
+    _RAW + r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<rest>(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-z][^>]*+>"
     r"|<[!?/][^>]*+>",
     re.S | re.I,
 )
+# Elements that are left out with all they hold if they are closed, those of them that cannot be
+# inside their like, and elements whose end closes those inside.
+_HIDDEN = frozenset("noscript template select svg object canvas audio video".split())
+_SINGLE = frozenset("noscript select audio video".split())
+_NEST = re.compile(
+    _RAW + rf"|<(?P<end>/?)(?P<name>{'|'.join(sorted(_HIDDEN))}|article|main|body)(?=[\s/>])"
+    r"(?P<rest>(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+    re.S | re.I,
+)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr output picture"
@@ -65,6 +77,39 @@ class _Element(NamedTuple):
     boiler: int
 
 
+def hidden(html: str) -> dict[int, int]:
+    """Where closed elements that are left out begin and end. The end of an element around it, or
+    the start of its like if they cannot nest, tells that one is not closed."""
+    found: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for tag in _NEST.finditer(html):
+        if tag["name"] is None:
+            continue
+        name = tag["name"].lower()
+        own = opened.setdefault(name, [])
+        if not tag["end"]:
+            if name in _SINGLE:
+                own.clear()
+            if not tag["rest"].endswith("/"):
+                own.append(tag.start())
+        elif own:
+            start = own.pop()
+            for other in opened.values():
+                while other and other[-1] > start:
+                    other.pop()
+            if name in _HIDDEN:
+                found[start] = tag.end()
+    return found
+
+
+def _tags(html: str) -> Iterator[tuple[int, int, re.Match | None]]:
+    """Begin, end and match of each tag; a raw or hidden element is one tag without a match."""
+    skipped, at = hidden(html), 0
+    while tag := _TAG.search(html, at):
+        at = skipped.get(tag.start(), tag.end())
+        yield tag.start(), at, tag if tag["name"] and tag.start() not in skipped else None
+
+
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page in order. Character references are decoded, white space is one blank."""
     found: list[Block] = []
@@ -85,16 +130,17 @@ def blocks_of(html: str) -> list[Block]:
             found.append(Block(text, top.number, odds))
         linked = 0
 
-    for tag in _TAG.finditer(html):
-        if tag.start() > at:
-            parts.append(html[at : tag.start()])
+    for begin, end, tag in _tags(html):
+        if begin > at:
+            parts.append(html[at:begin])
             if link_depth:
-                linked += tag.start() - at
-        at = tag.end()
-        name = tag["name"]
-        if name is None:
+                linked += begin - at
+        at = end
+        if tag is None:
+            continue
+        name, ends = tag["name"].lower(), bool(tag["end"])
+        if name in _HIDDEN:
             continue
-        name, ends = name.lower(), bool(tag["end"])
         if name == "a":
             link_depth = 0 if ends else 1
         if name in _INLINE:

@@ -82,3 +82,15 @@ def test_nulls_repeats_and_clashing_columns(spark):
         ("1", "t", "", 0), ("1", "t", "", 0), ("2", "t", "", 0), ("None", "", "x", 1)
     ]
     assert html_text.extract(pages.limit(0), ["page_id"]).count() == 0
+
+
+def test_elements_that_are_not_closed_or_only_begin_like_hidden_ones():
+    for start in ("<video-js id=a>", "<video-player>x</video-player>", "<select-box>", "<template-x>", "<svg-icon>"):
+        assert html_text.main_text(f"<article><p>one {start}</p><p>two</p></article>").endswith("two")
+    for name in ("video", "audio", "canvas", "select", "svg", "object", "template", "noscript"):
+        page = f"<article><p>one</p><{name} src='x'><p>two</p></article><article>three <{name}>no</{name}> four</article>"
+        assert html_text.main_text(page) == "one two three four"
+        assert html_text.main_text(f"<article>one <{name}>no <p>no</{name}> two<{name}/> three</article>") == "one two three"
+    assert html_text.main_text("<article>one<template><article>no</article></template> two</article>") == "one two"
+    assert html_text.main_text("<article>one<svg><svg>no</svg>no</svg> two<script>no</script x> three</article>") == "one two three"
+    assert html_text.main_text("<article>" + "<p>a<svg><video>" * 20_000 + "</article>") == " ".join("a" * 20_000)
