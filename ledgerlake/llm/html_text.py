@@ -58,6 +58,14 @@ _BOILER_NAME = re.compile(
 _CONTENT_NAME = re.compile(
     r"(?:^|[\s_-])(?:article|content|post|entry|story|main|text|body)(?:$|[\s_-])", re.I
 )
+# Names of elements that hold articles of their own, such as comments and teasers.
+_OTHERS_NAME = re.compile(
+    r"(?:^|[\s_-])(?:related|recommend(?:ed|ations)?|trending|more-?from|comments?|replies|reply|respond|discussion|disqus"
+    r"|widgets?|promo(?:tion)?s?|sponsor(?:ed|s)?|outbrain|taboola)(?:$|[\s_-]|\d)",
+    re.I,
+)
+_STATE_NAME = re.compile(r"(?<![^\s])(?:has|no|with|without|hide|show)[-_]\S+", re.I)
+_WRAPPER_TAGS = frozenset(["form", "fieldset"])
 # Log-odds of a block and weights of edges.
 BASE, CONTENT_TAG, CONTENT_NAME, BOILER = -1.0, 6.0, 2.0, -9.0
 PER_CHAR, MOST_CHARS, SENTENCE, LINKS = 1 / 60, 2.5, 0.5, -4.0
@@ -73,8 +81,8 @@ class Block(NamedTuple):
 class _Element(NamedTuple):
     name: str
     number: int
-    content: float
-    boiler: int
+    above: int
+    names: str
 
 
 def hidden(html: str) -> dict[int, int]:
@@ -112,10 +120,11 @@ def _tags(html: str) -> Iterator[tuple[int, int, re.Match | None]]:
 
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page in order. Character references are decoded, white space is one blank."""
-    found: list[Block] = []
-    stack = [_Element("", 0, 0.0, 0)]
+    found: list[tuple[str, int, float]] = []  # text, element, share of links
+    elements = [_Element("", 0, 0, "")]
+    stack = elements[:]
     parts: list[str] = []
-    linked = link_depth = numbers = at = 0
+    linked = link_depth = at = 0
 
     def close() -> None:
         nonlocal linked
@@ -123,11 +132,7 @@ def blocks_of(html: str) -> list[Block]:
         parts.clear()
         text = " ".join((unescape(raw) if "&" in raw else raw).split())
         if text:
-            top = stack[-1]
-            share = min(1.0, linked / len(text))
-            odds = BASE + top.content + BOILER * min(top.boiler, 2) + LINKS * share
-            odds += min(MOST_CHARS, len(text) * (1 - share) * PER_CHAR) + SENTENCE * (text[-1] in ".!?…:;\"”")
-            found.append(Block(text, top.number, odds))
+            found.append((text, stack[-1].number, min(1.0, linked / len(text))))
         linked = 0
 
     for begin, end, tag in _tags(html):
@@ -157,28 +162,68 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if name == "li" and stack[-1].name == "li":
             stack.pop()
-        numbers += 1
-        stack.append(_inside(stack[-1], name, tag["rest"], numbers))
-        if tag["rest"].endswith("/"):
-            stack.pop()
+        rest = tag["rest"]
+        names = " ".join("".join(found) for found in _NAMES.findall(rest)) if "=" in rest else ""
+        elements.append(_Element(name, len(elements), stack[-1].number, names))
+        if not rest.endswith("/"):
+            stack.append(elements[-1])
     if at < len(html):
         parts.append(html[at:])
     close()
-    return found
-
-
-def _inside(above: _Element, name: str, rest: str, number: int) -> _Element:
-    names = " ".join("".join(found) for found in _NAMES.findall(rest)) if "=" in rest else ""
+    sizes = [0] * len(elements)
+    for text, number, _ in found:
+        sizes[number] += len(text)
+    wrappers, inside = _wrappers(elements, sizes), [(0.0, 0)]
+    for element in elements[1:]:
+        inside.append(_inside(element, *inside[element.above], element.number in wrappers))
+    blocks = []
+    for text, number, share in found:
+        content, boiler = inside[number]
+        odds = BASE + content + BOILER * min(boiler, 2) + LINKS * share
+        odds += min(MOST_CHARS, len(text) * (1 - share) * PER_CHAR) + SENTENCE * (text[-1] in ".!?…:;\"”")
+        blocks.append(Block(text, number, odds))
+    return blocks
+
+
+def _wrappers(elements: list[_Element], sizes: list[int]) -> set[int]:
+    """Elements around the longest article or main, whose own tag and names tell nothing about what
+    they hold, and those like them that hold one too. A wrapper that is named for something else
+    (an aside, comments, teasers) has to hold most of the page's text. `sizes` has the characters
+    right inside each element."""
+    if not any(e.name in _CONTENT_TAGS for e in elements):
+        return set()
+    sizes, holds = sizes[:], [False] * len(elements)
+    for e in reversed(elements[1:]):
+        sizes[e.above] += sizes[e.number]
+        holds[e.above] |= holds[e.number] or e.name in _CONTENT_TAGS
+    found: set[int] = set()
+    for name in _CONTENT_TAGS:
+        own = [e for e in elements if e.name == name]
+        at = elements[max(own, key=lambda e: sizes[e.number]).above].number if own else 0
+        while at:
+            e = elements[at]
+            other = e.name in _BOILER_TAGS - _WRAPPER_TAGS or _OTHERS_NAME.search(_STATE_NAME.sub("", e.names))
+            if not other or 2 * sizes[at] > sizes[0]:
+                found.add(at)
+            at = e.above
+    like = {(elements[i].name, elements[i].names) for i in found}
+    return found | {e.number for e in elements if holds[e.number] and (e.name, e.names) in like}
+
+
+def _inside(element: _Element, content: float, boiler: int, wrapper: bool) -> tuple[float, int]:
+    """Content and boilerplate of an element, from those of the one around it."""
+    name, names = element.name, element.names
     if name in ("html", "body"):
-        return _Element(name, number, above.content, above.boiler)
+        return content, boiler
     if name in _CONTENT_TAGS:
-        boiler = above.boiler + (bool(_BOILER_NAME.search(names)) and "comment" in names.lower())
-        return _Element(name, number, CONTENT_TAG, boiler)
-    if names and _CONTENT_NAME.search(names) and name not in _BOILER_TAGS and not _BOILER_NAME.search(names):
-        return _Element(name, number, max(above.content, CONTENT_NAME), above.boiler)
-    boiler = name in _BOILER_TAGS and not (name == "header" and above.content >= CONTENT_TAG)
-    boiler = boiler or bool(names and _BOILER_NAME.search(names))
-    return _Element(name, number, above.content, above.boiler + boiler)
+        return CONTENT_TAG, boiler + (bool(_BOILER_NAME.search(names)) and "comment" in names.lower() and not wrapper)
+    named = bool(names and _BOILER_NAME.search(names))
+    if names and _CONTENT_NAME.search(names) and name not in _BOILER_TAGS and not named:
+        return max(content, CONTENT_NAME), boiler
+    if wrapper:
+        return content, boiler
+    own = name in _BOILER_TAGS and not (name == "header" and content >= CONTENT_TAG)
+    return content, boiler + (own or named)
 
 
 def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:

@@ -94,3 +94,20 @@ def test_elements_that_are_not_closed_or_only_begin_like_hidden_ones():
     assert html_text.main_text("<article>one<template><article>no</article></template> two</article>") == "one two"
     assert html_text.main_text("<article>one<svg><svg>no</svg>no</svg> two<script>no</script x> three</article>") == "one two three"
     assert html_text.main_text("<article>" + "<p>a<svg><video>" * 20_000 + "</article>") == " ".join("a" * 20_000)
+
+
+def test_wrappers_of_the_article_do_not_make_it_boilerplate():
+    article = "<article><h1>Title</h1><p>A paragraph of the text, of a good length.</p><p>Short</p></article>"
+    text, nav = "Title A paragraph of the text, of a good length. Short", "<nav><a href=x>Home</a></nav>"
+    for name in ("has-sidebar", "no-sidebar", "with-header", "menu-open", "page-legal", "content no-comments", "search forms"):
+        assert html_text.main_text(f"<body>{nav}<div class='{name}'>{article}</div></body>") == text
+        assert html_text.main_text(f"<div id=x class='{name}'><section class='{name}'>{nav}{article}</section></div>") == text
+        assert html_text.main_text(f"<div class='{name}'>{article}</div><div class='{name}'>{article}</div>") == f"{text} {text}"
+    main = article.replace("article", "main")
+    assert html_text.main_text(f"<form id=aspnet>{nav}{main}<footer>All rights reserved.</footer></form>") == text
+    teaser = "<article><h2>Other</h2><p>What another page is about.</p></article>"
+    for other in (f"<aside>{teaser}</aside>", f"<section id=comments>{teaser}</section>", f"<div class=related-posts>{teaser}</div>"):
+        assert html_text.main_text(f"<div class=has-sidebar>{article}{other}</div>") == text
+        assert html_text.main_text(f"<div class=has-sidebar>{article}</div>{other}") == text
+        page = f"<div id=content><p>{'Long sentences of the page itself. ' * 9}</p></div>{other}"
+        assert html_text.main_text(page) == ("Long sentences of the page itself. " * 9).strip()
