@@ -27,8 +27,11 @@ from ledgerlake.llm.common import written
 
 SPAN = 10
 DECAY = 0.8
-SYMBOLS = 64
+SYMBOLS = 128
 LANDMARKS = 128
+# An insult needs a landmark of at least this kernel; there are so many of insults at most.
+NEAR = 0.6
+MOST_MARKS = 512
 # Bounds of the training sample: labelled documents of each class, sentences of each class, words
 # of a sentence, distinct words taken as clean.
 SAMPLE_DOCS = 4000
@@ -46,9 +49,13 @@ _CHUNK = 1 << 17
 _PAIRS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
 
+_OTHERS = 60
+
+
 def _codes() -> np.ndarray:
-    """Symbols by code point: 0 is a gap, then a-z, then Latin letters; others share four."""
-    table = 60 + np.arange(0x250, dtype=np.int64) % 4
+    """Symbols by code point: 0 is a gap, then a-z, then Latin letters; others share the rest, so that
+    the letters of an alphabet differ."""
+    table = _OTHERS + np.arange(0x250, dtype=np.int64) % (SYMBOLS - _OTHERS)
     table[:0xC0] = 0
     for i, cp in enumerate(range(ord("a"), ord("z") + 1), 1):
         table[cp] = i
@@ -75,7 +82,7 @@ class Words(NamedTuple):
         raw = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
         points = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
         counts = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-        symbols = np.where(points < len(_TABLE), _TABLE[np.minimum(points, len(_TABLE) - 1)], 60 + points % 4)
+        symbols = np.where(points < len(_TABLE), _TABLE[np.minimum(points, len(_TABLE) - 1)], _OTHERS + points % (SYMBOLS - _OTHERS))
         starts = counts[offsets - offsets[0]]
         symbols = np.insert(symbols, starts[:-1], _START)
         return cls(symbols, starts + np.arange(len(starts)))
@@ -256,6 +263,27 @@ def padded(word: str, seed: int) -> str:
     return word[:at] + "xz*.-_jq"[h // 64 % 8] + word[at:]
 
 
+def spread_marks(insults: list[str], least: int) -> list[str]:
+    """Landmarks among insults, the most frequent of which come first: the one that is farthest from
+    the landmarks so far, until each insult has one near it, and then the most frequent ones."""
+    words = Words.of(pa.array(insults, pa.large_string()))
+    found = [words.features(a, b) for a, b in words.chunks()]
+    word = np.concatenate([w + a for (w, _, _), (a, _) in zip(found, words.chunks(), strict=True)])
+    part, weight = (np.concatenate([f[i] for f in found]) for i in (1, 2))
+    starts = np.searchsorted(word, np.arange(len(insults) + 1))
+    near, chosen = np.zeros(len(insults)), []
+    near[np.diff(starts) == 0] = 1  # words of hardly any letter
+    mark = np.zeros(SYMBOLS**3)
+    while len(chosen) < MOST_MARKS and near.min() < NEAR:
+        chosen.append(int(near.argmin()))
+        own = slice(starts[chosen[-1]], starts[chosen[-1] + 1])
+        mark[part[own]] = weight[own]
+        near = np.maximum(near, np.bincount(word, weight * mark[part], len(insults)))
+        mark[part[own]] = 0
+    chosen += [i for i in range(min(least, len(insults))) if i not in chosen][: max(0, least - len(chosen))]
+    return [insults[i] for i in sorted(chosen)]
+
+
 def train(sample: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Machine:
     """The machine for labelled sentences, without its `mix`; it finds nothing if they tell no insult
     from other words."""
@@ -263,8 +291,8 @@ def train(sample: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Machine:
     if not insults or not clean:
         return never()
     by_hash = sorted(clean, key=lambda w: zlib.crc32(w.encode()))[:CLEAN_WORDS]
-    marks = insults[: landmarks // 2]
-    marks += [w for w in by_hash if len(w) > 3][: landmarks - len(marks)]
+    marks = spread_marks(insults, landmarks // 2)
+    marks += [w for w in by_hash if len(w) > 3][: max(landmarks // 2, landmarks - len(marks))]
     spread = [padded(w, seed) for w in insults for seed in (1, 2)] + [".".join(w) for w in insults]
     positive = [*insults, *spread]
     words = Words.of(pa.array([*marks, *positive, *by_hash], pa.large_string()))
@@ -340,7 +368,7 @@ def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, predicted) for each row. Labels, languages and ids do not enter the score. A
     null text scores like an empty one; repeated rows stay; an empty table gives no rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # one megabyte
+    shared = docs.sparkSession.sparkContext.broadcast(machine)  # eight megabytes
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value

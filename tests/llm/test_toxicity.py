@@ -106,3 +106,22 @@ def test_only_rows_that_are_not_held_out_teach(spark, fitted):
     wrong = labels.withColumn("toxic", F.when(tox.held_out("doc_id"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     again = tox.fit(docs, wrong.withColumn("toxic", F.col("toxic").cast("int")))
     assert np.array_equal(again.weights, machine.weights) and np.allclose(again.mix, machine.mix)
+
+
+def test_letters_of_other_alphabets_differ():
+    for word in ("дурак", "βλακας", "حمار", "żółć"):
+        own, other = machine_features([word, "".join(chr(ord(c) + 4) for c in word)])
+        assert sum(x * other.get(p, 0) for p, x in own.items()) < 0.5
+
+
+def test_a_rare_insult_is_learnt_beside_many_spellings_of_a_frequent_one():
+    rng = np.random.default_rng(5)
+    parts = ["ta", "ru", "mi", "sol", "ke", "lan", "do", "vi", "ner", "pas"]
+    word = lambda: "".join(rng.choice(parts, rng.integers(2, 5)))
+    spellings = ["grobble" + a + b for a in "abcdefghij" for b in "abcdefghij"]
+    bad = [w for w in spellings for _ in range(20)] + ["wexyq"] * 15 + ["дурак"] * 15
+    clean = [(" ".join(word() for _ in range(8)), 0) for _ in range(4000)]
+    toxic = [(" ".join([*(word() for _ in range(6)), w, word()]), 1) for w in bad]
+    machine = tox.train(sorted({*clean, *toxic}))
+    found = machine.decide(tox.Words.of(pa.array(["grobbleaa", "wexyq", "дурак", "misolke", "лапша"], pa.large_string())))
+    assert (found[:3] > 0).all() and (found[3:] < 0).all()
