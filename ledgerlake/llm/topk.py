@@ -218,7 +218,8 @@ def search(
     left = written(seen.join(cutoffs, "query", "left").where(able).select("query", "class", "seen", "n"), "left")
     exact = left.where(F.col("n") == blocks).select("query", "class", F.col("seen").alias("score"))
     exact = exact.union(resolved(left.where(F.col("n") < blocks).select("query", "class"), classes, queries))
-    best = exact.withColumn("place", F.row_number().over(per_query)).where(F.col("place") <= k)
+    # One more class, as the query's own may owe its place to the query.
+    best = exact.withColumn("place", F.row_number().over(per_query)).where(F.col("place") <= k + 1)
     named = best.join(classes.select("class", "ids"), "class").select("query", "score", F.explode("ids").alias("id"))
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     return named.where("id <> query").withColumn("rank", rank).where(F.col("rank") <= k).select("query", "rank", "id", "score")

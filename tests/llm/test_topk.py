@@ -52,3 +52,10 @@ def test_large_numbers_are_exact():
     a = np.array([[2**40 + 1, 3], [-(2**40), 5]])
     assert topk.inner(a, a[:, ::-1]).tolist() == [[int(x) for x in row] for row in a.astype(object) @ a[:, ::-1].astype(object).T]
     assert topk.inner_rows(a, a).tolist() == [1 << 62, 1 << 62] and topk.inner_rows(a[:, 1:], a[:, 1:]).tolist() == [9, 25]
+
+
+def test_the_query_takes_no_place_of_a_class_that_ties(spark):
+    rows = [(0, [0.0, 0.0]), (100, [0.0, 0.0]), (101, [0.0, 0.0]), *((i, [float(i), 1.0]) for i in range(1, 9))]
+    found = run(spark, rows)
+    assert found == slow(rows, 4)
+    assert [r[2] for r in found if r[0] == 0] == [1, 2, 3, 4]
