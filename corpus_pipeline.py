@@ -20,19 +20,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked texts the row of the smallest id. A row without an id goes if a row
-    with one is in its group, else one of each distinct text may stay."""
+    """Of each group of linked texts the row of the smallest id; of several such rows one of the
+    smallest fingerprint, and of these one of the text with the smallest hash. Texts of one id that
+    are not linked are in groups of their own. A row without an id goes if a row with one is in its
+    group, else one of each distinct text may stay."""
     key = "near_key"
-    while key in docs.columns:
+    while any(c.startswith(key) for c in docs.columns):
         key += "_"
     by_text = F.lit(1 << 62).bitwiseOR(F.pmod(F.xxhash64("text"), F.lit(1 << 62)))
     keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), by_text))
-    found = written(simhash.near_duplicates(keyed, id_col=key), "near")
-    kept = found.where("id = component").select(F.col("id").alias(key))
-    rows = keyed.join(kept.distinct(), key, "left_semi")
-    if not kept.groupBy(key).count().where("count > 1").isEmpty():
-        rows = rows.dropDuplicates([key])
-    return rows.select(*docs.columns)
+    found = written(simhash.near_duplicates(keyed, id_col=key, with_root=True), "near")
+    kept = found.where("id = component").groupBy("root").agg(F.min(F.struct("id", "fp")).alias("one"))
+    kept = written(kept.select(F.col("one.id").alias(key), F.col("one.fp").alias(f"{key}_fp")), "kept")
+    rows = keyed.join(kept.select(key).distinct(), key, "left_semi")
+    again = written(found.groupBy(F.col("id").alias(key)).count().where("count > 1").select(key), "again")
+    if again.isEmpty():
+        return rows.select(*docs.columns)
+    # Which row an id means is told by the text, for ids of several rows.
+    several = rows.join(again, key, "left_semi").withColumn(f"{key}_text", F.xxhash64("text"))
+    different = several.groupBy(f"{key}_text").agg(F.first("text").alias("text"))
+    prints = simhash.fingerprints(different, id_col=f"{key}_text")
+    prints = prints.select(F.col("id").alias(f"{key}_text"), F.col("fp").alias(f"{key}_fp"))
+    of_id = several.select(key, f"{key}_text").distinct().join(prints, f"{key}_text").join(kept, [key, f"{key}_fp"])
+    chosen = of_id.groupBy(key, f"{key}_fp").agg(F.min(f"{key}_text").alias(f"{key}_text"))
+    several = several.join(chosen, [key, f"{key}_text"]).dropDuplicates([key, f"{key}_fp"])
+    return rows.join(again, key, "left_anti").select(*docs.columns).union(several.select(*docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

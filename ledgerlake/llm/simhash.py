@@ -125,8 +125,11 @@ def near_duplicates(
     text_col: str = "text",
     shingle: int = SHINGLE,
     distance: int = DISTANCE,
+    with_root: bool = False,
 ) -> DataFrame:
-    """(id, fp, component) for each row of `docs`: the smallest id reachable over links.
+    """(id, fp, component) for each row of `docs`: the smallest id reachable over links; also
+    `root`, the smallest fingerprint reachable, if asked for. Where ids repeat, two components may
+    have the same smallest id, but not the same root.
 
     Rows whose fingerprints differ in at most `distance` bits are linked. Rows of equal text have
     equal fingerprints, so copies are one value in all steps before the last. Texts without words
@@ -140,4 +143,5 @@ def near_duplicates(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return rows.join(rooted.join(named, "root").select("fp", "component"), "fp").select("id", "fp", "component")
+    found = rows.join(rooted.join(named, "root").select("fp", "component", "root"), "fp")
+    return found.select("id", "fp", "component", *["root"] * with_root)

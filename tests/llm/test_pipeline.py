@@ -96,3 +96,13 @@ def test_run_is_the_stages(spark, stages):
     assert rows.agg(F.count(F.lit(1)), F.sum("length"), F.sum("ids_crc32")).first() == stages[-1][1].agg(
         F.count(F.lit(1)), F.sum("length"), F.sum("ids_crc32")
     ).first()
+
+
+def test_different_texts_of_one_id_are_groups_of_their_own(spark):
+    texts = [" ".join(f"{x}{i * i}" for i in range(60)) for x in ("one", "two", "three")]
+    rows = [(5, texts[0], "a"), (5, texts[1], "b"), (5, texts[1], "b"), (1, texts[2], "c"), (7, texts[2], "d"), (7, texts[0], "e")]
+    rows += [(9, texts[0] + " nine", "f"), (8, "x " + texts[2][::-1], "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    near = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    found = sorted((r.doc_id, r.source) for r in near if r.source != "f")
+    assert found == [(1, "c"), (5, "a"), (5, "b"), (8, "g")]
