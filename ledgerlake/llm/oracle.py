@@ -106,3 +106,25 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
        ((whole + floor(place + part * nth) - floor(place + part * (nth - 1))) * size)::BIGINT AS taken
 FROM ordered
 """
+
+ORACLE["op11_ranked_lexical_search"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+items AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+size AS (SELECT count(*)::BIGINT AS n_all, sum(len(terms))::BIGINT AS l_all FROM docs WHERE len(terms) > 0),
+lengths AS (SELECT r, doc_id, 100 - 25 + ((25 * len(terms) * n_all) // l_all) AS m FROM docs, size WHERE len(terms) > 0),
+postings AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) t GROUP BY r, term),
+asked AS (SELECT q, item_id, term, count(*)::BIGINT AS n
+    FROM (SELECT q, item_id, unnest(terms) AS term FROM items) t GROUP BY q, item_id, term),
+lexicon AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * n_all + 2) / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM postings GROUP BY term) t, size),
+scored AS (SELECT q, item_id, r, doc_id, sum(n * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN lexicon USING (term) JOIN postings USING (term) JOIN lengths USING (r)
+    GROUP BY q, item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""

@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "labels", "conversations"):
+    for table in ("documents", "embeddings", "pages", "labels", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     return con
 
