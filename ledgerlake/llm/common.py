@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import combinations
 from pathlib import Path
 
@@ -15,6 +16,7 @@ from ledgerlake.session import scratch_path
 # Runs of anything but the ASCII blank, tab, newline, vertical tab, form feed and return. In
 # Python, bytes.split() cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -46,6 +48,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, actions hand Python at most so many rows at a time: for rows of some megabytes."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def block_masks(distance: int, extra: int, bits: int = 64) -> list[list[tuple[int, int]]]:
     """Bit ranges of each pigeonhole key: the ways to keep `extra` of `distance + extra` blocks.
 

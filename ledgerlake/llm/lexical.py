@@ -20,14 +20,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import texts, written
+from ledgerlake.llm.common import at_once, texts, written
 from ledgerlake.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
 
 K = 20
 UNIT = 1_000_000_000  # a posting's impact is below that
-NODE_DOCS = 2048
-NODE_TERMS = 400_000  # of all documents of a node, repeats counted, unless one document has more
+NODE_DOCS = 512
+NODE_TERMS = 100_000  # of all documents of a node, repeats counted, unless one document has more
 BLOCK_ITEMS = 256
+NODES_AT_ONCE = 8  # that a task gets in one batch
 
 _KEPT = bytes(range(0x30, 0x3A)) + bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TERMS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEPT else 0x20 for c in range(256))
@@ -277,7 +278,8 @@ def search(
     found = None
     for n in range(rounds):
         own = grouped.where(F.pmod("block", F.lit(rounds)) == n)
-        part = _found(index.nodes.crossJoin(F.broadcast(own)), k)
+        with at_once(grouped.sparkSession, NODES_AT_ONCE):
+            part = written(_found(index.nodes.crossJoin(F.broadcast(own)), k), "found")
         found = part if found is None else found.unionAll(part)
     if found is None:
         found = grouped.sparkSession.createDataFrame([], "key long, id long, score long")
