@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import html_text, lexical, licences, mixing, packing, quality, quotes, simhash, suffix, topk, toxicity
+from ledgerlake.llm import alignment, html_text, lexical, licences, mixing, packing, quality, quotes, simhash, suffix, topk, toxicity
 from ledgerlake.llm.common import importable, table
 from ledgerlake.llm.oracle import ORACLE
 
@@ -111,3 +111,8 @@ def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = lexical.build(table(spark, sf_dir, "documents"))
     found = lexical.search(index, table(spark, sf_dir, "benchmark"))
     return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+@registered
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
