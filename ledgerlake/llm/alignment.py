@@ -36,7 +36,7 @@ END = 40  # a document's number times 2**END, plus where a token ends
 _UNIT = re.compile(r"\s*\S+|\s+", re.ASCII)
 # Texts that are not cut into units: those that end in white space, or have white space beyond
 # ASCII or the second tokenizer's own sign for the space.
-_WIDE = r"\x1c-\x1f\x85\xa0  -     　▁"
+_WIDE = "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0x2581]))
 _WHOLE = re.compile(rf"\s\Z|[{_WIDE}]")
 
 
