@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import alignment, html_text, lexical, licences, mixing, packing, quality, quotes, simhash, suffix, topk, toxicity
+from ledgerlake.llm import alignment, hmm, html_text, lexical, licences, mixing, packing, quality, quotes, simhash, suffix, topk, toxicity
 from ledgerlake.llm.common import importable, table
 from ledgerlake.llm.oracle import ORACLE
 
@@ -116,3 +116,8 @@ def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@registered
+def op13_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
