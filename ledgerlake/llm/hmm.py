@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,17 +28,57 @@ from ledgerlake.llm.common import at_once, texts, written
 
 STATES = 8
 ROUNDS = 3
-MIN_COUNT = 20
+MIN_COUNT = 50
 STAY = 0.9  # probability of staying in a state before the first round
-CHUNK_TOKENS = 1_000_000  # a longer text has a chunk of its own
+CHUNK_TOKENS = 1_500_000  # a longer text has a chunk of its own
+ENCODED_TOKENS = 200_000  # that are kept as words at a time
 WINDOW = 256  # tokens of a sequence in training; scoring takes texts whole
-WINDOWS = 1024  # that are trained on at a time
+WINDOWS = 512  # that are trained on at a time
 SEED = 17
+LANES, FULL = 4, (1 << 15) - 1  # shares of a word's states in one number, and what stands for all of it
+UNIT = 1024  # expected counts are added up as whole numbers of 1 / UNIT, in any order
 END = b""  # no word is empty
-CHUNKS_AT_ONCE = 2  # that a task gets in one batch
+CHUNKS_AT_ONCE = 1  # that a task gets in one batch
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
-CHUNK = "chunk long, words array<binary>, counts array<long>, ids array<long>, held array<boolean>, ends array<long>, tokens array<int>"
+# `texts` has the rest of a chunk as one cell, which rows of words can stand beside, see `_met`.
+CHUNK = "chunk long, words array<binary>, texts binary"
+
+
+class Texts(NamedTuple):
+    """The texts of a chunk: by word how often it is learnt from; ids, whether held out, and where
+    each ends; and all tokens as places in the chunk's words."""
+
+    counts: pa.Array
+    ids: pa.Array
+    held: pa.Array
+    ends: pa.Array
+    tokens: pa.Array
+
+    def packed(self) -> bytes:
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a) for a in self]
+        batch = pa.RecordBatch.from_arrays(lists, list(self._fields))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        return sink.getvalue().to_pybytes()
+
+    @classmethod
+    def unpacked(cls, cell: pa.Scalar) -> Texts:
+        batch = pa.ipc.open_stream(cell.as_buffer()).read_next_batch()
+        return cls(*(c[0].values for c in batch.columns))
+
+    def learnt(self, emission: np.ndarray, moves: np.ndarray, first: np.ndarray) -> Counts:
+        """Expected counts of the texts that are not held out, in windows."""
+        tokens, ends = self.tokens.to_numpy(), self.ends.to_numpy()
+        starts, sizes = _windows(self.held.to_numpy(zero_copy_only=False), ends)
+        order = np.argsort(-sizes, kind="stable")  # sequences of like sizes together
+        total = Counts.zeros(len(emission), len(first))
+        single = [x.astype(np.float32, copy=False) for x in (emission, moves, first)]
+        for at in range(0, len(order), WINDOWS):
+            own = order[at : at + WINDOWS]
+            add_expected(total, tokens, starts[own], sizes[own], *single)
+        return total
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -52,42 +93,44 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def _list(values, kind: pa.DataType | None = None) -> pa.Array:
-    values = values if isinstance(values, pa.Array) else pa.array(values, kind)
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def _encoded(split: list[list[bytes]]) -> pa.DictionaryArray:
+    return pa.array(chain.from_iterable(split), pa.binary()).dictionary_encode()
 
 
-def _chunk(key: int, ids: list[int | None], held: list[bool], split: list[list[bytes]]) -> pa.RecordBatch:
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    found = pa.array(chain.from_iterable(split), pa.binary()).dictionary_encode()
+def _chunk(key: int, ids: list[int | None], held: list[bool], sizes: list[int], parts: list[pa.DictionaryArray]) -> pa.RecordBatch:
+    found = pa.chunked_array(parts).unify_dictionaries().combine_chunks()
     tokens = found.indices.to_numpy()
     learnt = np.repeat(~np.array(held, bool), sizes)
     counts = np.bincount(tokens[learnt], minlength=len(found.dictionary)).astype(np.int64)
-    cells = [
-        pa.array([key]), _list(found.dictionary), _list(counts), _list(ids, pa.int64()), _list(held, pa.bool_()),
-        _list(np.cumsum(sizes)), _list(found.indices),
-    ]
-    return pa.RecordBatch.from_arrays(cells, ["chunk", "words", "counts", "ids", "held", "ends", "tokens"])
+    held = pa.array(held, pa.bool_())
+    rest = Texts(pa.array(counts), pa.array(ids, pa.int64()), held, pa.array(np.cumsum(sizes)), found.indices)
+    words = pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), found.dictionary)
+    cells = [pa.array([key]), words, pa.array([rest.packed()], pa.binary())]
+    return pa.RecordBatch.from_arrays(cells, ["chunk", "words", "texts"])
 
 
 def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """All texts as a written table of chunks; tasks cut the rows they read."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, size = TaskContext.get().partitionId() << 32, 0
-        ids, held, split = [], [], []
+        key = TaskContext.get().partitionId() << 32
+        ids, held, sizes, split, parts, size, fresh = [], [], [], [], [], 0, 0
         for batch in rows:
             for i, own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), strict=True):
                 found = tokens_of(text)
                 if ids and size + len(found) > CHUNK_TOKENS:
-                    yield _chunk(key, ids, held, split)
-                    ids, held, split, size, key = [], [], [], 0, key + 1
+                    yield _chunk(key, ids, held, sizes, [*parts, _encoded(split)])
+                    ids, held, sizes, split, parts, size, fresh, key = [], [], [], [], [], 0, 0, key + 1
                 ids.append(i)
                 held.append(own)
+                sizes.append(len(found))
                 split.append(found)
-                size += len(found)
+                size, fresh = size + len(found), fresh + len(found)
+                if fresh > ENCODED_TOKENS:
+                    parts.append(_encoded(split))
+                    split, fresh = [], 0
         if ids:
-            yield _chunk(key, ids, held, split)
+            yield _chunk(key, ids, held, sizes, [*parts, _encoded(split)])
 
     key = F.col(id_col).cast("long")
     rows = docs.select(key.alias("id"), held_out(key).alias("held"), F.col(text_col).cast("string").alias("text"))
@@ -101,10 +144,14 @@ class Counts(NamedTuple):
     moves: np.ndarray
     first: np.ndarray
 
+    @classmethod
+    def zeros(cls, words: int, states: int) -> Counts:
+        return cls(np.zeros((states, words)).T, np.zeros((states, states)), np.zeros(states))
+
 
-def expected(
-    tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, emission: np.ndarray, moves: np.ndarray, first: np.ndarray
-) -> Counts:
+def add_expected(
+    total: Counts, tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, emission: np.ndarray, moves: np.ndarray, first: np.ndarray
+) -> None:
     """Scaled forward and backward recursions over sequences `tokens[start : start + size]`.
 
     `emission` has a row for each word; a row's scale does not matter. The sequences are worked on
@@ -134,8 +181,10 @@ def expected(
         backward = np.ones((going[t], states), seen.dtype)
         backward[:n] = ahead @ moves.T
     forward[: going[0]] *= backward
-    by_word = [np.bincount(word, forward[:, s], minlength=len(emission)) for s in range(states)]
-    return Counts(np.stack(by_word, 1), pairs * moves, forward[: going[0]].sum(0, dtype=np.float64))
+    for s in range(states):
+        total.words[:, s] += np.bincount(word, forward[:, s], minlength=len(emission))
+    total.moves[:] += pairs * moves
+    total.first[:] += forward[: going[0]].sum(0, dtype=np.float64)
 
 
 def _windows(held: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,27 +197,19 @@ def _windows(held: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.minimum(WINDOW, np.repeat(sizes, number) - nth * WINDOW)
 
 
-def _learnt(tokens: np.ndarray, held: np.ndarray, ends: np.ndarray, emission: np.ndarray, moves: np.ndarray, first: np.ndarray) -> Counts:
-    starts, sizes = _windows(held, ends)
-    order = np.argsort(-sizes, kind="stable")  # sequences of like sizes together
-    total = Counts(np.zeros(emission.shape), np.zeros(moves.shape), np.zeros(first.shape))
-    single = [x.astype(np.float32) for x in (emission, moves, first)]
-    for at in range(0, len(order), WINDOWS):
-        own = order[at : at + WINDOWS]
-        total = Counts(*map(np.add, total, expected(tokens, starts[own], sizes[own], *single)))
-    return total
-
-
 def _random_emission(words: list[bytes], states: int) -> np.ndarray:
     """A seeded share of each state in each word, the same in all chunks."""
     import xxhash
 
     own = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
-    mixed = own[:, None] ^ (np.arange(1, states + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
-    mixed ^= mixed >> np.uint64(31)
-    return -np.log(((mixed >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53))
+    found = np.empty((states, len(words)), np.float32).T
+    for s in range(states):
+        mixed = own ^ np.uint64((s + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+        mixed ^= mixed >> np.uint64(31)
+        found[:, s] = -np.log(((mixed >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53))
+    return np.ascontiguousarray(found)
 
 
 def _state_columns(states: int) -> list[str]:
@@ -176,7 +217,7 @@ def _state_columns(states: int) -> list[str]:
 
 
 def _count_schema(states: int) -> str:
-    return "word binary, n long, " + ", ".join(f"{c} double" for c in _state_columns(states))
+    return "word binary, n long, " + ", ".join(f"{c} long" for c in _state_columns(states))
 
 
 # Rows beside those of words, which hold no blanks: rare words together, transitions, first states.
@@ -187,19 +228,18 @@ def _move(state: int) -> bytes:
     return b" from %d" % state
 
 
-def _count_rows(words: pa.Array, counts: np.ndarray, chosen: np.ndarray, found: Counts, rare: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The expected counts of a chunk: a row for each chosen word, and the others."""
+def _count_rows(words: pa.Array, n: np.ndarray, counts: np.ndarray, found: Counts, rare: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The expected counts of a chunk: a row for each of `words`, and the others."""
     states = len(found.first)
     names = ["word", "n", *_state_columns(states)]
-    places = np.flatnonzero(chosen)
-    for at in range(0, len(places), 50_000):
-        own = places[at : at + 50_000]
-        columns = [words.take(pa.array(own)), pa.array(counts[own]), *(pa.array(found.words[own, s]) for s in range(states))]
-        yield pa.RecordBatch.from_arrays(columns, names)
+    whole = lambda x: pa.array(np.rint(x * UNIT).astype(np.int64))
+    for at in range(0, len(words), 50_000):
+        own = slice(at, at + 50_000)
+        yield pa.RecordBatch.from_arrays([words[own], pa.array(n[own]), *(whole(counts[own, s]) for s in range(states))], names)
     other = np.vstack([rare, found.first, found.moves])
     keys = pa.array([_RARE, _FIRST, *map(_move, range(states))], pa.binary())
     zeros = pa.array(np.zeros(len(keys), np.int64))
-    yield pa.RecordBatch.from_arrays([keys, zeros, *(pa.array(other[:, s]) for s in range(states))], names)
+    yield pa.RecordBatch.from_arrays([keys, zeros, *(whole(other[:, s]) for s in range(states))], names)
 
 
 def _added(rows: DataFrame, states: int) -> DataFrame:
@@ -217,20 +257,42 @@ def first_round(chunks: DataFrame, states: int) -> DataFrame:
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for i in range(batch.num_rows):
-                words, counts, held, ends, tokens = (c[i].values for c in batch.columns)
-                counts, tokens, ends = counts.to_numpy(), tokens.to_numpy(), ends.to_numpy()
-                held = held.to_numpy(zero_copy_only=False)
-                found = _learnt(tokens, held, ends, _random_emission(words.to_pylist(), states), moves, first)
-                yield from _count_rows(words, counts, counts > 0, found, np.zeros(states))
+                words, own = batch.column(0)[i].values, Texts.unpacked(batch.column(1)[i])
+                found = own.learnt(_random_emission(words.to_pylist(), states), moves, first)
+                n = own.counts.to_numpy()
+                known = np.flatnonzero(n)
+                yield from _count_rows(words.take(pa.array(known)), n[known], found.words[known], found, np.zeros(states))
 
-    read = chunks.select("words", "counts", "held", "ends", "tokens")
     with at_once(chunks.sparkSession, CHUNKS_AT_ONCE):
-        return _added(read.mapInArrow(batches, _count_schema(states)), states)
+        return _added(chunks.select("words", "texts").mapInArrow(batches, _count_schema(states)), states)
+
+
+def _share_columns(states: int) -> list[str]:
+    return [f"p{i}" for i in range(-(-states // LANES))]
+
+
+def _shared(counts: DataFrame, states: int) -> DataFrame:
+    """(word, n, p0, ...): how the occurrences of frequent words are shared among the states, in units
+    of 1 / FULL, LANES of them in a number."""
+    total = sum((F.col(c) for c in _state_columns(states)), F.lit(0))
+    lanes = [F.round(F.col(c) / total * FULL).cast("long") for c in _state_columns(states)]
+    packed = []
+    for i, name in enumerate(_share_columns(states)):
+        number = F.lit(0).cast("long")
+        for j, lane in enumerate(lanes[i * LANES : (i + 1) * LANES]):
+            number = number.bitwiseOR(F.shiftleft(lane, 16 * j))
+        packed.append(number.alias(name))
+    often = ~F.col("word").startswith(F.lit(b" ")) & (F.col("n") >= MIN_COUNT)
+    return counts.where(often).select("word", "n", *packed)
+
+
+def _lane(state: int) -> Column:
+    packed = F.shiftright(F.col(f"p{state // LANES}"), 16 * (state % LANES))
+    return packed.bitwiseAND(F.lit(0xFFFF).cast("long")) / F.lit(float(FULL))
 
 
 class Model(NamedTuple):
-    """What all words have in common; the words' own rows are in the table `rows`: (word, n, s0, ...),
-    whose state columns count for words of at least `MIN_COUNT` occurrences."""
+    """What all words have in common; the words' own rows are in the table `rows`, see `_shared`."""
 
     rows: DataFrame
     tokens: int  # N
@@ -270,16 +332,18 @@ def estimated(lexicon: DataFrame, counts: DataFrame, states: int) -> Model:
         total((F.col("n") == 1).cast("long")).alias("once"), total((F.col("n") == 2).cast("long")).alias("twice"),
         total((~often).cast("long")).alias("rare_words"), total(F.when(~often, F.col("n"))).alias("rare_tokens"),
     ).first()
-    sums = counts.where(word).agg(
-        *(total(F.when(often, F.col(c))).alias(f"often_{c}") for c in columns),
-        *(total(F.when(often, F.col(c) / F.col("n"))).alias(f"each_{c}") for c in columns),
-        *(total(F.when(~often, F.col(c))).alias(f"rare_{c}") for c in columns),
+    rows = written(_shared(counts, states), "shares")
+    sums = rows.agg(
+        *(total(F.col("n") * _lane(s)).alias(f"often_{c}") for s, c in enumerate(columns)),
+        *(total(_lane(s)).alias(f"each_{c}") for s, c in enumerate(columns)),
     ).first()
+    # The first round counts rare words one by one, later ones together.
+    ones = counts.where(word & ~often).agg(*(total(c).alias(c) for c in columns)).first()
+    others = {bytes(r["word"]): np.array([r[c] for c in columns]) / UNIT for r in counts.where(~word).collect()}  # states + 2 rows
     vector = lambda name: np.array([float(sums[f"{name}_{c}"]) for c in columns])
-    others = {bytes(r["word"]): np.array([r[c] for c in columns]) for r in counts.where(~word).collect()}  # states + 2 rows
     zero = np.zeros(states)
-    # The first round counts rare words one by one, later ones together.
-    rare = vector("rare") + others.get(_RARE, zero)
+    rare = np.array([float(ones[c]) for c in columns]) / UNIT + others.get(_RARE, zero)
+    rare = rare * (sizes["rare_tokens"] / rare.sum() if rare.sum() else 0.0)
     totals = vector("often") + rare
     discount = sizes["once"] / max(1, sizes["once"] + 2 * sizes["twice"])
     discount = min(0.95, max(0.05, discount))
@@ -288,38 +352,28 @@ def estimated(lexicon: DataFrame, counts: DataFrame, states: int) -> Model:
     spare = np.where(totals > 0, spare / np.where(totals > 0, totals, 1.0), 1.0)
     moves = np.stack([others.get(_move(s), zero) for s in range(states)])
     return Model(
-        counts.where(word), sizes["tokens"], sizes["words"], discount, totals, spare, per_token,
+        rows, sizes["tokens"], sizes["words"], discount, totals, spare, per_token,
         _normal(moves), _normal(others.get(_FIRST, zero)),
     )
 
 
-def _met(chunks: DataFrame, rows: DataFrame, data: list[str], states: int) -> DataFrame:
-    """All rows that a chunk needs, one after the other within a partition: one with the columns
-    `data`, and one for each of its words that `rows` has, with the word's place in the chunk."""
+def _met(chunks: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """All that a chunk needs, one row after the other within a partition: its texts, and `columns`
+    of each of its words that `rows` has, with the word's place in the chunk."""
     asked = chunks.select("chunk", F.posexplode("words").alias("place", "word"))
-    columns = ["n", *_state_columns(states)]
     words = asked.join(rows.hint("merge"), "word").select("chunk", "place", *columns)
-    own = chunks.select("chunk", *data)
-    both = words.unionByName(own, allowMissingColumns=True)
+    both = words.unionByName(chunks.select("chunk", "texts"), allowMissingColumns=True)
     return both.repartition("chunk").sortWithinPartitions("chunk")
 
 
-def _chunks_of(rows: Iterator[pa.RecordBatch], data: list[str], states: int) -> Iterator[tuple[dict[str, pa.Array], np.ndarray, np.ndarray]]:
-    """For each chunk its data, and by the place of its words their count and expected counts."""
+def _chunks_of(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[Texts, pa.Table]]:
+    """The texts of each chunk and the rows of its words."""
     held: list[pa.RecordBatch] = []
 
-    def done() -> tuple[dict[str, pa.Array], np.ndarray, np.ndarray]:
+    def done() -> tuple[Texts, pa.Table]:
         table = pa.Table.from_batches(held)
-        word = table["place"].is_valid()
-        cells = table.filter(pa.compute.invert(word))
-        cells = {name: cells[name][0].values for name in data}
-        table = table.filter(word)
-        place, size = table["place"].to_numpy(), len(cells["words"])
-        n, own = np.zeros(size, np.int64), np.zeros((size, states))
-        n[place] = table["n"].to_numpy()
-        for s, name in enumerate(_state_columns(states)):
-            own[place, s] = table[name].to_numpy()
-        return cells, n, own
+        own = table["texts"].is_valid()
+        return Texts.unpacked(table["texts"].filter(own)[0]), table.filter(pc.invert(own))
 
     for batch in rows:
         key = batch.column("chunk").to_numpy()
@@ -334,26 +388,37 @@ def _chunks_of(rows: Iterator[pa.RecordBatch], data: list[str], states: int) ->
         yield done()
 
 
+def _by_place(rows: pa.Table, size: int, states: int) -> tuple[np.ndarray, np.ndarray]:
+    """Count and expected counts of a chunk's words; zeros for those without a row."""
+    n, own, place = np.zeros(size, np.int64), np.zeros((size, states)), rows["place"].to_numpy()
+    n[place] = rows["n"].to_numpy()
+    for i, name in enumerate(_share_columns(states)):
+        packed = rows[name].to_numpy()
+        for s in range(i * LANES, min(states, (i + 1) * LANES)):
+            own[place, s] = (packed >> 16 * (s % LANES)) & 0xFFFF
+    own *= (n / FULL)[:, None]
+    return n, own
+
+
 def next_round(chunks: DataFrame, model: Model) -> DataFrame:
-    """Counts after a round from a model. n is that of the model's rows."""
+    """Counts after a round from a model, of frequent words and of the others together."""
     states = len(model.first)
-    data = ["words", "counts", "held", "ends", "tokens"]
     fixed = model._replace(rows=None)
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cells, n, own in _chunks_of(rows, data, states):
-            held = cells["held"].to_numpy(zero_copy_only=False)
-            tokens, ends = cells["tokens"].to_numpy(), cells["ends"].to_numpy()
-            often, learnt = n > 0, cells["counts"].to_numpy() > 0
+        for texts_of, words in _chunks_of(rows):
+            n, own = _by_place(words, len(texts_of.counts), states)
             # Only the ratio of a word's states matters here, so rare words have one row.
-            emission = np.where(often[:, None], fixed.shares(n, own), fixed.shares(np.full(1, MIN_COUNT - 1), np.zeros((1, states))))
-            found = _learnt(tokens, held, ends, emission, fixed.moves, fixed.first)
-            yield from _count_rows(cells["words"], n, often & learnt, found, found.words[~often].sum(0))
+            tied = fixed.shares(np.full(1, MIN_COUNT - 1), np.zeros((1, states)))
+            emission = np.where((n > 0)[:, None], fixed.shares(n, own), tied)
+            found = texts_of.learnt(emission, fixed.moves, fixed.first)
+            place = words["place"].to_numpy()
+            yield from _count_rows(
+                words["word"].combine_chunks(), words["n"].to_numpy(), found.words[place], found, found.words[n == 0].sum(0)
+            )
 
-    # The number of a word's occurrences comes from each chunk that has it.
-    frequent = model.rows.where(F.col("n") >= MIN_COUNT)
-    rows = _met(chunks, frequent, data, states).mapInArrow(batches, _count_schema(states))
     columns = _state_columns(states)
+    rows = _met(chunks, model.rows, ["word", "n", *_share_columns(states)]).mapInArrow(batches, _count_schema(states))
     return written(rows.groupBy("word").agg(F.max("n").alias("n"), *(F.sum(c).alias(c) for c in columns)), "counts")
 
 
@@ -365,10 +430,10 @@ def train(chunks: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> Mode
         model = estimated(lexicon, next_round(chunks, model), states)
     # Every known word with its number; rare words have no states of their own.
     numbers = lexicon.where(~F.col("word").startswith(F.lit(b" "))).select("word", "n")
-    columns = _state_columns(states)
-    own = model.rows.where(F.col("n") >= MIN_COUNT).select("word", *columns)
-    joined = numbers.hint("merge").join(own.hint("merge"), "word", "left")
-    return model._replace(rows=joined.select("word", "n", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in columns)))
+    columns = _share_columns(states)
+    joined = numbers.hint("merge").join(model.rows.drop("n").hint("merge"), "word", "left")
+    zero = F.lit(0).cast("long")
+    return model._replace(rows=joined.select("word", "n", *(F.coalesce(c, zero).alias(c) for c in columns)))
 
 
 def log_likelihood(tokens: np.ndarray, ends: np.ndarray, emission: np.ndarray, moves: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -397,20 +462,20 @@ SCORED = "id long, held_out boolean, n_tokens long, n_known long, base_score dou
 def score(chunks: DataFrame, model: Model) -> DataFrame:
     """A row for each text; base_score is that of single words with one added to each count."""
     states = len(model.first)
-    data = ["words", "ids", "held", "ends", "tokens"]
     fixed = model._replace(rows=None)
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cells, n, own in _chunks_of(rows, data, states):
-            tokens, ends = cells["tokens"].to_numpy(), cells["ends"].to_numpy()
+        for texts_of, words in _chunks_of(rows):
+            n, own = _by_place(words, len(texts_of.counts), states)
+            tokens, ends = texts_of.tokens.to_numpy(), texts_of.ends.to_numpy()
             sizes = np.diff(ends, prepend=0)
             base = np.log10((n + 1) / (fixed.tokens + fixed.words + 1))
-            sums = [np.add.reduceat(x[tokens], ends - sizes) for x in (n > 0, base)]
+            known, base = (np.add.reduceat(x[tokens], ends - sizes) for x in ((n > 0).astype(np.int64), base))
             scores = log_likelihood(tokens, ends, fixed.shares(n, own), fixed.moves, fixed.first)
-            columns = [cells["ids"], cells["held"], pa.array(sizes), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(scores)]
+            columns = [texts_of.ids, texts_of.held, *map(pa.array, (sizes, known, base, scores))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    return _met(chunks, model.rows, data, states).mapInArrow(batches, SCORED)
+    return _met(chunks, model.rows, ["n", *_share_columns(states)]).mapInArrow(batches, SCORED)
 
 
 def score_texts(
@@ -422,7 +487,7 @@ def score_texts(
     Null and empty texts are one token, the end. Very long texts are scored whole, by one task each;
     in training they are cut into windows. Rows without an id are learnt from; every row is a
     text of its own, also if it repeats another. An empty table gives no rows. Other columns are
-    not read. Reruns agree, up to the order in which sums are added.
+    not read. Reruns over the same files agree.
     """
     chunks = chunked(docs, id_col, text_col)
     model = train(chunks, states, rounds)
