@@ -448,6 +448,23 @@ moved AS (SELECT h_dim.*, b.op, b.segment AS new_segment, end_date IS NULL AND b
         _CDC, _latest("latest"),
         f"SELECT id, seq, segment, value, {_CONTACTS} FROM latest WHERE op <> 'D'",
     ),
+    "ods_bucketed": _with(
+        _CDC, _latest("latest"),
+        f"SELECT id, seq, segment, value, {_CONTACTS} FROM latest WHERE op <> 'D'",
+    ),
+    "ods_bucketed_before": _with(
+        _CDC, _latest("latest", _BEFORE),
+        f"SELECT id, seq, segment, value, {_CONTACTS} FROM latest WHERE op <> 'D'",
+    ),
+    "published_counters": _with(
+        _CDC,
+        f"""
+labelled AS (SELECT *, CASE WHEN {_BEFORE} THEN '2024-01-29' ELSE '{BATCH_DATE}' END AS version FROM cdc)""",
+        """SELECT version, 'changed_keys' AS counter, count(DISTINCT id) AS value FROM labelled GROUP BY version
+        UNION ALL SELECT version, 'changed_days', count(DISTINCT (id, CAST(updated_at AS DATE))) FROM labelled
+        GROUP BY version""",
+    ),
+    "scd2_late": _with(_CDC, _history("h"), f"SELECT {_DIM} FROM h_dim"),
     "cdc_to_dimension": _with(_CDC, _history("h"), f"SELECT {_DIM} FROM h_dim"),
     "reconcile_facts": _with(
         _FACTS,

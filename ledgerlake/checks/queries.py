@@ -12,12 +12,13 @@ from ledgerlake.checks import fixtures as fx_in
 from ledgerlake.checks.fixtures import BATCH_DATE, ROW_ID, RUN_DATE, plain
 from ledgerlake.functions.money import DIVIDE
 from ledgerlake.operators import aggregate, changes, enrich, history, joins, project, validate
-from ledgerlake.plans import daily, warehouse
+from ledgerlake.plans import buckets, daily, warehouse
 from ledgerlake.plans.layout import LakePaths, WarehousePaths
 from ledgerlake.schemas import CHANGES, CHANGES_V1, INGESTION_DATE, RATE, TRANSACTIONS
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import lake as sink
 from ledgerlake.sources import lake, landing
+from ledgerlake.sources.buckets import read_published
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -708,3 +709,44 @@ def reconcile_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, CUSTOMERS, claims, paths, BATCH_DATE, "2024-01-01", V2_SINCE, "claim_id", "claim_date"
     )
     return warehouse.fact_report(spark, claims, paths, "claim_date", ["amount"], "2024-01-01", "2025-01-01")
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> WarehousePaths:
+    """Two deliveries of changes in buckets, published one after the other."""
+    paths = _deliver(spark, sf_dir, scratch_path(spark, "bucketed"))
+    for delivery in (FIRST_DELIVERY, BATCH_DATE):
+        buckets.run_bucketed_batch(spark, CUSTOMERS, paths, delivery, buckets=64)
+    return paths
+
+
+@registered
+def ods_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return buckets.read_bucketed_state(spark, CUSTOMERS, _bucketed(spark, sf_dir))
+
+
+@registered
+def ods_bucketed_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state as of the first version, after the second one was published."""
+    return buckets.read_bucketed_state(spark, CUSTOMERS, _bucketed(spark, sf_dir), FIRST_DELIVERY)
+
+
+@registered
+def published_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _bucketed(spark, sf_dir)
+    rows = []
+    for version in (FIRST_DELIVERY, BATCH_DATE):
+        found = read_published(spark, paths.published, version)
+        rows += [(version, name, found.counters[name]) for name in ("changed_keys", "changed_days")]
+    return spark.createDataFrame(rows, "version string, counter string, value long")
+
+
+@registered
+def scd2_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries, each with changes of all days, of which the first holds the latest ones."""
+    paths = WarehousePaths.under(scratch_path(spark, "late"))
+    changes_so_far = fx_in.changes(spark, sf_dir)
+    for n in (2, 0, 1):
+        warehouse.run_curation(changes_so_far.where(F.col("seq") % 3 == n), OLD_CUSTOMERS, paths, f"part-{n}")
+    for version, n in enumerate((2, 0, 1)):
+        buckets.run_bucketed_batch(spark, OLD_CUSTOMERS, paths, f"part-{n}", f"v{version}", buckets=16)
+    return buckets.read_bucketed_dimension(spark, OLD_CUSTOMERS, paths)

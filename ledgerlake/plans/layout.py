@@ -57,6 +57,22 @@ class WarehousePaths:
         names = ("curated", "staging", "ods", "dimension", "fact")
         return cls(**{name: f"{root}/{name}" for name in names})
 
+    @property
+    def staged_days(self) -> str:
+        return f"{self.staging}_days"
+
+    @property
+    def state_buckets(self) -> str:
+        return f"{self.ods}_buckets"
+
+    @property
+    def timeline_buckets(self) -> str:
+        return f"{self.dimension}_buckets"
+
+    @property
+    def published(self) -> str:
+        return f"{self.ods}_published"
+
     @property
     def change_reject(self) -> str:
         return f"{self.curated}_rejects"
