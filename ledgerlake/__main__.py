@@ -7,12 +7,12 @@ import argparse
 from pyspark.sql import SparkSession
 
 from ledgerlake.functions.money import DIVIDE, MULTIPLY
-from ledgerlake.plans import daily, warehouse
+from ledgerlake.plans import buckets, daily, warehouse
 from ledgerlake.plans.layout import LakePaths, WarehousePaths
-from ledgerlake.schemas import CHANGES, INGESTION_DATE
+from ledgerlake.schemas import CHANGES, CHANGES_V1, INGESTION_DATE
 from ledgerlake.session import build_session
 from ledgerlake.sinks.lake import FILE_BYTES, compact
-from ledgerlake.sources.landing import split_change_feed
+from ledgerlake.sources.landing import split_change_files
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -33,13 +33,18 @@ def arguments() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         job.add_argument("--since", required=True, help="first day")
         job.add_argument("--until", required=True, help="day after the last")
-    for name in ("change-feed", "initial-load", "batch", "fact-load"):
+    for name in ("change-feed", "initial-load", "batch", "fact-load", "bucketed-batch", "cleanup"):
         job = jobs.add_parser(name)
         job.add_argument("--warehouse", required=True, help="root of all warehouse tables")
         job.add_argument("--delivery", required=True, help="name of the delivery or version; names sort by date")
         job.add_argument("--tracked", nargs="+", default=["segment"], help="columns with history")
         if name == "change-feed":
             job.add_argument("--changes", required=True, help="folder or glob of the delivery's CSV files")
+        if name == "bucketed-batch":
+            job.add_argument("--version", help="name to publish; the delivery's by default")
+            job.add_argument("--buckets", type=int, default=buckets.BUCKETS, help="of the first version")
+        if name == "cleanup":
+            job.add_argument("--keep", type=int, required=True, help="published versions to keep")
         if name == "batch":
             job.add_argument("--previous", required=True, help="version to start from")
         if name == "fact-load":
@@ -54,7 +59,7 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--partition", default=INGESTION_DATE)
     job.add_argument("--file-bytes", type=int, default=FILE_BYTES)
     for name, job in jobs.choices.items():
-        if name in ("change-feed", "initial-load", "batch", "fact-load", "compact"):
+        if any(action.dest in ("warehouse", "source") for action in job._actions):
             continue
         job.add_argument("--lake", required=True, help="root of all layers")
         if not name.startswith(("fx", "bronze")):
@@ -68,9 +73,13 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = WarehousePaths.under(args.warehouse)
     feed = warehouse.Feed(CHANGES, tuple(args.tracked))
     if args.job == "change-feed":
-        changes, rejected = split_change_feed(spark, {args.changes: CHANGES}, CHANGES)
+        changes, rejected = split_change_files(spark, args.changes, [CHANGES_V1, CHANGES], CHANGES)
         rejected.write.mode("overwrite").parquet(f"{paths.change_reject}_lines/delivery={args.delivery}")
         warehouse.run_curation(changes, feed, paths, args.delivery)
+    elif args.job == "bucketed-batch":
+        print(buckets.run_bucketed_batch(spark, feed, paths, args.delivery, args.version, args.buckets).counters)
+    elif args.job == "cleanup":
+        print(*buckets.run_cleanup(spark, paths, args.keep), sep="\n")
     elif args.job == "initial-load":
         warehouse.run_initial_load(spark, feed, paths, args.delivery)
     elif args.job == "batch":

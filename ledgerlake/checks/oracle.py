@@ -349,6 +349,16 @@ ORACLE: dict[str, str] = {
         f"""SELECT {_CHANGE}, {_CONTACTS}, CAST(CAST(cdc.updated_at AS DATE) AS VARCHAR) AS date FROM cdc""",
     ),
     "change_feed_read": _with(_CDC, f"SELECT {_CHANGE}, {_CONTACTS} FROM cdc"),
+    "change_feed_by_header": _with(_CDC, f"SELECT {_CHANGE}, {_CONTACTS} FROM cdc"),
+    "schema_types_read": _with(
+        _CDC,
+        """SELECT seq, id, day,
+          CASE WHEN reason IS NULL THEN CAST(CAST(seq / 4.0 AS DECIMAL(18,2)) AS DOUBLE) END AS amount,
+          reason AS reject_reason
+        FROM (SELECT *, CAST(CAST(updated_at AS DATE) AS VARCHAR) AS day,
+          CASE WHEN day(updated_at) <= 8 AND seq % 97 = 0
+            OR day(updated_at) BETWEEN 17 AND 24 AND seq % 89 = 0 THEN 'unparsed_amount' END AS reason FROM cdc) t""",
+    ),
     "curated_sql": _with(
         _CDC,
         """SELECT op, segment, CAST(CAST(updated_at AS DATE) AS VARCHAR) AS date,

@@ -17,7 +17,7 @@ from ledgerlake.plans.layout import LakePaths, WarehousePaths
 from ledgerlake.schemas import CHANGES, CHANGES_V1, INGESTION_DATE, RATE, TRANSACTIONS
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import lake as sink
-from ledgerlake.sources import lake, landing
+from ledgerlake.sources import drift, lake, landing
 from ledgerlake.sources.buckets import read_published
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -437,6 +437,43 @@ def change_feed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _land_feed(spark, sf_dir, scratch_path(spark, "feed"))
 
 
+@registered
+def change_feed_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of both schema versions in one folder, told apart by their headers."""
+    root = scratch_path(spark, "headers")
+    for version in _two_versions(spark, sf_dir):
+        as_text = version.withColumn("updated_at", F.col("updated_at").cast("string"))
+        as_text.repartition(LANDED_FILES).write.mode("append").option("header", True).csv(root)
+    return landing.split_change_files(spark, root, [CHANGES_V1, CHANGES], CHANGES)[0]
+
+
+@registered
+def schema_types_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose columns had other types at first: which rows fit today's, and which cells do not."""
+    root = scratch_path(spark, "types")
+    rows = fx_in.changes(spark, sf_dir).select(
+        "seq", "id", F.date_format("updated_at", "yyyy-MM-dd").alias("day"), F.dayofmonth("updated_at").alias("n")
+    )
+    cents = F.col("seq").cast("decimal(18,2)") / F.lit(4).cast("decimal(1,0)")
+    mills = cents + F.when(F.col("seq") % 89 == 0, F.lit("0.000001").cast("decimal(18,6)")).otherwise(F.lit(0))
+    text = F.when(F.col("seq") % 97 == 0, "n/a").otherwise(cents.cast("decimal(14,2)").cast("string"))
+    eras = [
+        ("n <= 8", {"id": F.col("id").cast("string"), "amount": text}),
+        ("n BETWEEN 9 AND 16", {"id": F.col("id").cast("int"), "amount": cents.cast("double")}),
+        ("n BETWEEN 17 AND 24", {"amount": mills.cast("decimal(18,6)")}),
+        ("n > 24", {"amount": cents.cast("decimal(18,2)")}),
+    ]
+    for when, columns in eras:
+        sink.write_dates(sink.cluster_by_date(rows.where(when).withColumns(columns).drop("n"), "day"), root, "day")
+    target = T.StructType.fromDDL("seq long, id long, amount decimal(18,4)")
+    good, rejected = drift.read_drifted(spark, root, target, "day")
+    return good.withColumn("reject_reason", F.lit(None).cast("string")).unionAll(
+        rejected.withColumns({c: F.col(c).cast(target[c].dataType) for c in ("seq", "id")}).withColumn(
+            "amount", F.lit(None).cast("decimal(18,4)")
+        )
+    )
+
+
 @registered
 def change_feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change files with bad ids: which changes were read and which lines rejected."""

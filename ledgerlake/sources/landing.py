@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +14,11 @@ from ledgerlake.schemas import FX_RATES, FX_SNAPSHOT, RATE, TRANSACTIONS
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS) -> DataFrame:
-    """Typed rows of the CSV files at `path` (a folder or a glob), with the raw line of bad ones.
+def read_csv(
+    spark: SparkSession, path: str | tuple[str, ...], schema: T.StructType = TRANSACTIONS
+) -> DataFrame:
+    """Typed rows of the CSV files at `path` (a folder, a glob or several files), with the raw line of
+    bad ones.
 
     A line with unparsable cells or a wrong number of cells keeps its text in
     `_corrupt_record`; all other lines have null there. Column pruning is off in the parser, and
@@ -28,7 +31,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)
-        .csv(path)
+        .csv(list(path) if isinstance(path, tuple) else path)
     )
 
 
@@ -82,7 +85,7 @@ def read_change_feed(
 
 
 def split_change_feed(
-    spark: SparkSession, versions: Mapping[str, T.StructType], target: T.StructType
+    spark: SparkSession, versions: Mapping[str | tuple[str, ...], T.StructType], target: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
     """Change files of several schema versions: rows under one target schema, and lines with cells
     that do not parse, with the cells that do and their raw text (see `read_csv`).
@@ -98,3 +101,42 @@ def split_change_feed(
         feed = good if feed is None else feed.unionAll(good)
         rejects = bad if rejects is None else rejects.unionAll(bad)
     return feed, rejects
+
+
+def files_by_header(
+    spark: SparkSession, path: str, known: Sequence[T.StructType]
+) -> tuple[dict[tuple[str, ...], T.StructType], tuple[str, ...]]:
+    """(files of each known schema, files with another header or none).
+
+    One pass over the lines finds the headers, whichever order and number the files have; the driver
+    gets one name per file.
+    """
+    headers = {",".join(schema.names): schema for schema in known}
+    uri = F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")
+    lines = spark.read.text(path).select(F.url_decode(uri).alias("file"), F.trim("value").alias("header"))
+    first = lines.where(F.col("header").isin(list(headers))).distinct()
+    every = lines.select("file").distinct()
+    found: dict[str, list[str]] = {}
+    for row in every.join(first, "file", "left").collect():
+        found.setdefault(row["header"], []).append(row["file"])
+    unknown = tuple(sorted(found.pop(None, [])))
+    return {tuple(sorted(files)): headers[header] for header, files in found.items()}, unknown
+
+
+def split_change_files(
+    spark: SparkSession, path: str, known: Sequence[T.StructType], target: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """`split_change_feed` of files that tell their schema version by their header.
+
+    All lines of a file with another header are rejected with their raw text.
+    """
+    versions, unknown = files_by_header(spark, path, known)
+    with_line = T.StructType([*target.fields, T.StructField(CORRUPT, T.StringType())])
+    rejected = spark.createDataFrame([], with_line)
+    if unknown:
+        lines = spark.read.text(list(unknown)).withColumnRenamed("value", CORRUPT)
+        rejected = conform(lines, with_line)
+    if not versions:
+        return spark.createDataFrame([], target), rejected
+    feed, bad = split_change_feed(spark, versions, target)
+    return feed, bad.unionAll(rejected)
