@@ -105,7 +105,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "bronze":
         daily.run_bronze(spark, paths, args.run_date, files=args.files)
     elif args.job == "bronze-from-csv":
-        print(daily.run_bronze_from_csv(spark, args.csv, paths, args.run_date, files=args.files))
+        print(daily.run_bronze_from_csv(spark, args.csv, paths, args.run_date, files=args.files, mask=True))
     elif args.job == "currency-agg":
         daily.run_currency_aggregate(spark, paths, args.run_date, args.rate_mode)
     elif args.job == "silver-detail":

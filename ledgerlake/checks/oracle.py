@@ -325,6 +325,41 @@ ORACLE: dict[str, str] = {
           withdrawal_amt, ',', withdrawal_currency, ',', deposit_amt, ',', deposit_currency,
           ',n/a') AS _corrupt_record FROM txn WHERE l_orderkey % 43 = 0""",
     ),
+    "csv_rejects_masked": _with(
+        _TXN,
+        """SELECT sha256(trim(account_no)) AS account_no_hash, CAST(NULL AS DOUBLE) AS balance_amt,
+          concat(replace(account_no, trim(account_no), sha256(trim(account_no))), ',', value_date, ',', transaction_details, ',,', value_date, ',',
+          withdrawal_amt, ',', withdrawal_currency, ',', deposit_amt, ',', deposit_currency,
+          ',n/a') AS _corrupt_record FROM txn WHERE l_orderkey % 43 = 0""",
+    ),
+    "gold_odd_dates": _with(
+        _TXN, _FX, _EFFECTIVE,
+        f"""
+odd AS (SELECT *, CASE WHEN l_orderkey % 19 = 0 THEN '9999-12-31' WHEN l_orderkey % 17 = 0 THEN '0001-01-01'
+   WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN '+12024-01-01' ELSE value_date END AS day FROM clean),
+judged AS (SELECT day AS value_date, CASE WHEN day = '+12024-01-01' THEN 'unparsed_value_date'
+   ELSE coalesce({_REASON}, CASE WHEN day IS NULL THEN 'no_date'
+     WHEN day IN ('9999-12-31', '0001-01-01') THEN 'date_out_of_range'
+     WHEN r.rate IS NULL THEN 'unknown_currency' END, '') END AS reject_reason
+ FROM odd LEFT JOIN eff r ON r.run_date = day
+  AND r.currency = coalesce(nullif(withdrawal_currency, ''), nullif(deposit_currency, '')))""",
+        "SELECT value_date, reject_reason, count(*) AS txn_count FROM judged GROUP BY value_date, reject_reason",
+    ),
+    "fx_asof": _with(
+        _TXN, _FX, _VALID,
+        f"""
+known AS (SELECT run_date, currency, rate FROM fx_all WHERE rate IS NOT NULL AND run_date NOT LIKE '1997%')""",
+        f"""SELECT {_ROW}, v.currency, v.value_date, r.run_date AS rate_date, CAST(r.rate AS DOUBLE) AS rate_to_sgd
+        FROM valid v ASOF LEFT JOIN known r ON r.currency = v.currency AND v.value_date >= r.run_date""",
+    ),
+    "fact_load_decade": _with(
+        _CDC, _history("h"), _FACTS,
+        """
+moved AS (SELECT * REPLACE (CAST(claim_date + to_months(CAST(claim_id % 120 - 60 AS INTEGER)) AS DATE) AS claim_date) FROM claims)""",
+        """SELECT claim_id, c.id, CAST(claim_date AS VARCHAR) AS claim_date, CAST(amount AS DOUBLE) AS amount, sk
+        FROM moved c LEFT JOIN h_dim d ON d.id = c.id AND c.claim_date >= d.start_date
+          AND (d.end_date IS NULL OR c.claim_date < d.end_date)""",
+    ),
     "partition_overwrite": _with(
         _TXN, _yearly("txn", "raw"), _valid("raw", "before"), _yearly("clean", "fixed"),
         _valid("fixed", "after"),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ledgerlake.checks import fixtures as fx_in
 from ledgerlake.checks.fixtures import BATCH_DATE, ROW_ID, RUN_DATE, plain
 from ledgerlake.functions.money import DIVIDE
-from ledgerlake.operators import aggregate, changes, enrich, history, joins, project, validate
+from ledgerlake.operators import aggregate, asof, changes, enrich, history, joins, project, validate
 from ledgerlake.plans import buckets, daily, warehouse
 from ledgerlake.plans.layout import LakePaths, WarehousePaths
 from ledgerlake.schemas import CHANGES, CHANGES_V1, INGESTION_DATE, RATE, TRANSACTIONS
@@ -522,6 +522,55 @@ def gold_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def gold_odd_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with sentinel, empty, unpadded and impossible value dates through bronze and gold."""
+    paths = LakePaths.under(scratch_path(spark, "odd-dates"))
+    key, day = F.col("l_orderkey"), F.col("value_date")
+    odd = (
+        F.when(key % 19 == 0, "9999-12-31").when(key % 17 == 0, "0001-01-01").when(key % 13 == 0, " ")
+        .when(key % 11 == 0, "+12024-01-01").when(key % 7 == 0, F.date_format(day.cast("date"), " y-M-d"))
+    )
+    raw = fx_in.transactions(spark, sf_dir).withColumn("value_date", F.coalesce(odd, day))
+    sink.write_day(raw, paths.raw, RUN_DATE, files=LANDED_FILES)
+    sink.write_fx(fx_in.fx_rates(spark, sf_dir), paths.fx)
+    daily.run_bronze(spark, paths, RUN_DATE)
+    daily.run_gold(spark, paths, RUN_DATE)
+    valid, rejected = daily.read_gold(spark, paths, RUN_DATE)
+    columns = ["value_date", validate.REJECT_REASON]
+    outcomes = valid.withColumn(validate.REJECT_REASON, F.lit("")).unionByName(rejected).select(columns)
+    unread = lake.read_day(spark, paths.reject, RUN_DATE).select(columns)
+    return outcomes.unionAll(unread).groupBy(columns).agg(F.count(F.lit(1)).alias("txn_count"))
+
+
+@registered
+def fx_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with the newest rate of their currency so far; 1997 has no rates at all."""
+    rates = fx_in.fx_rates(spark, sf_dir).where(~F.col("run_date").startswith("1997"))
+    found = asof.asof_rates(_valid(spark, sf_dir), rates)
+    return found.select(*ROW_ID, "currency", "value_date", "rate_date", "rate_to_sgd")
+
+
+@registered
+def fact_load_decade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims of ten years with the versions of their days, which last for years themselves."""
+    claims = fx_in.claims(spark, sf_dir).withColumn(
+        "claim_date", F.add_months("claim_date", (F.col("claim_id") % 120 - 60).cast("int"))
+    )
+    dimension = history.build_history(fx_in.changes(spark, sf_dir), ["segment"])
+    return asof.versions_by_sweep(claims, dimension, "claim_date")
+
+
+@registered
+def csv_rejects_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "masked")
+    paths, landed = LakePaths.under(root), f"{root}/landed/date={RUN_DATE}"
+    _land_csv(spark, sf_dir, landed)
+    daily.run_bronze_from_csv(spark, f"{landed}/*.csv", paths, RUN_DATE, files=8, mask=True)
+    rejects = lake.read_day(spark, paths.reject, RUN_DATE)
+    return rejects.select("account_no_hash", "balance_amt", landing.CORRUPT)
+
+
 @registered
 def gold_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch with all transactions through the gold job; counts per outcome and currency."""

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.dates import day_reason, known_day, normal_day
 from ledgerlake.functions.money import DIVIDE, MULTIPLY
 from ledgerlake.operators.aggregate import currency_totals, price_totals, quality_counters
 from ledgerlake.operators.enrich import (
@@ -36,8 +35,16 @@ from ledgerlake.operators.validate import (
 )
 from ledgerlake.plans.layout import LakePaths
 from ledgerlake.schemas import BRONZE, GOLD, INGESTION_DATE, TRANSACTIONS
+from ledgerlake.session import scratch_path
 from ledgerlake.sinks.lake import partitions_for, replace_dates, stored_bytes, write_day, write_fx
-from ledgerlake.sources.lake import read_day, read_days, read_fx_data, read_fx_days, read_transactions
+from ledgerlake.sources.lake import (
+    read_day,
+    read_days,
+    read_fx_data,
+    read_fx_days,
+    read_fx_of_days,
+    read_transactions,
+)
 from ledgerlake.sources.landing import CORRUPT, read_csv, split_corrupt, split_fx_snapshot
 
 
@@ -84,17 +91,31 @@ def gold_rows(
 ) -> DataFrame:
     """Every transaction, masked and converted, or with the reason why it is rejected.
 
-    Rates are those of the value date, or up to `max_lag_days` older where that day has none.
+    Rates are those of the value date, or up to `max_lag_days` older where that day has none. A
+    row without a date, with text that is none, or with a day that cannot be, is rejected as such.
     """
     checked = with_reject_reason(trim_strings(txn, blank_as_null=True)).transform(mask_pii)
+    reason = F.coalesce(REJECT_REASON, day_reason("value_date"))
+    checked = checked.withColumn(REJECT_REASON, reason).withColumn("value_date", normal_day("value_date"))
     sided = checked.transform(add_currency_column).transform(add_amount_column)
     enriched = enrich_by_date(sided, effective_rates(fx, max_lag_days), "left")
     return reject_unknown_currency(enriched).transform(_in_sgd, rate_mode)
 
 
 def bronze_rows(raw: DataFrame, run_date: str) -> DataFrame:
-    """Raw rows trimmed and stamped."""
-    return stamp_ingestion_date(trim_strings(raw), run_date)
+    """Raw rows trimmed and stamped, their value dates in one spelling."""
+    trimmed = trim_strings(raw)
+    if "value_date" in raw.columns:
+        trimmed = trimmed.withColumn("value_date", normal_day("value_date"))
+    return stamp_ingestion_date(trimmed, run_date)
+
+
+def _unparsed(rows: DataFrame) -> Column:
+    """The first column that bronze cannot take, as a reason; text that is no date counts as well."""
+    reason = unparsed_column(rows, BRONZE)
+    if "value_date" not in rows.columns:
+        return reason
+    return F.coalesce(reason, F.when(day_reason("value_date") == "bad_date", F.lit("unparsed_value_date")))
 
 
 def run_fx_ingest(spark: SparkSession, reply_path: str, paths: LakePaths, run_date: str) -> None:
@@ -129,7 +150,7 @@ def run_bronze(
         stored = stored_bytes(spark, f"{paths.raw}/{INGESTION_DATE}={run_date}")
         files = partitions_for(stored, file_bytes)
     text = bronze_rows(raw, run_date)
-    unparsed = unparsed_column(text, BRONZE)
+    unparsed = _unparsed(text)
     counters = Observation("bronze")
     counted = text.withColumn(REJECT_REASON, unparsed).observe(
         counters, F.count(F.col(REJECT_REASON)).alias("rejected")
@@ -144,12 +165,18 @@ def run_bronze(
 
 
 def run_bronze_from_csv(
-    spark: SparkSession, csv_path: str, paths: LakePaths, run_date: str, files: int | None = None
+    spark: SparkSession,
+    csv_path: str,
+    paths: LakePaths,
+    run_date: str,
+    files: int | None = None,
+    mask: bool = False,
 ) -> dict[str, int]:
     """Landed CSV of one day to bronze; malformed lines go to the reject layer.
 
     Bad lines are counted while the good ones are written, so the text is parsed a second
-    time only on days that have bad lines. Returns the counters.
+    time only on days that have bad lines. With `mask` the reject layer has hashes in place of
+    account numbers, in the raw lines too. Returns the counters.
     """
     counters = Observation("csv")
     bad = F.col(CORRUPT).isNotNull()
@@ -162,10 +189,22 @@ def run_bronze_from_csv(
     corrupt = split_corrupt(landed)[1]
     if counters.get["corrupt"] == 0:
         corrupt = spark.createDataFrame([], corrupt.schema)
-    write_day(corrupt, paths.reject, run_date)
+    write_day(mask_lines(corrupt) if mask else corrupt, paths.reject, run_date)
     return counters.get
 
 
+def mask_lines(corrupt: DataFrame) -> DataFrame:
+    """Malformed lines with a hash for the account: as a column, and in the raw line wherever the
+    account or the line's first cell stands."""
+    first = F.regexp_extract(CORRUPT, r'^\s*("[^"]*"|[^,]*)', 1)
+    cell = F.nullif(F.trim(F.replace(first, F.lit('"'), F.lit(""))), F.lit(""))
+    account = F.coalesce(F.nullif(F.trim("account_no"), F.lit("")), cell)
+    line = F.col(CORRUPT)
+    for own in (account, F.when(~cell.eqNullSafe(account), cell)):
+        line = F.coalesce(F.replace(line, own, F.sha2(own, 256)), line)
+    return mask_pii(corrupt.withColumns({"account_no": account, CORRUPT: line}))
+
+
 def _rates_of_day(spark: SparkSession, paths: LakePaths, run_date: str) -> DataFrame:
     """The rates of one day, which may not hold a currency twice."""
     fx = read_fx_data(spark, paths.fx, run_date)
@@ -173,11 +212,14 @@ def _rates_of_day(spark: SparkSession, paths: LakePaths, run_date: str) -> DataF
     return fx
 
 
-def _value_dates(txn: DataFrame) -> tuple[str, str] | None:
-    """The first and the last value date of a batch, which may hold those of earlier days."""
-    day = F.trim("value_date").try_cast("date")
-    ends = txn.agg(F.min(day).cast("string").alias("first"), F.max(day).cast("string").alias("last")).first()
-    return None if ends["first"] is None else (ends["first"], ends["last"])
+def _rate_days(txn: DataFrame, max_lag_days: int) -> DataFrame:
+    """(day): the value dates of a batch and the days before them whose rates may serve, as a table."""
+    spark = txn.sparkSession
+    asked = txn.select(known_day("value_date").alias("day")).where("day IS NOT NULL").distinct()
+    path = scratch_path(spark, "rate-days")
+    lag = F.explode(F.sequence(F.lit(0), F.lit(max_lag_days)))
+    asked.select("day", lag.alias("lag")).select(F.date_sub("day", F.col("lag")).alias("day")).distinct().write.parquet(path)
+    return spark.read.schema("day date").parquet(path)
 
 
 def run_currency_aggregate(
@@ -213,15 +255,13 @@ def run_gold(
 ) -> dict[str, int]:
     """One day to gold and rejects; returns the quality counters.
 
-    Rates are looked up by value date, so those from the batch's first value date, less the lag, to
-    its last one are read. Both outputs come from one pass and one write, below the day's folder as
+    Rates are looked up by value date: those of the batch's own dates, and of the days before them
+    within the lag, are read, and no others. Both outputs come from one pass and one write, below the day's folder as
     `outcome=valid` and `outcome=reject`, so a rerun replaces both together. The counters are
     observed during that write. The rejected rows are then copied to the reject layer.
     """
     txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE.names)
-    first, last = _value_dates(txn) or (run_date, run_date)
-    since = _shift_days(first, -max_lag_days)
-    fx = require_unique_rates(read_fx_days(spark, paths.fx, since, _shift_days(last, 1)))
+    fx = require_unique_rates(read_fx_of_days(spark, paths.fx, _rate_days(txn, max_lag_days)))
     counters = Observation("gold")
     rows = gold_rows(txn, fx, max_lag_days, rate_mode).observe(counters, *quality_counters())
     outcome = F.when(F.col(REJECT_REASON).isNull(), F.lit("valid")).otherwise(F.lit("reject"))
@@ -258,6 +298,3 @@ def run_detail_backfill(
     rows = rows.transform(_in_sgd, rate_mode)
     replace_dates(rows, paths.detail, since, until)
 
-
-def _shift_days(day: str, days: int) -> str:
-    return (date.fromisoformat(day) + timedelta(days=days)).isoformat()

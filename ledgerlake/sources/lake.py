@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.functions.dates import EARLIEST, LATEST
 from ledgerlake.schemas import FX_RATES, INGESTION_DATE
 
 # Folder names in one glob; longer periods are listed by month, then by year.
@@ -131,6 +132,27 @@ def read_fx_days(spark: SparkSession, root: str, since: str, until: str) -> Data
     )
 
 
+def read_fx_of_days(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
+    """The rates of the days in `days` (day: date), with their `run_date`.
+
+    `days` has one row per day that some batch asks for, within `EARLIEST` and `LATEST`, and is
+    broadcast: there are no more of them than days in that time. The layer's scan gets them as a
+    pruning expression at run time, so folders of other days are not read, however far the first and
+    the last day are apart.
+    """
+    layout = T.StructType(
+        [f for f in FX_RATES.fields if f.name != "run_date"]
+        + [T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")]
+    )
+    rates = find(spark, f"{root}/year=*", lambda: spark.read.schema(layout).parquet(root))
+    if rates is None:
+        rates = spark.createDataFrame([], layout)
+    within = days.where(F.col("day").between(F.lit(EARLIEST).cast("date"), F.lit(LATEST).cast("date")))
+    asked = within.select(F.year("day").alias("year"), F.month("day").alias("month"), F.dayofmonth("day").alias("day"))
+    found = rates.join(F.broadcast(asked.distinct()), ["year", "month", "day"], "left_semi")
+    return found.withColumn("run_date", F.make_date("year", "month", "day").cast("string")).drop("year", "month", "day")
+
+
 def read_versions(spark: SparkSession, root: str, target: T.StructType) -> DataFrame:
     """All partitions under the target schema; columns a file lacks are null."""
     return spark.read.schema(target).parquet(root)
