@@ -33,6 +33,9 @@ def arguments() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         job.add_argument("--since", required=True, help="first day")
         job.add_argument("--until", required=True, help="day after the last")
+        if name == "backfill":
+            job.add_argument("--name", help="continue, or start, the sliced backfill of this name")
+            job.add_argument("--slice-days", type=int, default=31)
     for name in ("change-feed", "initial-load", "batch", "fact-load", "bucketed-batch", "cleanup"):
         job = jobs.add_parser(name)
         job.add_argument("--warehouse", required=True, help="root of all warehouse tables")
@@ -112,6 +115,9 @@ def main(argv: list[str] | None = None) -> None:
         daily.run_silver_detail(spark, paths, args.run_date, args.files, args.rate_mode)
     elif args.job == "gold":
         print(daily.run_gold(spark, paths, args.run_date, args.max_lag_days, args.rate_mode))
+    elif args.job == "backfill" and args.name:
+        period = (args.since, args.until, args.name, args.slice_days, args.rate_mode)
+        print(*daily.run_sliced_backfill(spark, paths, *period), sep="\n")
     elif args.job == "backfill":
         daily.run_backfill(spark, paths, args.since, args.until, args.rate_mode)
     else:

@@ -189,6 +189,12 @@ _BACKFILL = """SELECT v.ingestion_date, v.currency, count(*) AS txn_count,
   JOIN fx_all r ON r.run_date = v.ingestion_date AND r.currency = v.currency
   WHERE rate IS NOT NULL GROUP BY v.ingestion_date, v.currency"""
 
+_SALTED_JOIN = _with(
+    _TXN, _FX, _VALID, _DAY_FX,
+    f"""SELECT {_ROW}, v.currency, CAST(amount AS DOUBLE) AS amount, CAST(rate AS DOUBLE) AS rate_to_sgd
+    FROM valid v LEFT JOIN fx ON fx.currency = v.currency""",
+)
+
 ORACLE: dict[str, str] = {
     "q1_currency_agg": _q1("clean"),
     "q1_untrimmed": _q1("txn"),
@@ -286,6 +292,24 @@ ORACLE: dict[str, str] = {
         _TXN, _FX, "\ndated AS (SELECT *, value_date AS ingestion_date FROM clean)",
         _valid("dated"), _BACKFILL,
     ),
+    "backfill_resumed": _with(_TXN, _FX, _yearly("clean", "dated"), _valid("dated"), _BACKFILL),
+    "curated_stats": _with(
+        _CDC,
+        """SELECT 'date=' || CAST(CAST(updated_at AS DATE) AS VARCHAR) AS "partition", count(*) AS "rows"
+        FROM cdc GROUP BY CAST(updated_at AS DATE)""",
+    ),
+    "reconcile_rows": _with(
+        _FACTS,
+        """SELECT claim_id + CASE WHEN kind = 'extra' THEN 1000000 ELSE 0 END AS claim_id,
+          CASE WHEN kind = 'extra' THEN 0 ELSE 1 END AS source_rows,
+          CASE kind WHEN 'missing' THEN CASE WHEN claim_id % 193 = 0 THEN 1 ELSE 0 END
+            WHEN 'twice' THEN 2 ELSE 1 END AS target_rows,
+          CASE WHEN kind IN ('changed', 'twice') OR kind = 'missing' AND claim_id % 193 = 0 THEN 'changed' ELSE kind END AS status
+        FROM (SELECT claim_id, CASE WHEN claim_id % 211 = 0 THEN 'missing' WHEN claim_id % 193 = 0 THEN 'twice'
+            WHEN claim_id % 197 = 0 THEN 'changed' END AS kind FROM claims
+          UNION ALL SELECT claim_id, 'extra' FROM claims WHERE claim_id % 199 = 0) t
+        WHERE kind IS NOT NULL AND NOT (kind = 'missing' AND claim_id % 193 = 0)""",
+    ),
     "backfill_from_lake": _with(_TXN, _FX, _yearly("clean", "dated"), _valid("dated"), _BACKFILL),
     "backfill_detail_from_lake": _with(
         _TXN, _FX, _yearly("clean", "dated"), _valid("dated"),
@@ -309,11 +333,8 @@ ORACLE: dict[str, str] = {
         """SELECT currency, count(*) AS txn_count, CAST(sum(amount) AS DOUBLE) AS total
         FROM valid GROUP BY currency""",
     ),
-    "salted_join": _with(
-        _TXN, _FX, _VALID, _DAY_FX,
-        f"""SELECT {_ROW}, v.currency, CAST(amount AS DOUBLE) AS amount, CAST(rate AS DOUBLE) AS rate_to_sgd
-        FROM valid v LEFT JOIN fx ON fx.currency = v.currency""",
-    ),
+    "salted_join": _SALTED_JOIN,
+    "salted_join_counted": _SALTED_JOIN,
     "bronze_trim": _with(_TXN, f"SELECT {_BRONZE}, '{RUN_DATE}' AS ingestion_date FROM txn"),
     "csv_bronze": _with(
         _TXN,

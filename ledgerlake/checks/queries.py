@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -235,6 +236,18 @@ def backfill_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_days(spark, paths.currency_agg, "1995-01-01", "2002-01-01")
 
 
+@registered
+def backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill in slices that stopped after two years and was continued."""
+    paths = LakePaths.under(scratch_path(spark, "resumed"))
+    txn = fx_in.yearly_batches(fx_in.trimmed_transactions(spark, sf_dir))
+    sink.write_dates(sink.cluster_by_date(txn), paths.bronze)
+    sink.write_fx(fx_in.fx_rates(spark, sf_dir), paths.fx)
+    for until in ("1997-01-01", "2002-01-01"):
+        daily.run_sliced_backfill(spark, paths, "1995-01-01", until, "all", 731)
+    return lake.read_days(spark, paths.currency_agg, "1995-01-01", "2002-01-01")
+
+
 @registered
 def backfill_detail_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = LakePaths.under(scratch_path(spark, "backfill-detail"))
@@ -296,6 +309,13 @@ def salted_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = enrich.day_rates(fx_in.fx_rates(spark, sf_dir), RUN_DATE)
+    rows = joins.sketched_join(_valid(spark, sf_dir), rates, ["currency"], "left")
+    return rows.select(*ROW_ID, "currency", "amount", "rate_to_sgd")
+
+
+@registered
+def salted_join_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = enrich.day_rates(fx_in.fx_rates(spark, sf_dir), RUN_DATE)
     rows = joins.split_join(_valid(spark, sf_dir), rates, ["currency"], "left")
     return rows.select(*ROW_ID, "currency", "amount", "rate_to_sgd")
@@ -502,6 +522,19 @@ def curated_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def curated_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per partition of a catalog table, as its statistics have them."""
+    root, name = scratch_path(spark, "stats"), f"curated_{uuid.uuid4().hex[:12]}"
+    dated = project.add_event_partitions(fx_in.changes(spark, sf_dir), "updated_at")
+    sink.write_dates(sink.cluster_by_date(dated, "date"), root, "date")
+    lake.create_external_table(spark, name, root)
+    lake.analyze_table(spark, name)
+    found = lake.partition_statistics(spark, name).select("partition", "rows")
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 # --- gold ---------------------------------------------------------------------------------
 
 
@@ -739,6 +772,19 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def reconcile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims against a copy that lacks some, has others, and differs in the amount of a few."""
+    claims = fx_in.claims(spark, sf_dir)
+    number = F.col("claim_id")
+    copy = claims.where(number % 211 != 0).withColumn(
+        "amount", F.when(number % 197 == 0, F.col("amount") + 1).otherwise(F.col("amount")).cast(claims.schema["amount"].dataType)
+    )
+    extra = claims.where(number % 199 == 0).withColumn("claim_id", number + 1_000_000)
+    twice = claims.where(number % 193 == 0)
+    return aggregate.reconcile_rows(claims, copy.unionAll(extra).unionAll(twice), ["claim_id"], ["id", "claim_date", "amount"])
+
+
 def _deliver(spark: SparkSession, sf_dir: str, root: str) -> WarehousePaths:
     """Two deliveries of changes: everything before the last day, then the last day."""
     paths = WarehousePaths.under(root)

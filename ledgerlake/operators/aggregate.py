@@ -106,3 +106,40 @@ def reconcile(
     for m in measures:
         agrees = agrees & (F.col(f"source_{m}") == F.col(f"target_{m}"))
     return both.groupBy(*keys).agg(*counts, *sums).withColumn("ok", agrees)
+
+
+def reconcile_rows(
+    source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], buckets: int = 4096
+) -> DataFrame:
+    """(keys, source_rows, target_rows, status) of the keys whose rows are not the same on both sides;
+    status is missing (in the target), extra or changed.
+
+    Both sides are first compared by an order-independent digest per bucket of keys, which needs no
+    more than a row per bucket and task in the shuffle. Only rows of buckets that differ are then
+    compared key by key. Nulls are values, in keys and in columns; rows may repeat.
+    """
+    cells = [*keys, *columns]
+    types = {c: source.schema[c].dataType for c in cells}
+    differing = [c for c in cells if target.schema[c].dataType != types[c]]
+    if differing:
+        raise TypeError(f"columns of different types: {differing}")
+    digest = F.xxhash64(*(F.col(c).isNull() for c in cells), *cells).cast("decimal(20,0)")
+    place = F.pmod(F.xxhash64(*(F.col(k).isNull() for k in keys), *keys), F.lit(buckets)).cast("int")
+    sides = [
+        side.select(*cells).select(*keys, place.alias("bucket"), digest.alias("digest"), F.lit(sign).alias("side"))
+        for sign, side in ((1, source), (-1, target))
+    ]
+    # Equal rows of both sides cancel out.
+    signed = F.sum(F.col("digest") * F.col("side"))
+    both = sides[0].unionAll(sides[1])
+    suspects = both.groupBy("bucket").agg(signed.alias("rest"), F.sum("side").alias("more"))
+    suspects = suspects.where("rest <> 0 OR more <> 0").select("bucket")
+    rows = both.join(F.broadcast(suspects), "bucket", "left_semi")  # a number per bucket at most
+    found = rows.groupBy(*keys).agg(
+        signed.alias("rest"), F.count_if(F.col("side") > 0).alias("source_rows"), F.count_if(F.col("side") < 0).alias("target_rows")
+    )
+    status = (
+        F.when(F.col("target_rows") == 0, "missing").when(F.col("source_rows") == 0, "extra").otherwise("changed")
+    )
+    wrong = found.where((F.col("rest") != 0) | (F.col("source_rows") != F.col("target_rows")))
+    return wrong.select(*keys, "source_rows", "target_rows", status.alias("status"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,15 @@ from ledgerlake.operators.validate import (
 from ledgerlake.plans.layout import LakePaths
 from ledgerlake.schemas import BRONZE, GOLD, INGESTION_DATE, TRANSACTIONS
 from ledgerlake.session import scratch_path
-from ledgerlake.sinks.lake import partitions_for, replace_dates, stored_bytes, write_day, write_fx
+from ledgerlake.sinks.lake import (
+    partitions_for,
+    replace_dates,
+    replace_period,
+    stored_bytes,
+    write_day,
+    write_fx,
+)
+from ledgerlake.sources.buckets import filesystem, listed
 from ledgerlake.sources.lake import (
     read_day,
     read_days,
@@ -298,3 +308,40 @@ def run_detail_backfill(
     rows = rows.transform(_in_sgd, rate_mode)
     replace_dates(rows, paths.detail, since, until)
 
+
+
+def period_slices(since: str, until: str, days: int) -> list[tuple[str, str]]:
+    """[since, until) in slices of so many days."""
+    first, end = date.fromisoformat(since), date.fromisoformat(until)
+    cuts = [first + timedelta(days=n) for n in range(0, (end - first).days, days)]
+    return [(a.isoformat(), min(a + timedelta(days=days), end).isoformat()) for a in cuts]
+
+
+def run_sliced_backfill(
+    spark: SparkSession,
+    paths: LakePaths,
+    since: str,
+    until: str,
+    name: str,
+    slice_days: int = 31,
+    rate_mode: str = MULTIPLY,
+) -> list[tuple[str, str]]:
+    """`run_backfill` in slices, one job after the other, that continues where it stopped.
+
+    Each finished slice is an empty file in the ledger of the backfill `name`; a run with the same
+    name, period and slices leaves those out. A slice that stopped half way is done again: its dates
+    are replaced as a whole. Use a new name to do everything again. Returns the slices of this run.
+    """
+    ledger, done = f"{paths.currency_agg}_ledger/{name}", []
+    finished = set(listed(spark, f"{ledger}/*"))
+    for first, end in period_slices(since, until, slice_days):
+        entry = f"{first}_{end}_{rate_mode}"
+        if entry in finished:
+            continue
+        txn = read_days(spark, paths.bronze, first, end, schema=BRONZE)
+        rates = effective_rates(require_unique_rates(read_fx_days(spark, paths.fx, first, end)))
+        replace_period(currency_aggregate_by_date(txn, rates, rate_mode), paths.currency_agg, first, end)
+        files, path = filesystem(spark, f"{ledger}/{entry}")
+        files.create(path).close()
+        done.append((first, end))
+    return done

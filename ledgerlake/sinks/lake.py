@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.keys import row_hash
 from ledgerlake.operators.joins import lookup_join
 from ledgerlake.schemas import INGESTION_DATE
-from ledgerlake.sources.lake import find, read_day, read_days
+from ledgerlake.sources.buckets import filesystem, listed_within
+from ledgerlake.sources.lake import find, period_folders, read_day, read_days
 
 FILE_BYTES = 128 * 1024 * 1024
 # Files that one job of a compaction writes.
@@ -82,6 +83,36 @@ def replace_dates(
         write_day(df.limit(0), root, row["day"], partition)
 
 
+def replace_period(
+    df: DataFrame, root: str, since: str, until: str, partition: str = INGESTION_DATE
+) -> list[str]:
+    """`replace_dates` that lists the folders of the period only and runs one job.
+
+    The write gives a date with rows new files; dates of the period that still have the same files
+    lost all their rows, and their folders are deleted. Returns these days.
+    """
+    spark = df.sparkSession
+    layout = tuple(f"{partition}={part}" for part in ("%Y-%m-%d", "%Y-%m-*", "%Y-*"))
+    pattern = f"{period_folders(root, since, until, layout)}/*.parquet"
+
+    def stored() -> dict[str, set[str]]:
+        found: dict[str, set[str]] = {}
+        for folder, name in listed_within(spark, pattern):
+            day = folder.removeprefix(f"{partition}=")
+            if since <= day < until:
+                found.setdefault(day, set()).add(name)
+        return found
+
+    before = stored()
+    write_output(df, root, partition)
+    after = stored()
+    stale = sorted(day for day, names in before.items() if after.get(day) == names)
+    for day in stale:
+        files, path = filesystem(spark, f"{root}/{partition}={day}")
+        files.delete(path, True)
+    return stale
+
+
 def cluster_by_date(df: DataFrame, *partitions: str) -> DataFrame:
     """Bring the rows of a date together before `write_dates`.
 

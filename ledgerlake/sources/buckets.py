@@ -44,6 +44,13 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.globStatus(path) or [])
 
 
+def listed_within(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
+    """(folder, name) of the paths that fit a glob."""
+    files, path = filesystem(spark, pattern)
+    found = [status.getPath() for status in files.globStatus(path) or []]
+    return sorted((own.getParent().getName(), own.getName()) for own in found)
+
+
 def published_files(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     """(version, file) of all published versions, the last publication of a version last."""
     names = listed(spark, f"{root}/*.json")

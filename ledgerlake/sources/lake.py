@@ -179,3 +179,35 @@ def create_external_table(
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
+
+
+def analyze_table(spark: SparkSession, name: str) -> None:
+    """Statistics of a catalog table: rows of each partition, rows and longest cells of the whole.
+
+    Lookup joins then decide about a broadcast without a job, see `operators.joins.stated_bytes`.
+    """
+    partitions = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+    if partitions:
+        named = ", ".join(f"`{p}`" for p in partitions)
+        spark.sql(f"ANALYZE TABLE {name} PARTITION ({named}) COMPUTE STATISTICS")
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
+def partition_statistics(spark: SparkSession, name: str) -> DataFrame:
+    """(partition, rows, bytes) of the analyzed partitions of a table, from the catalog alone."""
+    catalog = spark._jsparkSession.sessionState().catalog()
+    identifier = spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(name)
+    found = catalog.listPartitions(identifier, spark._jvm.scala.Option.empty())
+    rows = []
+    for n in range(found.size()):
+        part = found.apply(n)
+        if part.stats().isDefined() and part.stats().get().rowCount().isDefined():
+            stats, spec = part.stats().get(), part.spec()
+            label = "/".join(f"{k}={spec.apply(k)}" for k in sorted(_keys(spec)))
+            rows.append((label, int(str(stats.rowCount().get())), int(str(stats.sizeInBytes()))))
+    return spark.createDataFrame(rows, "partition string, rows long, bytes long")
+
+
+def _keys(scala_map) -> list[str]:
+    keys = scala_map.keys().toSeq()
+    return [keys.apply(n) for n in range(keys.size())]
