@@ -82,7 +82,8 @@ def mix(
     A source of target / size epochs takes each document the whole part of that many times; the
     fraction picks documents evenly along the order of their size, starting at a seeded place, so
     that what is taken differs from the target by about one document. Equal sizes come in the
-    order of a seeded hash of the id. Reruns agree.
+    order of a seeded hash of the id, and rows of one id, or without any, in that of their texts.
+    Reruns agree; rows that are equal in both may stand for each other.
 
     A null text and a text without words have size 0 and are taken 0 words. Null sources are one
     source, the last. Rows without an id and repeated rows take part as rows of their own. An
@@ -93,6 +94,7 @@ def mix(
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col)).alias("size"),
         uniform_bits(F.col(id_col)).alias("draw"),
+        F.xxhash64(F.lit(SEED), F.col(text_col).cast("string")).alias("tie"),
     ).withColumn("class", F.floor(F.sqrt("size")))
     classes = written(
         rows.groupBy("source", "class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "classes"
@@ -118,7 +120,7 @@ def mix(
     named = rows.withColumn("stratum", source_key(F.col("source"))).drop("source")
     joined = lookup_join(named, written(strata, "strata"), ["stratum", "class"])
     cut = F.pmod("draw", "cuts")
-    along = Window.partitionBy("stratum", "class", "cut").orderBy("size", "draw")
+    along = Window.partitionBy("stratum", "class", "cut").orderBy("size", "draw", "tie")
     place = F.col("start") + F.col("part") * (F.col("base") + F.col("cut") * F.col("n") / F.col("cuts"))
     at = F.row_number().over(along)
     extra = F.floor(place + F.col("part") * at) - F.floor(place + F.col("part") * (at - 1))

@@ -107,14 +107,19 @@ def links(rows: DataFrame) -> DataFrame:
     wanted = quoted.select("hash", "unit").distinct()
     known = _units(rows, False).join(wanted, ["hash", "unit"], "left_semi")
     first = written(known.groupBy("hash", "unit", "conv").agg(F.min("seq").alias("here")), "originals")
-    anywhere = first.groupBy("hash", "unit").agg(F.min(F.struct("here", "conv")).alias("one"))
+    # The first messages of two conversations, so that one of them is not the quoting one.
+    earliest = F.row_number().over(Window.partitionBy("hash", "unit").orderBy("here"))
+    two = first.withColumn("place", earliest).where(F.col("place") <= 2)
+    at = lambda place: F.max(F.when(F.col("place") == place, F.struct("here", "conv")))
+    anywhere = two.groupBy("hash", "unit").agg(at(1).alias("one"), at(2).alias("two"))
     found = quoted.join(first, ["hash", "unit", "conv"], "left").join(anywhere, ["hash", "unit"], "left")
     local = F.coalesce(F.col("here") < F.col("seq"), F.lit(False))
-    foreign = F.coalesce(F.col("one.conv") != F.col("conv"), F.lit(False))
+    other = F.when(F.col("one.conv") != F.col("conv"), F.col("one.here")).otherwise(F.col("two.here"))
+    foreign = other.isNotNull()
     size = F.length("unit")
     best = F.struct(
         local.cast("int").alias("local"), "whole", size.alias("size"), (-F.col("seq")).alias("back"),
-        F.when(local, F.col("here")).otherwise(F.col("one.here")).alias("origin"),
+        F.when(local, F.col("here")).otherwise(other).alias("origin"),
     )
     chosen = found.where(local | foreign).groupBy("seq", "passage", "level").agg(F.max(best).alias("best"))
     return chosen.select("seq", "passage", "level", "best.origin", (F.col("best.local") == 1).alias("local"))

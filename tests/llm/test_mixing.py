@@ -61,3 +61,19 @@ def test_nulls_and_clashing_columns(spark):
     assert sorted(r["size"] for r in found) == [0, 0, 2, 3, 3, 100_000]
     assert {r.row["size"] for r in found} == {1, None}
     assert mixing.mix(spark.createDataFrame([], schema), keep=["doc_id"]).count() == 0
+
+
+def test_ties_of_ids_agree_in_any_order(spark):
+    rows = [(None, f"one two {i}", "a" if i % 3 else "b") for i in range(200)] + [(7, f"three {i}", "a") for i in range(50)]
+    schema = "doc_id long, text string, source string"
+    found = []
+    for order in (rows, rows[::-1]):
+        mixed = mixing.mix(spark.createDataFrame(order, schema).repartition(3), keep=["doc_id", "text"]).collect()
+        found.append(sorted((r.row.text, r.taken) for r in mixed))
+    assert found[0] == found[1]
+
+
+def test_no_python_workers(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = mixing.mix(docs, keep=["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))

@@ -43,10 +43,10 @@ def slow(rows):
             options = []
             for whole, u in units(lines) if level else ():
                 here = next((j for j in range(len(rows)) if rows[j][0] == row[0] and u in own[j]), None)
-                one = next((j for j in range(len(rows)) if u in own[j]), None)
+                one = next((j for j in range(len(rows)) if rows[j][0] != row[0] and u in own[j]), None)
                 if here is not None and here < i:
                     options.append((1, whole, len(u), here))
-                elif one is not None and rows[one][0] != row[0]:
+                elif one is not None:
                     options.append((0, whole, len(u), one))
             if options:
                 n += 1
@@ -131,3 +131,10 @@ def test_conversations_without_quotes_stay(spark):
     assert [(c, t, r, x) for c, _, t, r, x in found] == [(c, t, r, x.strip(" ")) for c, t, r, x in rows]
     plan = quotes.reply_ordered(df)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_the_original_in_another_conversation(spark):
+    line = "a line that several conversations have"
+    rows = [(1, 0, "a", f"> {line}\nwell"), (1, 1, "b", line), (2, 0, "c", line), (3, 0, "d", line)]
+    found = run(spark, rows)
+    assert found == slow(rows) and sum(r[-1] for r in found) == 1
