@@ -5,8 +5,8 @@ places of each other, each weighted by `DECAY` to the power of its span. The sta
 as a letter. Signs inside a word are gaps, and so are letters put in between, so that spread and
 padded insults stay close to the plain ones. A sentence is as toxic as its worst word. Nyström
 landmarks make the kernel a linear map, and as the kernel has explicit subsequences, the trained
-machine is one weight for each of them. The decisions on a text's worst words and its length make
-its score, by a logistic fit to labelled texts.
+machine is one weight for each of them. The decisions on a text's worst words, the sum of those on
+all its words, and its length make its score, by a logistic fit to labelled texts.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ SENTENCE_WORDS = 40
 CLEAN_WORDS = 40_000
 # Least logarithm of the likelihood ratio by which a beginning tells.
 LEAST_RATIO = 14.0
-# Worst words of a text that count, and the decision below which all words are alike.
+# Worst words of a text that count one by one, and the decision below which all words are alike.
 WORST = 3
 FLOOR = -0.5
 # From this score on a text is predicted toxic.
@@ -133,14 +133,15 @@ class Machine(NamedTuple):
         return np.concatenate(parts) if parts else np.empty(0)
 
     def evidence(self, texts: pa.Array) -> np.ndarray:
-        """For each text its `WORST` worst decisions, none below `FLOOR` or above one, the logarithm
-        of its words, and a one."""
+        """For each text its `WORST` worst decisions, none below `FLOOR` or above one, the logarithm of
+        the sum of all decisions above zero, that of its words, and a one."""
         names, at, starts = units(texts)
         value = self.decide(Words.of(names))[at]
-        result = np.full((len(texts), WORST + 2), FLOOR)
+        result = np.full((len(texts), WORST + 3), FLOOR)
         result[:, -2], result[:, -1] = np.log1p(np.diff(starts)), 1
         place = np.flatnonzero(value > FLOOR)
         doc, value = np.searchsorted(starts, place, "right") - 1, np.minimum(value[place], 1.0)
+        result[:, -3] = np.log1p(np.bincount(doc, np.maximum(value, 0.0), len(texts)))
         order = np.lexsort((-value, doc))
         doc, value = doc[order], value[order]
         rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
@@ -154,7 +155,7 @@ class Machine(NamedTuple):
 
 def never() -> Machine:
     """A machine that finds nothing."""
-    return Machine(np.zeros(SYMBOLS**3, np.float32), FLOOR, np.append(np.zeros(WORST + 1), -10.0))
+    return Machine(np.zeros(SYMBOLS**3, np.float32), FLOOR, np.append(np.zeros(WORST + 2), -10.0))
 
 
 def units(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -321,7 +322,7 @@ def train(sample: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Machine:
     v = squared_hinge(x, y)
     weights = np.zeros(SYMBOLS**3, np.float32)
     weights[known] = basis.T @ (root @ v[:-1])
-    return Machine(weights, float(v[-1]), np.append(np.ones(1), np.zeros(WORST + 1)))
+    return Machine(weights, float(v[-1]), np.append(np.ones(1), np.zeros(WORST + 2)))
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 50) -> np.ndarray:
@@ -389,7 +390,7 @@ def calibrated(machine: Machine, sample: DataFrame, share: float) -> Machine:
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             found = [shared.value.evidence(part) for part in _pieces(batch.column(1))]
-            x = np.concatenate(found) if found else np.empty((0, WORST + 2))
+            x = np.concatenate(found) if found else np.empty((0, WORST + 3))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["toxic", "x"])
 
     rows = sample.select("toxic", "text").mapInArrow(batches, "toxic int, x array<double>").collect()
@@ -397,13 +398,13 @@ def calibrated(machine: Machine, sample: DataFrame, share: float) -> Machine:
     if not 0 < y.sum() < len(y):
         return never()
     weight = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
-    x, use = np.array([r["x"] for r in rows]), np.ones(WORST + 2, bool)
+    x, use = np.array([r["x"] for r in rows]), np.ones(WORST + 3, bool)
     while True:  # a worse word never makes a text better
         mix = np.zeros(len(use))
         mix[use] = logistic(x[:, use], y, weight)
-        if (mix[:WORST] >= 0).all():
+        if (mix[: WORST + 1] >= 0).all():
             return machine._replace(mix=mix)
-        use[np.argmin(mix[:WORST])] = False
+        use[np.argmin(mix[: WORST + 1])] = False
 
 
 def held_out(id_col: str):
