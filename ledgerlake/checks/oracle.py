@@ -336,6 +336,11 @@ ORACLE: dict[str, str] = {
     "salted_join": _SALTED_JOIN,
     "salted_join_counted": _SALTED_JOIN,
     "bronze_trim": _with(_TXN, f"SELECT {_BRONZE}, '{RUN_DATE}' AS ingestion_date FROM txn"),
+    "bronze_by_size": _with(_TXN, f"SELECT {_BRONZE}, '{RUN_DATE}' AS ingestion_date FROM txn"),
+    "schema_mismatches": """SELECT name, said, count(*) AS n FROM lineitem, (VALUES ('bronze', 'ok'),
+      ('no_currency', 'missing columns: [''deposit_currency'']'),
+      ('text', 'wrong types: {''balance_amt'': ''string instead of decimal(18,4)''}')) t(name, said)
+      GROUP BY name, said""",
     "csv_bronze": _with(
         _TXN,
         f"SELECT {_BRONZE}, '{RUN_DATE}' AS ingestion_date FROM txn WHERE l_orderkey % 43 <> 0",

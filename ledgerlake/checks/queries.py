@@ -15,7 +15,7 @@ from ledgerlake.functions.money import DIVIDE
 from ledgerlake.operators import aggregate, asof, changes, enrich, history, joins, project, validate
 from ledgerlake.plans import buckets, daily, warehouse
 from ledgerlake.plans.layout import LakePaths, WarehousePaths
-from ledgerlake.schemas import CHANGES, CHANGES_V1, INGESTION_DATE, RATE, TRANSACTIONS
+from ledgerlake.schemas import BRONZE, CHANGES, CHANGES_V1, INGESTION_DATE, RATE, TRANSACTIONS
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import lake as sink
 from ledgerlake.sources import drift, lake, landing
@@ -364,6 +364,36 @@ def _land_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
 
 
+@registered
+def bronze_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze in files of about 64 KB of raw data each."""
+    paths = LakePaths.under(scratch_path(spark, "sized"))
+    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
+    daily.run_bronze(spark, paths, RUN_DATE, file_bytes=1 << 16)
+    return lake.read_transactions(spark, paths.bronze, RUN_DATE)
+
+
+@registered
+def schema_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the schema check says of bronze, of bronze without a column, and of one with text for
+    amounts, beside the rows of each."""
+    rows = daily.bronze_rows(fx_in.transactions(spark, sf_dir), RUN_DATE)
+    found = []
+    for name, table in (
+        ("bronze", project.conform(rows, BRONZE)),
+        ("no_currency", rows.drop("deposit_currency")),
+        ("text", rows.withColumn("balance_amt", F.col("balance_amt").cast("string"))),
+    ):
+        try:
+            validate.validate_schema(table, BRONZE)
+            said = "ok"
+        except validate.SchemaMismatch as error:
+            said = str(error)
+        found.append(table.select(F.lit(name).alias("name"), F.lit(said).alias("said")))
+    every = found[0].unionAll(found[1]).unionAll(found[2])
+    return every.groupBy("name", "said").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _csv_to_bronze(spark: SparkSession, sf_dir: str) -> LakePaths:
     root = scratch_path(spark, "csv")
     paths = LakePaths.under(root)

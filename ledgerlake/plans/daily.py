@@ -222,10 +222,12 @@ def _rates_of_day(spark: SparkSession, paths: LakePaths, run_date: str) -> DataF
     return fx
 
 
-def _rate_days(txn: DataFrame, max_lag_days: int) -> DataFrame:
-    """(day): the value dates of a batch and the days before them whose rates may serve, as a table."""
+def _rate_days(txn: DataFrame, run_date: str, max_lag_days: int) -> DataFrame:
+    """(day): the value dates of a batch and its own date, and the days before them whose rates may
+    serve, as a table."""
     spark = txn.sparkSession
-    asked = txn.select(known_day("value_date").alias("day")).where("day IS NOT NULL").distinct()
+    own = spark.createDataFrame([(date.fromisoformat(run_date),)], "day date")
+    asked = txn.select(known_day("value_date").alias("day")).where("day IS NOT NULL").unionAll(own).distinct()
     path = scratch_path(spark, "rate-days")
     lag = F.explode(F.sequence(F.lit(0), F.lit(max_lag_days)))
     asked.select("day", lag.alias("lag")).select(F.date_sub("day", F.col("lag")).alias("day")).distinct().write.parquet(path)
@@ -236,7 +238,7 @@ def run_currency_aggregate(
     spark: SparkSession, paths: LakePaths, run_date: str, rate_mode: str = MULTIPLY
 ) -> str:
     """One day's bronze and rates to the per-currency silver table."""
-    txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE.names)
+    txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE)
     fx = _rates_of_day(spark, paths, run_date)
     totals = currency_aggregate(txn, fx, run_date, rate_mode)
     return write_day(totals, paths.currency_agg, run_date)
@@ -250,7 +252,7 @@ def run_silver_detail(
     rate_mode: str = MULTIPLY,
 ) -> str:
     """One day's bronze and rates to the per-transaction silver table."""
-    txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE.names)
+    txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE)
     fx = _rates_of_day(spark, paths, run_date)
     rows = silver_detail(txn, fx, run_date, rate_mode)
     return write_day(rows, paths.detail, run_date, files=files)
@@ -270,8 +272,8 @@ def run_gold(
     `outcome=valid` and `outcome=reject`, so a rerun replaces both together. The counters are
     observed during that write. The rejected rows are then copied to the reject layer.
     """
-    txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE.names)
-    fx = require_unique_rates(read_fx_of_days(spark, paths.fx, _rate_days(txn, max_lag_days)))
+    txn = validate_schema(read_transactions(spark, paths.bronze, run_date), BRONZE)
+    fx = require_unique_rates(read_fx_of_days(spark, paths.fx, _rate_days(txn, run_date, max_lag_days)))
     counters = Observation("gold")
     rows = gold_rows(txn, fx, max_lag_days, rate_mode).observe(counters, *quality_counters())
     outcome = F.when(F.col(REJECT_REASON).isNull(), F.lit("valid")).otherwise(F.lit("reject"))

@@ -127,15 +127,17 @@ def partitions_for(total_bytes: int, target_bytes: int = FILE_BYTES) -> int:
     return max(1, math.ceil(total_bytes / target_bytes))
 
 
-def stored_files(spark: SparkSession, root: str, names: str = "*.parquet") -> DataFrame:
-    """(path, length, partition columns) of the files below `root`, which are listed, not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", names)
-        .option("ignoreMissingFiles", True)
-        .load(root)
-    )
-    return files.drop("content", "modificationTime")
+def stored_files(
+    spark: SparkSession, root: str, names: str = "*.parquet", base: str | None = None
+) -> DataFrame:
+    """(path, length, partition columns) of the files below `root`, which are listed, not read.
+
+    `root` may be a glob of folders below `base`.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("ignoreMissingFiles", True)
+    if base is not None:
+        files = files.option("basePath", base)
+    return files.load(root).drop("content", "modificationTime")
 
 
 def stored_bytes(spark: SparkSession, root: str, names: str = "*.parquet") -> int:
@@ -188,15 +190,20 @@ def compact(
 ) -> None:
     """Rewrite the days [since, until) to a new place with files of about `target_bytes`.
 
-    The stored bytes of each date give its number of files; the rows of a date are spread over
-    that many shuffle keys, so one large date is not rewritten by one task. A long period is done
-    in slices of days with at most `MOST_REDUCERS` files together, so that the shuffle of a slice
-    does not grow with the period; use `compact_day` where a single day has more.
+    Only folders of the period are listed. The stored bytes of each date give its number of files;
+    the rows of a date are spread over that many shuffle keys, so one large date is not rewritten
+    by one task. A long period is done in slices of days with at most `MOST_REDUCERS` files
+    together, so that the shuffle of a slice does not grow with the period; use `compact_day` where
+    a single day has more.
     """
     day = F.col(partition)
+    layout = tuple(f"{partition}={part}" for part in ("%Y-%m-%d", "%Y-%m-*", "%Y-*"))
+    folders = period_folders(source, since, until, layout)
+    stored = find(spark, folders, lambda: stored_files(spark, folders, base=source))
+    if stored is None:
+        return
     sizes = (
-        stored_files(spark, source)
-        .where((day >= since) & (day < until))
+        stored.where((day >= since) & (day < until))
         .groupBy(day.cast("string").alias(partition))
         .agg(F.sum("length").alias("bytes"))
         .select(partition, F.ceil(F.col("bytes") / target_bytes).cast("int").alias("__files"))
