@@ -43,29 +43,46 @@ def inner_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _saturated(scores: np.ndarray) -> np.ndarray:
+    """`search` refuses vectors that could come here."""
     return np.clip(scores, -(1 << 62), 1 << 62).astype(np.int64)
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, v, dim): floor(scale * x) for each component, without rows that take no part."""
+    """(id, v, dim): floor(scale * x) for each component, without rows that take no part. An error
+    if two such vectors may have a score beyond 64 bits."""
     x = F.col(vector_col).cast("array<double>")
     finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
-    small = F.forall(x, lambda e: F.abs(e * float(scale)) < float(1 << 62))
-    taken = F.col(id_col).isNotNull() & x.isNotNull() & finite & small
-    vectors = rows.where(taken).select(
+    taken = rows.where(F.col(id_col).isNotNull() & x.isNotNull() & finite)
+    largest = F.max(F.array_max(F.transform(x, lambda e: F.abs(e * float(scale))))).alias("largest")
+    bounds = taken.agg(largest, F.max(F.size(x)).alias("dim")).first()
+    if bounds["largest"] is not None and (bounds["largest"] + 1) ** 2 * bounds["dim"] >= 2.0**62:
+        raise ValueError(f"scores of components up to {bounds['largest'] / scale:g} do not fit 64 bits")
+    vectors = taken.select(
         F.col(id_col).cast("long").alias("id"), F.transform(x, lambda e: F.floor(e * float(scale))).alias("v")
     )
-    if not vectors.groupBy("id").count().where("count > 1").isEmpty():
-        vectors = vectors.groupBy("id").agg(F.min("v").alias("v"))
     return vectors.withColumn("dim", F.size("v"))
 
 
 def classes_of(vectors: DataFrame, k: int) -> DataFrame:
-    """(class, v, dim, ids, shard): one row for each distinct vector, with its k + 1 smallest ids."""
-    place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    few = vectors.withColumn("place", place).where(F.col("place") <= k + 1)
-    rows = few.groupBy("v", "dim").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    rows = written(rows.withColumn("class", F.col("ids")[0]), "classes")
+    """(class, v, dim, ids, lone, shard): one row for each distinct vector, with its k + 1 smallest ids,
+    and each of these up to k times where rows repeat an id. `lone` says that there is no other id.
+
+    Numbers of classes rise with their smallest id; where all ids differ, they are these ids.
+    """
+    by_id = Window.partitionBy("v").orderBy("id")
+    again = F.row_number().over(Window.partitionBy("v", "id").orderBy("id"))
+    few = vectors.withColumn("place", F.dense_rank().over(by_id)).where(F.col("place") <= k + 1)
+    repeated = not vectors.groupBy("id").count().where("count > 1").isEmpty()
+    if repeated:
+        few = few.withColumn("again", again).where(F.col("again") <= k)
+    rows = few.groupBy("v", "dim").agg(
+        F.sort_array(F.collect_list("id")).alias("ids"), (F.max("place") == 1).cast("int").alias("lone")
+    )
+    number = F.col("ids")[0]
+    if repeated:
+        rows = rows.withColumn("least", number).repartitionByRange("least", "v").sortWithinPartitions("least", "v").drop("least")
+        number = F.monotonically_increasing_id()
+    rows = written(rows.withColumn("class", number), "classes")
     shards = -(-rows.count() // SHARD)
     return rows.withColumn("shard", F.pmod(F.xxhash64("class"), F.lit(max(1, shards))).cast("int"))
 
@@ -100,10 +117,10 @@ def _scores(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray
     columns = dict(zip(batch.schema.names, batch.columns, strict=True))
     flat = lambda cell: cell.values.to_numpy(zero_copy_only=False)
     for i in range(batch.num_rows):
-        query, cls, single = (flat(columns[c][i]) for c in ("query", "class", "single"))
+        query, cls, owner, lone = (flat(columns[c][i]) for c in ("query", "class", "owner", "lone"))
         a, b = (flat(columns[c][i]) for c in ("query_parts", "parts"))
         scores = inner(a.reshape(len(query), -1), b.reshape(len(cls), -1))
-        other = ~((query[:, None] == cls[None, :]) & single.astype(bool)[None, :])
+        other = ~((query[:, None] == owner[None, :]) & lone.astype(bool)[None, :])
         yield columns["block"][i].as_py(), query, cls, scores, other, columns["cutoff"][i] if "cutoff" in columns else None
 
 
@@ -183,17 +200,21 @@ def search(
     """(query, rank, id, score): for each row where `wanted` (a condition on `id`) holds the k rows
     of the highest inner product but itself, all if there are fewer; ties go to the smaller id.
 
-    Components are floor(scale * x). Rows without an id or a vector, with a null, infinite or
-    not-a-number component, or one of 2**62 and more, take no part. Rows that repeat an id count
-    once; of different vectors of one id the smallest counts. Vectors of different dimensions do
-    not meet. Empty vectors score 0 with each other. An empty table gives no rows.
+    Components are floor(scale * x). Rows without an id or a vector, or with a null, infinite or
+    not-a-number component, take no part; components so large that a score might not fit 64 bits
+    are an error. Every other row is a candidate, also if it repeats an id, with the same vector or
+    another; a query does not meet rows of its own id. Of different vectors of a query's id the
+    smallest asks. Vectors of different dimensions do not meet. Empty vectors score 0 with each other.
+    Very long vectors are cut into the same parts as others. An empty table gives no rows. Other
+    columns are not read.
     """
     vectors = written(integer_vectors(rows, id_col, vector_col, scale), "vectors")
     classes = classes_of(vectors, k)
-    queries = written(vectors.where(wanted), "queries")
+    asking = vectors.where(wanted).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    queries = written(asking, "queries")
     blocks_of_queries = max(1, -(-queries.count() // QUERY_BLOCK))
-    nodes = classes.withColumn("single", (F.size("ids") == 1).cast("int"))
-    nodes = written(_parts(nodes, ["dim", "shard"], "class single", blocks), "nodes")
+    nodes = classes.withColumn("owner", F.col("ids")[0])
+    nodes = written(_parts(nodes, ["dim", "shard"], "class owner lone", blocks), "nodes")
     group = F.pmod(F.xxhash64("id"), F.lit(blocks_of_queries)).cast("int")
     asked = queries.withColumn("query", F.col("id")).withColumn("group", group)
 

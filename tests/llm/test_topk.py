@@ -10,16 +10,17 @@ SCHEMA = "vec_id long, embedding array<float>, score string, class string"
 
 
 def slow(rows, k, every=1):
-    whole = {}
+    whole, asking = [], {}
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
         v = [math.floor(1024 * float(np.float32(x))) for x in v]
-        whole[i] = min(whole.get(i, v), v)
+        whole.append((i, v))
+        asking[i] = min(asking.get(i, v), v)
     found = []
-    for q, a in whole.items():
+    for q, a in asking.items():
         if q % every == 0:
-            scores = [(-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in whole.items() if i != q and len(a) == len(b)]
+            scores = [(-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in whole if i != q and len(a) == len(b)]
             found += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(found)
 
@@ -59,3 +60,17 @@ def test_the_query_takes_no_place_of_a_class_that_ties(spark):
     found = run(spark, rows)
     assert found == slow(rows, 4)
     assert [r[2] for r in found if r[0] == 0] == [1, 2, 3, 4]
+
+
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(5, [0.0, 0.0]), (5, [9.0, 9.0]), (5, [9.0, 9.0]), (6, [9.0, 9.0]), (4, [1.0, 1.0]), (10, [1.0, 2.0]), (10, [0.5, 0.5])]
+    rows += [(20 + i % 3, [3.0, 3.0]) for i in range(40)] + [(1, [0.0, 0.0])] * 20
+    for k in (1, 2, 4, 10):
+        assert run(spark, rows, k=k) == slow(rows, k)
+
+
+def test_components_beyond_the_scores_are_an_error(spark):
+    rows = [(1, [1e15, 1.0]), (2, [1.0, 1.0])]
+    with pytest.raises(ValueError, match="64 bits"):
+        run(spark, rows)
+    assert run(spark, [(1, [1e6, 1.0]), (2, [float("inf"), 1.0]), (3, [2.0, 3.0])]) == slow([(1, [1e6, 1.0]), (3, [2.0, 3.0])], 4)
