@@ -83,12 +83,16 @@ def _more_bytes(word: bytes) -> int:
 
 class Symbols:
     """Texts of one language as one row of symbols: three line feeds begin a text, words and the
-    end are marked by blanks."""
+    end are marked by blanks. `before` has the symbols that stand there in place of the line feeds
+    where the first text is the rest of one."""
 
-    def __init__(self, split: list[list[bytes]], order: int):
+    def __init__(self, split: list[list[bytes]], order: int, before: np.ndarray | None = None):
         start = b"\n" * (order - 1)
         joined = "".join((start + b" ".join(words) + b" ").decode() for words in split if words)
         points = np.frombuffer(joined.encode("utf-16-le"), np.uint16).astype(np.int64)
+        if before is not None and len(points):
+            points[: order - 1] = before
+        self.last = points[len(points) - order + 1 :]
         grams = np.zeros(max(0, len(points) - order + 1), np.int64)
         for i in range(order):
             grams = grams << CHAR_BITS | points[i : i + len(grams)]
@@ -120,16 +124,20 @@ def _pieces(
 
 
 def _parts(split: list[list[bytes]], order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Index of the first text, strings of symbols, and where each text's begin. A very long text
-    comes in parts that end at a word; the parts after the first lack its start marks."""
-    short = [w if sum(map(len, w)) <= 4 * PIECE_CHARS else None for w in split]
-    if None not in short:
+    """Index of the first text, strings of symbols, and where each text's begin. A text of more than
+    four `PIECE_CHARS` comes in parts that end at a word; a part begins with the last symbols of the
+    part before it, so its strings are those of the whole text, whatever stands beside it."""
+    sizes = [sum(map(len, w)) for w in split]
+    if max(sizes, default=0) <= 4 * PIECE_CHARS:
         symbols = Symbols(split, order)
         yield -1, symbols.grams, symbols.starts
         return
-    for i, words in enumerate(split):
-        for at in range(0, len(words), PIECE_CHARS // 8):
-            symbols = Symbols([words[at : at + PIECE_CHARS // 8]], order)
+    for i, (words, size) in enumerate(zip(split, sizes, strict=True)):
+        step = PIECE_CHARS // 8 if size > 4 * PIECE_CHARS else max(1, len(words))
+        before = None
+        for at in range(0, len(words), step):
+            symbols = Symbols([words[at : at + step]], order, before)
+            before = symbols.last
             yield i, symbols.grams, symbols.starts
 
 
@@ -485,7 +493,8 @@ def judge(
     Fewer than `MIN_WORDS` words, or more than half of the words in repeated triples, fail the
     base rules. A text is kept if it does not, and its bits lie in the band of its language; the
     band comes from the texts that pass the base rules. Null and empty texts have no words and
-    fail. Null is a language of its own. Repeated rows are judged each. No rows give no rows.
+    fail. Null is a language of its own. Repeated rows are judged each. Very long texts are judged
+    whole, whichever rows stand beside them. No rows give no rows.
     """
     model = stored(train(gram_counts(docs, text_col, lang_col, order), order), order)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +143,47 @@ def test_every_string_is_stored_as_itself_in_as_many_parts_as_it_takes(spark, pa
     found = quality.score(spark.createDataFrame(new, docs.schema).coalesce(1), model, ["text"], "text", "lang").collect()
     for r in found:
         assert r.bits == pytest.approx(bits(r.row.text, "n" if r.lang is None else "l" + r.lang), rel=1e-5)
+
+
+def test_a_long_text_gives_the_strings_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.choice(list(b"abc"), rng.integers(1, 6)).tolist()) for _ in range(900)] + ["\U0001f600é".encode()] * 3
+    texts = [words, words[:40], [], words[100:]]
+    whole = [quality.Symbols([w], quality.ORDER).grams for w in texts]
+    monkeypatch.setattr(quality, "PIECE_CHARS", 200)
+    found = [[] for _ in texts]
+    for i, grams, starts in quality._parts(texts, quality.ORDER):
+        assert i >= 0 and starts.tolist() == ([0] if len(grams) else [])
+        found[i].append(grams)
+    for own, parts in zip(whole, found, strict=True):
+        assert np.array_equal(own, np.concatenate([own[:0], *parts]))
+    assert len(found[0]) > 10 and len(found[1]) == 1
+
+
+def test_bands_equal_medians_and_deviations(spark):
+    rng = np.random.default_rng(4)
+    rows = [(lang, float(x)) for lang, n in (("a", 401), ("b", 37), (None, 5)) for x in rng.normal(12, 2, n).round(3)]
+    rows += [("a", rows[0][1])] * 500 + [("a", None)]
+    found = {r.key: (r.low, r.high) for r in quality.bands(spark.createDataFrame(rows, "lang string, bits double")).collect()}
+    assert len(found) == 3
+    for lang in ("a", "b", None):
+        bins = np.floor(np.array(sorted({x for g, x in rows if g == lang and x is not None})) * 100)
+        middle = np.median(bins)
+        half = max(np.median(np.abs(bins - middle)) / 100 * 1.4826, quality.LEAST_SPREAD) * quality.WIDTH
+        key = "n" if lang is None else f"l{lang}"
+        assert found[key] == pytest.approx(((middle + 0.5) / 100 - half, (middle + 0.5) / 100 + half))
+
+
+def test_both_bands_reject(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'")
+    often = [w for w, _ in Counter(w for r in docs.collect() for w in (r.text or "").lower().split() if w.isalpha()).most_common(12)]
+    rng = np.random.default_rng(5)
+    monotonous = " ".join(rng.choice(often, 200))
+    noise = " ".join("".join(rng.choice(list("qxzvjkw0987"), 14)) for _ in range(200))
+    planted = [(-1, monotonous, "en", "s", 0), (-2, noise, "en", "s", 0)]
+    rows = docs.unionAll(spark.createDataFrame(planted, docs.schema))
+    judged = quality.judge(rows, keep=["doc_id"])
+    found = {r.row.doc_id: r for r in judged.where("row.doc_id < 0").collect()}
+    middle = judged.where("kept").approxQuantile("bits", [0.5], 0.01)[0]
+    assert not any(found[i].base_failed or found[i].kept for i in (-1, -2))
+    assert found[-1].bits < middle < found[-2].bits
