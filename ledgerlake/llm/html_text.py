@@ -336,7 +336,8 @@ def main_text(html: str | None) -> str:
 def extract(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
     """Each row of `pages`: the columns `keep` as a struct `row`, the main `text`, and `n_chars`, its
     code points. A null or empty page and one of nothing but boilerplate have an empty text.
-    Repeated rows stay; an empty table gives no rows."""
+    Very long pages are taken whole. `keep` may name any column. Repeated rows stay; an empty table
+    gives no rows."""
     rows = pages.select(
         F.col(html_col).cast("string").alias("html"), F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")
     )

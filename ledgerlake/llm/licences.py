@@ -119,8 +119,8 @@ def scan(
     empty without any. The score is the largest share of a template's idf found at one place where
     its key phrase stands, 0 without any.
 
-    A null text is empty. Rows without an id and repeated rows are scanned like any other. An empty
-    table gives no rows.
+    A null text is empty. Very long texts are scanned whole. Rows without an id and repeated rows are
+    scanned like any other. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
     words = sorted({w for t in templates for w in t.text.split()})

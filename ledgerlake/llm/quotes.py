@@ -171,8 +171,8 @@ def reply_ordered(
     whose original is known.
 
     Equal rows are one message. Messages of one turn come in the order of role and text, null
-    first. Null conversations are one conversation, null turns come first. A null text is empty. An
-    empty table gives no rows.
+    first. Null conversations are one conversation, null turns come first. A null text is empty. Very
+    long texts are parsed whole. Other columns are not read. An empty table gives no rows.
     """
     given = written(messages(rows, conv_col, turn_col, role_col, text_col), "messages")
     linked = written(links(given), "links")

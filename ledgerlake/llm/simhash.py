@@ -134,7 +134,8 @@ def near_duplicates(
     Rows whose fingerprints differ in at most `distance` bits are linked. Rows of equal text have
     equal fingerprints, so copies are one value in all steps before the last. Texts without words
     are linked with each other. Rows without an id take part; a component without any id has the
-    component null. Repeated rows stay. An empty table gives no rows.
+    component null. Repeated rows stay. Very long texts are taken whole. Other columns are not read,
+    so their names may be those of the result. An empty table gives no rows.
     """
     rows = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     values = rows.groupBy("fp").agg(F.min("id").alias("least"))

@@ -378,7 +378,8 @@ def remove_repeats(
     All strings are judged on the whole input. A null text is empty, and `kept` is then null.
     Rows without an id come after all others. Rows equal in id and text are judged as one row and
     get the same result; of rows with one id and different texts, one counts as the earlier by the
-    hash of its text. Texts shorter than `length` stay. An empty table gives no rows.
+    hash of its text. Texts shorter than `length` stay, very long ones are judged whole. `keep` may name
+    any column. An empty table gives no rows.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),

@@ -368,7 +368,8 @@ def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, predicted) for each row. Labels, languages and ids do not enter the score. A
-    null text scores like an empty one; repeated rows stay; an empty table gives no rows."""
+    null text scores like an empty one; very long texts are scored whole; other columns are not read;
+    repeated rows stay; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # eight megabytes
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
