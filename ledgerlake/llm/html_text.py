@@ -1,7 +1,7 @@
 """Main text of web pages by a minimum cut between content and boilerplate.
 
 A page is cut into blocks of text. Each block gets a log-odds of being content from its tags, names,
-links and text. The odds are capacities from the source or to the sink; blocks next to each other,
+links and text, by a classifier that learns from pages that mark their article. The odds are capacities from the source or to the sink; blocks next to each other,
 and next children of one element, are joined by edges. The cheapest cut that parts source from sink
 labels all blocks at once: a short line keeps the label of its surroundings.
 """
@@ -9,36 +9,34 @@ labels all blocks at once: a short line keeps the label of its surroundings.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Comments, and elements of raw text, which run to the end of the page if they are not closed.
-_RAW = (
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|iframe)(?=[\s/>])"
-    r"[^>]*+(?:(?<=/)>|>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z))"
-)
+# Elements of raw text; they and comments run to the end of the page if they are not closed.
+_RAW = "script style textarea title iframe".split()
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I) for name in _RAW}
 _TAG = re.compile(
-    _RAW + r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<rest>(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|</?[a-z][^>]*+>"
-    r"|<[!?/][^>]*+>",
+    r"<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<rest>(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|(?P<plain></?[a-z][^>]*+>)|<!--|<[!?/][^>]*+>",
     re.S | re.I,
 )
+_UNQUOTED = re.compile(
+    r"<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<rest>[^>]*+)>|(?P<plain></?[a-z][^>]*+>)|<!--|<[!?/][^>]*+>", re.S | re.I
+)
+# Tags whose quotes never close, after which quotes count no more in a page.
+MOST_OPEN_QUOTES = 16
 # Elements that are left out with all they hold if they are closed, those of them that cannot be
 # inside their like, and elements whose end closes those inside.
 _HIDDEN = frozenset("noscript template select svg object canvas audio video".split())
 _SINGLE = frozenset("noscript select audio video".split())
-_NEST = re.compile(
-    _RAW + rf"|<(?P<end>/?)(?P<name>{'|'.join(sorted(_HIDDEN))}|article|main|body)(?=[\s/>])"
-    r"(?P<rest>(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
-    re.S | re.I,
-)
+_NESTED = _HIDDEN | {"article", "main", "body"}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr output picture"
@@ -66,16 +64,38 @@ _OTHERS_NAME = re.compile(
 )
 _STATE_NAME = re.compile(r"(?<![^\s])(?:has|no|with|without|hide|show)[-_]\S+", re.I)
 _WRAPPER_TAGS = frozenset(["form", "fieldset"])
-# Log-odds of a block and weights of edges.
-BASE, CONTENT_TAG, CONTENT_NAME, BOILER = -1.0, 6.0, 2.0, -9.0
-PER_CHAR, MOST_CHARS, SENTENCE, LINKS = 1 / 60, 2.5, 0.5, -4.0
+# What the marks of an element add to the log-odds of its blocks, and what it takes from all blocks
+# of a page that some are marked.
+CONTENT_TAG, CONTENT_NAME, MARKED = 6.0, 2.0, -1.5
+PER_CHAR, MOST_CHARS = 1 / 60, 2.5
+
+
+class Weights(NamedTuple):
+    """Weights of the classifier: log-odds of any block, of boilerplate elements around it (two at
+    most count), its share of links, its length and its end of a sentence. The values here are what
+    holds before any page is seen; `fit` moves them."""
+
+    base: float = 0.5
+    boiler: float = -9.0
+    links: float = -4.0
+    size: float = 1.0
+    sentence: float = 0.5
+
+
+PRIOR = Weights()
+# Pages that the classifier is fitted to, blocks of one page, and how far the weights may move: the
+# variance around `PRIOR`.
+SAMPLE_PAGES, PAGE_BLOCKS, VARIANCE = 2000, 200, 0.25
 NEXT_INSIDE, NEXT_ACROSS, SIBLING = 0.7, 0.3, 0.5
 
 
 class Block(NamedTuple):
+    """`marked` is the log-odds by content elements, `signs` what `Weights` weigh."""
+
     text: str
     parent: int
-    odds: float
+    marked: float
+    signs: tuple[float, ...]
 
 
 class _Element(NamedTuple):
@@ -85,37 +105,66 @@ class _Element(NamedTuple):
     names: str
 
 
+def _scan(html: str) -> Iterator[tuple[int, int, re.Match | None]]:
+    """Begin, end and match of each tag in one forward pass; a comment and an element of raw text are
+    one tag without a match. No tag begins behind the last `>`, but a comment may."""
+    last, at, pattern, open_quotes = html.rfind(">") + 1, 0, _TAG, 0
+    while tag := pattern.search(html, at, last):
+        begin, at = tag.span()
+        if tag["name"]:
+            name = tag["name"].lower()
+            if name not in _RAW_END or tag["end"]:
+                yield begin, at, tag
+                continue
+            if not tag["rest"].endswith("/"):
+                closed = _RAW_END[name].search(html, at, last)
+                at = closed.end() if closed else len(html)
+        elif tag["plain"]:
+            open_quotes += 1
+            if open_quotes > MOST_OPEN_QUOTES:
+                pattern = _UNQUOTED
+        elif html.startswith("<!--", begin):
+            at = html.find("-->", at) + 3
+            if at < 3:
+                at = len(html)
+        yield begin, at, None
+    tail = html.find("<!--", max(at, last))
+    if tail >= 0:
+        yield tail, len(html), None
+
+
 def hidden(html: str) -> dict[int, int]:
     """Where closed elements that are left out begin and end. The end of an element around it, or
     the start of its like if they cannot nest, tells that one is not closed."""
     found: dict[int, int] = {}
     opened: dict[str, list[int]] = {}
-    for tag in _NEST.finditer(html):
-        if tag["name"] is None:
+    for begin, end, tag in _scan(html):
+        name = tag["name"].lower() if tag else ""
+        if name not in _NESTED:
             continue
-        name = tag["name"].lower()
         own = opened.setdefault(name, [])
         if not tag["end"]:
             if name in _SINGLE:
                 own.clear()
             if not tag["rest"].endswith("/"):
-                own.append(tag.start())
+                own.append(begin)
         elif own:
             start = own.pop()
             for other in opened.values():
                 while other and other[-1] > start:
                     other.pop()
             if name in _HIDDEN:
-                found[start] = tag.end()
+                found[start] = end
     return found
 
 
 def _tags(html: str) -> Iterator[tuple[int, int, re.Match | None]]:
-    """Begin, end and match of each tag; a raw or hidden element is one tag without a match."""
+    """As `_scan`, where a hidden element is one tag without a match too."""
     skipped, at = hidden(html), 0
-    while tag := _TAG.search(html, at):
-        at = skipped.get(tag.start(), tag.end())
-        yield tag.start(), at, tag if tag["name"] and tag.start() not in skipped else None
+    for begin, end, tag in _scan(html):
+        if begin >= at:
+            at = skipped.get(begin, end)
+            yield begin, at, None if begin in skipped else tag
 
 
 def blocks_of(html: str) -> list[Block]:
@@ -123,6 +172,7 @@ def blocks_of(html: str) -> list[Block]:
     found: list[tuple[str, int, float]] = []  # text, element, share of links
     elements = [_Element("", 0, 0, "")]
     stack = elements[:]
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked = link_depth = at = 0
 
@@ -155,18 +205,20 @@ def blocks_of(html: str) -> list[Block]:
             link_depth = 0
             continue
         if ends:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == name:
-                    del stack[i:]
+            while opened[name]:
+                closed = stack.pop().name
+                opened[closed] -= 1
+                if closed == name:
                     break
             continue
         if name == "li" and stack[-1].name == "li":
-            stack.pop()
+            opened[stack.pop().name] -= 1
         rest = tag["rest"]
         names = " ".join("".join(found) for found in _NAMES.findall(rest)) if "=" in rest else ""
         elements.append(_Element(name, len(elements), stack[-1].number, names))
         if not rest.endswith("/"):
             stack.append(elements[-1])
+            opened[name] += 1
     if at < len(html):
         parts.append(html[at:])
     close()
@@ -179,12 +231,18 @@ def blocks_of(html: str) -> list[Block]:
     blocks = []
     for text, number, share in found:
         content, boiler = inside[number]
-        odds = BASE + content + BOILER * min(boiler, 2) + LINKS * share
-        odds += min(MOST_CHARS, len(text) * (1 - share) * PER_CHAR) + SENTENCE * (text[-1] in ".!?…:;\"”")
-        blocks.append(Block(text, number, odds))
+        size = min(MOST_CHARS, len(text) * (1 - share) * PER_CHAR)
+        signs = (1.0, float(min(boiler, 2)), share, size, float(text[-1] in ".!?…:;\"”"))
+        blocks.append(Block(text, number, content, signs))
     return blocks
 
 
+def odds_of(blocks: list[Block], weights: Weights = PRIOR) -> list[float]:
+    """Log-odds of being content. In a page that marks no content an unmarked block is likelier to be."""
+    page = MARKED if any(b.marked for b in blocks) else 0.0
+    return [page + b.marked + sum(w * x for w, x in zip(weights, b.signs, strict=True)) for b in blocks]
+
+
 def _wrappers(elements: list[_Element], sizes: list[int]) -> set[int]:
     """Elements around the longest article or main, whose own tag and names tell nothing about what
     they hold, and those like them that hold one too. A wrapper that is named for something else
@@ -327,16 +385,70 @@ def _max_flow_side(odds: list[float], edges: list[tuple[int, int, float]]) -> li
                 break
 
 
-def main_text(html: str | None) -> str:
+def main_text(html: str | None, weights: Weights = PRIOR) -> str:
     blocks = blocks_of(html or "")
-    content = minimum_cut([b.odds for b in blocks], edges_of(blocks))
+    content = minimum_cut(odds_of(blocks, weights), edges_of(blocks))
     return " ".join(b.text for b, own in zip(blocks, content, strict=True) if own)
 
 
-def extract(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
+def labelled_blocks(html: str | None) -> Iterator[tuple[int, tuple[float, ...]]]:
+    """(label, signs) of blocks of a page that has an article or main: content is what it holds, and
+    boilerplate all else. Marked boilerplate inside it tells nothing. Of a page with more than
+    `PAGE_BLOCKS` blocks evenly spaced ones are taken."""
+    blocks = blocks_of(html or "")
+    if any(b.marked >= CONTENT_TAG for b in blocks):
+        for b in blocks[:: -(-len(blocks) // PAGE_BLOCKS)]:
+            inside = b.marked >= CONTENT_TAG
+            if not inside or not b.signs[1]:
+                yield int(inside), b.signs
+
+
+def most_likely(x: np.ndarray, y: np.ndarray, count: np.ndarray, prior: Weights = PRIOR) -> Weights:
+    """The weights of a logistic classifier, normally distributed around `prior` with `VARIANCE`,
+    that are likeliest after rows `x` with labels `y`. Both labels count alike, as 200 rows each."""
+    start = np.array(prior)
+    total = np.array([count[y == label].sum() for label in (0, 1)])
+    if not total.all():
+        return prior
+    count = count * 200 / total[y]
+    w = start.copy()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (count * (y - p)) - (w - start) / VARIANCE
+        step = np.linalg.solve((x * (count * p * (1 - p))[:, None]).T @ x + np.eye(len(w)) / VARIANCE, slope)
+        w += step * min(1.0, 1 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-9:
+            break
+    return Weights(*w.tolist())
+
+
+def fit(pages: DataFrame, html_col: str = "html") -> Weights:
+    """The weights learnt from pages that label their own blocks by an article or main, at most
+    `SAMPLE_PAGES` of them chosen by the hash of their html; `PRIOR` if there are none."""
+    rows = pages.select(F.col(html_col).cast("string").alias("html")).where(F.lower("html").rlike("<(article|main)[\\s/>]"))
+    sample = rows.groupBy(F.xxhash64("html").alias("h")).agg(F.lit(1).alias("one")).orderBy("h").limit(SAMPLE_PAGES)
+    rows = rows.withColumn("h", F.xxhash64("html")).join(F.broadcast(sample), "h", "left_semi").groupBy("h")
+    rows = rows.agg(F.min("html").alias("html"))
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            found = Counter(b for cell in batch.column(0) for b in labelled_blocks(cell.as_py()))
+            y, x = zip(*found, strict=True) if found else ((), ())
+            arrays = [pa.array(y, pa.int32()), pa.array(x, pa.list_(pa.float64())), pa.array(found.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["y", "x", "n"])
+
+    found = rows.select("html").mapInArrow(batches, "y int, x array<double>, n long")
+    found = found.groupBy("y", "x").agg(F.sum("n").alias("n")).orderBy("y", "x").collect()
+    if not found:
+        return PRIOR
+    y, x, n = (np.array([r[c] for r in found]) for c in ("y", "x", "n"))
+    return most_likely(x, y, n.astype(float))
+
+
+def extract(pages: DataFrame, keep: list[str], html_col: str = "html", weights: Weights = PRIOR) -> DataFrame:
     """Each row of `pages`: the columns `keep` as a struct `row`, the main `text`, and `n_chars`, its
     code points. A null or empty page and one of nothing but boilerplate have an empty text.
-    Very long pages are taken whole. `keep` may name any column. Repeated rows stay; an empty table
+    Very long pages are taken whole, in time that grows with their length. `keep` may name any column. Repeated rows stay; an empty table
     gives no rows."""
     rows = pages.select(
         F.col(html_col).cast("string").alias("html"), F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")
@@ -344,7 +456,7 @@ def extract(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFr
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            found = [main_text(cell.as_py()) for cell in batch.column(0)]
+            found = [main_text(cell.as_py(), weights) for cell in batch.column(0)]
             arrays = [batch.column(1), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, ["row", "text", "n_chars"])
 

@@ -92,7 +92,8 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op6_min_cut_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    pages = table(spark, sf_dir, "pages")
+    found = html_text.extract(pages, keep=["page_id", "url"], weights=html_text.fit(pages))
     return found.select("row.page_id", "row.url", "text", "n_chars")
 
 

@@ -1,7 +1,9 @@
 import re
+import time
 from html import unescape
 from itertools import product
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -111,3 +113,54 @@ def test_wrappers_of_the_article_do_not_make_it_boilerplate():
         assert html_text.main_text(f"<div class=has-sidebar>{article}</div>{other}") == text
         page = f"<div id=content><p>{'Long sentences of the page itself. ' * 9}</p></div>{other}"
         assert html_text.main_text(page) == ("Long sentences of the page itself. " * 9).strip()
+
+
+def test_short_pages_without_marks_are_content():
+    assert html_text.main_text("<div><h1>Title</h1><p>Tiny.</p><p>Also tiny.</p></div>") == "Title Tiny. Also tiny."
+    assert html_text.main_text("<ul><li>Mix.</li><li>Bake.</li><li>Eat</li></ul>") == "Mix. Bake. Eat"
+    page = "<nav><a href=x>Home</a></nav><div><p>Tiny.</p></div><footer>All rights reserved.</footer>"
+    assert html_text.main_text(page) == "Tiny."
+
+
+def test_broken_markup_takes_linear_time():
+    for unit in ("<script ", "<a ", "<select ", "<select '", "<a '>", "</script ", "<!-- ", "<a x='>'<"):
+        for tail in ("", ">", '">'):
+            start = time.perf_counter()
+            html_text.main_text("<article>x</article>" + unit * (4_000_000 // len(unit)) + tail)
+            assert time.perf_counter() - start < 10, (unit, tail)
+    start = time.perf_counter()
+    html_text.main_text("<div>" * 200_000 + "</section>" * 200_000)
+    assert time.perf_counter() - start < 10
+    assert html_text.main_text("<article>one <!-- two") == "one"
+    assert html_text.main_text("<article>one <a two") == "one <a two"
+
+
+def test_weights_are_the_likeliest():
+    rng = np.random.default_rng(5)
+    x = np.column_stack([np.ones(300), rng.integers(0, 3, 300), rng.random((300, 2)), rng.integers(0, 2, 300)])
+    y, count = rng.integers(0, 2, 300), rng.integers(1, 4, 300).astype(float)
+
+    def loss(w):
+        n = count * 200 / np.bincount(y, count)[y]
+        own = (n * np.logaddexp(0, np.where(y == 1, -1, 1) * (x @ w))).sum()
+        return own + ((w - np.array(html_text.PRIOR)) ** 2).sum() / (2 * html_text.VARIANCE)
+
+    best = np.array(html_text.most_likely(x, y, count))
+    for i, step in product(range(5), (-0.01, 0.01)):
+        assert loss(best) < loss(best + step * np.eye(5)[i])
+    assert html_text.most_likely(x, np.ones(300, int), count) == html_text.PRIOR
+
+
+def test_weights_learnt_from_marked_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    weights = html_text.fit(pages)
+    assert weights == html_text.fit(pages.repartition(7))
+    assert weights != html_text.PRIOR and weights.boiler < -5
+    assert html_text.fit(pages.limit(0)) == html_text.fit(pages.selectExpr("'<p>x' html")) == html_text.PRIOR
+    for page in pages.collect():
+        article = html_text.main_text(page.html)
+        assert html_text.main_text(page.html, weights) == article
+    bare = [re.sub("</?article>", "", p.html) for p in pages.collect()]
+    alone = [html_text.main_text(p.html) for p in pages.collect()]
+    same = sum(html_text.main_text(p, weights) == text for p, text in zip(bare, alone, strict=True))
+    assert same >= 0.9 * len(bare), same
