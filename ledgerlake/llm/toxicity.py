@@ -3,7 +3,10 @@
 The kernel of two words compares the three-letter subsequences they share, letters within `SPAN`
 places of each other, each weighted by `DECAY` to the power of its span. The start of a word counts
 as a letter. Signs inside a word are gaps, and so are letters put in between, so that spread and
-padded insults stay close to the plain ones. A sentence is as toxic as its worst word. Nyström
+padded insults stay close to the plain ones. A sentence is as toxic as its worst word, so the machine
+is trained on sentences as bags of words: in rounds, each labelled sentence is the row of the word
+that the machine of the round before finds the worst in it. The label is that of a whole document;
+sentences of a toxic one that hold no word that tells are not taken for toxic. Nyström
 landmarks make the kernel a linear map, and as the kernel has explicit subsequences, the trained
 machine is one weight for each of them. The decisions on a text's worst words, the sum of those on
 all its words, and its length make its score, by a logistic fit to labelled texts.
@@ -43,6 +46,8 @@ LEAST_RATIO = 14.0
 # Worst words of a text that count one by one, and the decision below which all words are alike.
 WORST = 3
 FLOOR = -0.5
+# Rounds in which labelled sentences choose their worst words.
+ROUNDS = 4
 # From this score on a text is predicted toxic.
 THRESHOLD = 0.7
 _CHUNK = 1 << 17
@@ -196,11 +201,13 @@ def sentences(text: str) -> Iterator[str]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(toxic, text) of up to `SAMPLE_DOCS` labelled documents of each class, chosen by hash."""
+    """(toxic, text) of up to `SAMPLE_DOCS` labelled documents of each class, chosen by hash. Of an id
+    with several texts the first in order is taken."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     by_hash = [labels.where(F.col("toxic") == x).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS) for x in (0, 1)]
     chosen = by_hash[0].union(by_hash[1])
-    return texts.join(F.broadcast(chosen), "id").select(F.col("toxic").cast("int").alias("toxic"), "text")
+    known = texts.join(F.broadcast(chosen), "id").groupBy("id", F.col("toxic").cast("int").alias("toxic"))
+    return known.agg(F.min("text").alias("text")).select("toxic", "text")
 
 
 def labelled_sentences(sample: DataFrame) -> list[tuple[str, int]]:
@@ -285,50 +292,113 @@ def spread_marks(insults: list[str], least: int) -> list[str]:
     return [insults[i] for i in sorted(chosen)]
 
 
+class Landmarks(NamedTuple):
+    """A word's kernels with the landmarks, times `root`, are its row: products of rows are the
+    Nyström approximation of the kernel. `basis` has the landmarks' weights on the subsequences
+    `known`."""
+
+    known: np.ndarray
+    basis: np.ndarray
+    root: np.ndarray
+
+    @classmethod
+    def of(cls, marks: list[str]) -> Landmarks:
+        words = Words.of(pa.array(marks, pa.large_string()))
+        word, part, weight = words.features(0, len(marks))
+        known, column = np.unique(part, return_inverse=True)
+        basis = np.zeros((len(marks), len(known)))
+        basis[word, column] = weight
+        value, vector = np.linalg.eigh(basis @ basis.T)
+        keep = value > 1e-8 * max(value[-1], 1e-300)
+        return cls(known, basis, vector[:, keep] / np.sqrt(value[keep]))
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """The rows of words, with a one as their last column."""
+        own = Words.of(pa.array(words, pa.large_string()))
+        place = np.full(SYMBOLS**3, -1, np.int32)
+        place[self.known] = np.arange(len(self.known))
+        rows = np.ones((len(words), self.root.shape[1] + 1))
+        for a in range(0, len(words), 2000):
+            b = min(len(words), a + 2000)
+            word, part, weight = own.features(a, b)
+            at = place[part] >= 0
+            dense = np.zeros((b - a, len(self.known)), np.float32)
+            dense[word[at], place[part[at]]] = weight[at]
+            rows[a:b, :-1] = dense @ self.basis.T @ self.root
+        return rows
+
+    def machine(self, v: np.ndarray) -> Machine:
+        """The machine that decides on a word like the product of its row and `v`."""
+        weights = np.zeros(SYMBOLS**3, np.float32)
+        weights[self.known] = self.basis.T @ (self.root @ v[:-1])
+        return Machine(weights, float(v[-1]), np.append(np.ones(1), np.zeros(WORST + 2)))
+
+
+def worst_words(bags: list[list[int]], value: np.ndarray) -> np.ndarray:
+    """For each sentence, numbers of its words, the one of the highest value, the first of equals."""
+    starts = np.cumsum([0, *map(len, bags)])
+    words = np.fromiter((w for bag in bags for w in bag), np.int64, starts[-1])
+    sentence = np.repeat(np.arange(len(bags)), np.diff(starts))
+    order = np.lexsort((np.arange(len(words)), -value[words], sentence))
+    return words[order[starts[:-1]]]
+
+
 def train(sample: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Machine:
     """The machine for labelled sentences, without its `mix`; it finds nothing if they tell no insult
-    from other words."""
+    from other words.
+
+    The first machine is one of words: those that tell, spread and padded, against words of clean
+    sentences. Then a toxic sentence that holds a word that tells is the row of its worst word, and a
+    clean sentence that of its own, with those of earlier rounds; equal rows count as often as there
+    are sentences. It ends when all sentences choose as before.
+    """
     insults, clean = witnesses(sample)
     if not insults or not clean:
         return never()
     by_hash = sorted(clean, key=lambda w: zlib.crc32(w.encode()))[:CLEAN_WORDS]
     marks = spread_marks(insults, landmarks // 2)
     marks += [w for w in by_hash if len(w) > 3][: max(landmarks // 2, landmarks - len(marks))]
-    spread = [padded(w, seed) for w in insults for seed in (1, 2)] + [".".join(w) for w in insults]
-    positive = [*insults, *spread]
-    words = Words.of(pa.array([*marks, *positive, *by_hash], pa.large_string()))
-    n_marks, n = len(marks), len(marks) + len(positive) + len(by_hash)
-    word, part, weight = words.features(0, n_marks)
-    known, column = np.unique(part, return_inverse=True)
-    if not len(known):
+    map_ = Landmarks.of(marks)
+    if not len(map_.known):
         return never()
-    basis = np.zeros((n_marks, len(known)))
-    basis[word, column] = weight
-    place = np.full(SYMBOLS**3, -1)
-    place[known] = np.arange(len(known))
-    value, vector = np.linalg.eigh(basis @ basis.T)
-    keep = value > 1e-8 * value[-1]
-    root = vector[:, keep] / np.sqrt(value[keep])  # times a row of kernels: the landmark map
-    rows = []
-    for a in range(n_marks, n, 2000):
-        b = min(n, a + 2000)
-        word, part, weight = words.features(a, b)
-        own = place[part] >= 0
-        dense = np.zeros((b - a, len(known)), np.float32)
-        dense[word[own], place[part[own]]] = weight[own]
-        rows.append(dense @ basis.T @ root)
-    x = np.hstack([np.concatenate(rows), np.ones((n - n_marks, 1))])
+    spread = {w: [padded(w, 1), padded(w, 2), ".".join(w)] for w in insults}
+    positive = [*insults, *(x for w in insults for x in spread[w])]
+    x = map_.rows(positive + by_hash)
     y = np.where(np.arange(len(x)) < len(positive), 1.0, -1.0)
-    v = squared_hinge(x, y)
-    weights = np.zeros(SYMBOLS**3, np.float32)
-    weights[known] = basis.T @ (root @ v[:-1])
-    return Machine(weights, float(v[-1]), np.append(np.ones(1), np.zeros(WORST + 2)))
-
-
-def squared_hinge(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 50) -> np.ndarray:
-    """Weights of a linear support vector machine with squared hinge loss, by Newton's method.
-    Both classes count alike; the last column of x is the constant and is not penalised."""
-    cost = np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum()))
+    machine = map_.machine(squared_hinge(x, y, np.ones(len(x))))
+    del x
+
+    names = sorted({w for sentence, _ in sample for w in sentence.split()})
+    number = {w: i for i, w in enumerate(names)}
+    bags = ([], [])
+    for sentence, toxic in sample:
+        bag = sorted({number[w] for w in sentence.split()})
+        if bag and (not toxic or any(names[w] in spread for w in bag)):
+            bags[toxic].append(bag)
+    words, before = Words.of(pa.array(names, pa.large_string())), None
+    mild = {number[w] for w in by_hash if w in number}
+    for _ in range(ROUNDS):
+        value = machine.decide(words)
+        chosen = [np.bincount(worst_words(bags[label], value), minlength=len(names)) for label in (0, 1)]
+        if before is not None and all((a == b).all() for a, b in zip(chosen, before, strict=True)):
+            break
+        before = chosen
+        mild |= set(np.flatnonzero(chosen[0]).tolist())
+        bad, good = np.flatnonzero(chosen[1]), np.array(sorted(mild))
+        copies = [(x, chosen[1][w]) for w in bad for x in spread.get(names[w], ())]
+        rows = [*(names[w] for w in bad), *(x for x, _ in copies), *(names[w] for w in good)]
+        count = np.concatenate([chosen[1][bad], [n for _, n in copies], np.maximum(chosen[0][good], 1)])
+        y = np.where(np.arange(len(rows)) < len(bad) + len(copies), 1.0, -1.0)
+        machine = map_.machine(squared_hinge(map_.rows(rows), y, count))
+    return machine
+
+
+def squared_hinge(x: np.ndarray, y: np.ndarray, count: np.ndarray, penalty: float = 1.0, rounds: int = 50) -> np.ndarray:
+    """Weights of a linear support vector machine with squared hinge loss, by Newton's method, for rows
+    that stand for `count` each. Both classes count alike; the last column of x is the constant and is
+    not penalised."""
+    total = np.array([count[y < 0].sum(), count[y > 0].sum()])
+    cost = count * len(y) / (2 * total[(y > 0).astype(int)])
     ridge = np.eye(x.shape[1]) * penalty
     ridge[-1, -1] = 1e-6
     v, before = np.zeros(x.shape[1]), None

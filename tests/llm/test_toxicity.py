@@ -125,3 +125,50 @@ def test_a_rare_insult_is_learnt_beside_many_spellings_of_a_frequent_one():
     machine = tox.train(sorted({*clean, *toxic}))
     found = machine.decide(tox.Words.of(pa.array(["grobbleaa", "wexyq", "дурак", "misolke", "лапша"], pa.large_string())))
     assert (found[:3] > 0).all() and (found[3:] < 0).all()
+
+
+def test_rows_and_decision_equal_the_nystrom_formula_by_brute_force():
+    marks = ["idiot", "worthless", "garden", "window", "trash"]
+    words = ["idxiot", "worth-less", "gardens", "wonder", "", "trashy", "idiot"]
+    slow = lambda a, b: sum(x * slow_features(b).get(t, 0) for t, x in slow_features(a).items())
+    among = np.array([[slow(a, b) for b in marks] for a in marks])
+    with_marks = np.array([[slow(a, b) if a else 0.0 for b in marks] for a in words])
+    expected = with_marks @ np.linalg.pinv(among) @ with_marks.T
+    map_ = tox.Landmarks.of(marks)
+    rows = map_.rows(words)
+    assert np.allclose(rows[:, :-1] @ rows[:, :-1].T, expected, atol=1e-5) and (rows[:, -1] == 1).all()
+    v = np.random.default_rng(1).normal(size=rows.shape[1])
+    decided = map_.machine(v).decide(tox.Words.of(pa.array(words, pa.large_string())))
+    assert np.allclose(decided, rows @ v, atol=1e-5)
+
+
+def test_squared_hinge_counts_rows_and_is_minimal():
+    rng = np.random.default_rng(2)
+    x, y = np.column_stack([rng.normal(size=(60, 3)), np.ones(60)]), np.where(rng.random(60) < 0.4, 1.0, -1.0)
+    count = rng.integers(1, 5, 60)
+
+    def loss(v):
+        cost = count * 60 / (2 * np.where(y > 0, count[y > 0].sum(), count[y < 0].sum()))
+        return (cost * np.maximum(0, 1 - y * (x @ v)) ** 2).sum() + (v[:-1] ** 2).sum() + 1e-6 * v[-1] ** 2
+
+    v = tox.squared_hinge(x, y, count)
+    for step in rng.normal(size=(40, 4)) * 0.01:
+        assert loss(v) <= loss(v + step) + 1e-9
+    # A row that counts n times is the same as n rows, but for the penalty's share.
+    again = tox.squared_hinge(np.repeat(x, count, 0), y.repeat(count), np.ones(count.sum()), penalty=count.sum() / 60)
+    assert np.allclose(v, again, atol=1e-4)
+
+
+def test_sentences_choose_their_worst_words():
+    value = np.array([0.1, 0.9, -1.0, 0.9])
+    bags = [[0, 1, 3], [2], [0, 2], [3, 2]]
+    expected = [max(bag, key=lambda w: (value[w], -w)) for bag in bags]
+    assert tox.worst_words(bags, value).tolist() == expected
+    assert tox.worst_words([], value).tolist() == []
+
+
+def test_an_id_that_repeats_teaches_once(spark):
+    docs = spark.createDataFrame([(2, f"text {i:03d}") for i in range(500)] + [(3, "other")], "doc_id long, text string")
+    known = spark.createDataFrame([(2, 1), (3, 0)], "id long, toxic int")
+    rows = tox.labelled_sample(docs, known, "doc_id", "text").collect()
+    assert sorted(map(tuple, rows)) == [(0, "other"), (1, "text 000")]
