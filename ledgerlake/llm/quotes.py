@@ -11,7 +11,8 @@ message before it. Conversations come in the order of replies: a message, the me
 all that follows from it, then what quotes the message later on.
 
 Rows are numbered in sorted order over all partitions, so that neither a long conversation nor a
-frequent passage has to be in one task.
+frequent passage has to be in one task. A message's place in its conversation's tree is one number,
+however deep the replies are.
 """
 
 from __future__ import annotations
@@ -141,21 +142,45 @@ def _carried(rows: DataFrame, value: Column, name: str, include: bool) -> DataFr
     return joined.withColumn(name, F.coalesce(name, "handed")).drop("part", "value", "handed")
 
 
-def _paths(heads: DataFrame) -> DataFrame:
-    """(head, path) from heads (head, up, steps): the steps from the first message of the
-    conversation on. Doubles the way that is known until all ways end at a first message."""
-    while not heads.where("up is not null").isEmpty():
-        above = heads.select(F.col("head").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"))
-        joined = heads.join(above, "up", "left")
-        heads = written(
-            joined.select(
-                "head",
-                F.col("up2").alias("up"),
-                F.when(F.col("steps2").isNull(), F.col("steps")).otherwise(F.concat("steps2", "steps")).alias("steps"),
-            ),
-            "paths",
-        )
-    return heads.select("head", F.col("steps").alias("path"))
+def _starts(heads: DataFrame) -> DataFrame:
+    """(head, start) from heads (head, up, parent): numbers that order the runs of a conversation, a run
+    before those that answer it, of these those of a later message first.
+
+    A run is entered and left; each of these steps knows the step after it, which is the entry of
+    the first run below or beside, or else the leaving. Doubling the way that is known tells how
+    far each step is from the last one, in as many rounds as the logarithm of a conversation's runs.
+    """
+    below = heads.where("up is not null").withColumn("back", -F.col("parent"))
+    order = ["up", "back", "head"]
+    below = below.repartitionByRange(*order).sortWithinPartitions(*order)
+    below = written(below.select("up", "head", F.monotonically_increasing_id().alias("seq")), "below")
+    beside = _carried(below, F.struct("up", "head"), "before", include=False)
+    beside = beside.select("up", "head", F.when(F.col("before.up") == F.col("up"), F.col("before.head")).alias("prior"))
+    beside = written(beside, "beside")
+    entry = lambda c: F.shiftleft(c, 1)
+    leaving = lambda c: F.shiftleft(c, 1) + 1
+    answered = beside.where("prior is null").select("up", "head")
+    later = beside.where("prior is not null").select("prior", "head")
+    roots = heads.where("up is null")
+    empty = roots.join(answered, roots["head"] == answered["up"], "left_anti")
+    rest = heads.join(empty.select("head"), "head", "left_anti")
+    leaves = rest.join(answered.select(F.col("up").alias("head")), "head", "left_anti")
+    last = beside.select("up", "head").join(later.select(F.col("prior").alias("head")), "head", "left_anti")
+    steps = (
+        answered.select(entry("up").alias("step"), entry("head").alias("after"))
+        .union(later.select(leaving("prior"), entry("head")))
+        .union(leaves.select(entry("head"), leaving("head")))
+        .union(last.select(leaving("head"), leaving("up")))
+        .union(rest.where("up is null").select(leaving("head"), F.lit(None).cast("long")))
+    )
+    steps = written(steps.withColumn("far", F.col("after").isNotNull().cast("long")), "steps")
+    while not steps.where("after is not null").isEmpty():
+        ahead = steps.select(F.col("step").alias("after"), F.col("after").alias("after2"), F.col("far").alias("far2"))
+        joined = steps.join(ahead, "after", "left")
+        far = F.col("far") + F.coalesce("far2", F.lit(0))
+        steps = written(joined.select("step", F.col("after2").alias("after"), far.alias("far")), "steps")
+    found = steps.where("step % 2 = 0").select(F.shiftright("step", 1).alias("head"), (-F.col("far")).alias("start"))
+    return found.union(empty.select("head", F.lit(0).cast("long").alias("start")))
 
 
 def reply_ordered(
@@ -189,17 +214,16 @@ def reply_ordered(
     opening = tree.where("seq = head")
     parents = tree.select(F.col("seq").alias("parent"), F.col("head").alias("up"))
     heads = opening.select("head", "parent").join(parents, "parent", "left")
-    none = F.array().cast("array<long>")
-    steps = F.when(F.col("parent").isNull(), none).otherwise(F.array(F.lit(1), -F.col("parent"), F.col("head")))
-    paths = _paths(written(heads.select("head", "up", steps.alias("steps")), "heads"))
-    keyed = tree.join(paths, "head").withColumn("key", F.concat("path", F.array(F.lit(0).cast("long"), F.col("seq"))))
-    full = given.join(keyed.select("seq", "key", "parent", "n_linked"), "seq")
+    starts = _starts(written(heads.select("head", "up", "parent"), "heads"))
+    keyed = tree.join(starts, "head")
+    full = given.join(keyed.select("seq", "start", "parent", "n_linked"), "seq")
     full = full.join(given.select(F.col("seq").alias("parent"), F.col("turn_id").alias("parent_turn")), "parent", "left")
     quotes = F.size(F.filter("passages", lambda p: p["level"] > 0))
     numbered = written(
         full.select(
             "conv",
-            "key",
+            "start",
+            "seq",
             "conv_id",
             F.col("turn_id").alias("turn"),
             "role",
@@ -208,17 +232,17 @@ def reply_ordered(
             quotes.cast("long").alias("n_quotes"),
             F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
         )
-        .repartitionByRange("conv", "key")
-        .sortWithinPartitions("conv", "key")
+        .repartitionByRange("conv", "start", "seq")
+        .sortWithinPartitions("conv", "start", "seq")
         .withColumn("place", F.monotonically_increasing_id()),
         "numbered",
     ).withColumn("part", F.shiftright("place", 33))
-    runs = numbered.groupBy("conv", "part").agg(F.min("place").alias("start"), F.count(F.lit(1)).alias("n"))
+    runs = numbered.groupBy("conv", "part").agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = runs.select("conv", "part", "start", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    bases = runs.select("conv", "part", "first_place", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     return numbered.join(bases, ["conv", "part"]).select(
         "conv_id",
-        (F.col("place") - F.col("start") + F.col("base")).cast("long").alias("position"),
+        (F.col("place") - F.col("first_place") + F.col("base")).cast("long").alias("position"),
         "turn",
         "role",
         "text",

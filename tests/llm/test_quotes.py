@@ -138,3 +138,14 @@ def test_the_original_in_another_conversation(spark):
     rows = [(1, 0, "a", f"> {line}\nwell"), (1, 1, "b", line), (2, 0, "c", line), (3, 0, "d", line)]
     found = run(spark, rows)
     assert found == slow(rows) and sum(r[-1] for r in found) == 1
+
+
+def test_deep_replies(spark):
+    n = 4000
+    rows = [(1, i, f"word{i}" if i < 2 else f"> word{i - 2}\nword{i}") for i in range(n)]
+    rows += [(2, 0, "root")] + [(2, i, f"> root\nanswer{i}") for i in range(1, 500)]
+    table = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    found = quotes.reply_ordered(table).select("conv_id", "position", "turn").collect()
+    order = {c: [t for _, t in sorted((r.position, r.turn) for r in found if r.conv_id == c)] for c in (1, 2)}
+    assert order[1] == [0, *range(1, n, 2), *range(2, n, 2)]
+    assert order[2] == list(range(500))
