@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.dates import day_reason, known_day, normal_day
+from ledgerlake.functions.dates import day_reason, known_day, names_no_day, normal_day, parsed_day
 from ledgerlake.functions.money import DIVIDE, MULTIPLY
 from ledgerlake.operators.aggregate import currency_totals, price_totals, quality_counters
 from ledgerlake.operators.enrich import (
@@ -57,6 +57,8 @@ from ledgerlake.sources.lake import (
 )
 from ledgerlake.sources.landing import CORRUPT, read_csv, split_corrupt, split_fx_snapshot
 
+_DAY = "__day"  # a row's value date, parsed
+
 
 def currency_aggregate(
     txn: DataFrame, fx: DataFrame, run_date: str, rate_mode: str = MULTIPLY
@@ -105,8 +107,9 @@ def gold_rows(
     row without a date, with text that is none, or with a day that cannot be, is rejected as such.
     """
     checked = with_reject_reason(trim_strings(txn, blank_as_null=True)).transform(mask_pii)
-    reason = F.coalesce(REJECT_REASON, day_reason("value_date"))
-    checked = checked.withColumn(REJECT_REASON, reason).withColumn("value_date", normal_day("value_date"))
+    day, parsed = F.col(_DAY), checked.withColumn(_DAY, parsed_day("value_date"))
+    reason = F.coalesce(REJECT_REASON, day_reason("value_date", day))
+    checked = parsed.withColumns({REJECT_REASON: reason, "value_date": normal_day("value_date", day)}).drop(_DAY)
     sided = checked.transform(add_currency_column).transform(add_amount_column)
     enriched = enrich_by_date(sided, effective_rates(fx, max_lag_days), "left")
     return reject_unknown_currency(enriched).transform(_in_sgd, rate_mode)
@@ -120,12 +123,16 @@ def bronze_rows(raw: DataFrame, run_date: str) -> DataFrame:
     return stamp_ingestion_date(trimmed, run_date)
 
 
-def _unparsed(rows: DataFrame) -> Column:
-    """The first column that bronze cannot take, as a reason; text that is no date counts as well."""
+def checked_rows(raw: DataFrame, run_date: str) -> DataFrame:
+    """`bronze_rows` with the first column that bronze cannot take as a reason, or null; text that is no
+    date counts as well. Dates are parsed once."""
+    rows = stamp_ingestion_date(trim_strings(raw), run_date)
     reason = unparsed_column(rows, BRONZE)
     if "value_date" not in rows.columns:
-        return reason
-    return F.coalesce(reason, F.when(day_reason("value_date") == "bad_date", F.lit("unparsed_value_date")))
+        return rows.withColumn(REJECT_REASON, reason)
+    day, parsed = F.col(_DAY), rows.withColumn(_DAY, parsed_day("value_date"))
+    reason = F.coalesce(reason, F.when(names_no_day("value_date", day), F.lit("unparsed_value_date")))
+    return parsed.withColumns({"value_date": normal_day("value_date", day), REJECT_REASON: reason}).drop(_DAY)
 
 
 def run_fx_ingest(spark: SparkSession, reply_path: str, paths: LakePaths, run_date: str) -> None:
@@ -159,15 +166,12 @@ def run_bronze(
     if file_bytes is not None:
         stored = stored_bytes(spark, f"{paths.raw}/{INGESTION_DATE}={run_date}")
         files = partitions_for(stored, file_bytes)
-    text = bronze_rows(raw, run_date)
-    unparsed = _unparsed(text)
+    checked = checked_rows(raw, run_date)
     counters = Observation("bronze")
-    counted = text.withColumn(REJECT_REASON, unparsed).observe(
-        counters, F.count(F.col(REJECT_REASON)).alias("rejected")
-    )
+    counted = checked.observe(counters, F.count(F.col(REJECT_REASON)).alias("rejected"))
     good = conform(counted.where(F.col(REJECT_REASON).isNull()), BRONZE)
     leaf = write_day(good, paths.bronze, run_date, files=files)
-    rejected = text.withColumn(REJECT_REASON, unparsed).where(F.col(REJECT_REASON).isNotNull())
+    rejected = checked.where(F.col(REJECT_REASON).isNotNull())
     if counters.get["rejected"] == 0:
         rejected = spark.createDataFrame([], rejected.schema)
     write_day(mask_pii(rejected), paths.reject, run_date)
@@ -227,7 +231,9 @@ def _rate_days(txn: DataFrame, run_date: str, max_lag_days: int) -> DataFrame:
     serve, as a table."""
     spark = txn.sparkSession
     own = spark.createDataFrame([(date.fromisoformat(run_date),)], "day date")
-    asked = txn.select(known_day("value_date").alias("day")).where("day IS NOT NULL").unionAll(own).distinct()
+    # A batch has few different texts here; they are parsed, not those of all rows.
+    stated = txn.select("value_date").distinct().select(known_day("value_date").alias("day"))
+    asked = stated.where("day IS NOT NULL").unionAll(own).distinct()
     path = scratch_path(spark, "rate-days")
     lag = F.explode(F.sequence(F.lit(0), F.lit(max_lag_days)))
     asked.select("day", lag.alias("lag")).select(F.date_sub("day", F.col("lag")).alias("day")).distinct().write.parquet(path)
