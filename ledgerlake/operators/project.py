@@ -52,18 +52,18 @@ def mask_pii(df: DataFrame, salt: str | None = None) -> DataFrame:
 def unparsed_column(df: DataFrame, target: T.StructType) -> Column:
     """The name of the first column whose cell `conform` would lose, as `unparsed_<name>`, or null.
 
-    Blank cells are no values, so they are not lost.
+    Blank cells are no values, so they are not lost; nor are cells that have the target's type.
     """
-    present = set(df.columns)
+    types = {field.name: field.dataType for field in df.schema.fields}
     lost = [
         F.when(
             F.col(f.name).isNotNull()
-            & (F.trim(F.col(f.name).cast("string")) != "")
-            & F.col(f.name).try_cast(f.dataType).isNull(),
+            & F.col(f.name).try_cast(f.dataType).isNull()
+            & (F.trim(F.col(f.name).cast("string")) != ""),
             F.lit(f"unparsed_{f.name}"),
         )
         for f in target.fields
-        if f.name in present
+        if types.get(f.name, f.dataType) != f.dataType
     ]
     return F.coalesce(*lost, F.lit(None).cast("string"))
 
