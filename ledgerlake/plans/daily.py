@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -159,18 +160,20 @@ def run_bronze(
     Rows with a cell that does not parse are rejected with its column's name as reason, the account
     masked. They are counted during the write, so that days without any cost no second pass.
 
-    By default each task writes the rows it read. `files` or `file_bytes` (one file per that
-    many raw bytes) ask for a layout of its own, at the cost of a shuffle.
+    By default each task writes the rows it read. `files` asks for so many files, at the cost of a
+    shuffle; `file_bytes` for files of as many rows as that many raw bytes hold, where a task begins
+    a new file whenever one is full, or reads as much as one file holds.
     """
     raw = read_day(spark, paths.raw, run_date)
-    if file_bytes is not None:
-        stored = stored_bytes(spark, f"{paths.raw}/{INGESTION_DATE}={run_date}")
-        files = partitions_for(stored, file_bytes)
-    checked = checked_rows(raw, run_date)
+    checked, file_rows = checked_rows(raw, run_date), None
     counters = Observation("bronze")
     counted = checked.observe(counters, F.count(F.col(REJECT_REASON)).alias("rejected"))
     good = conform(counted.where(F.col(REJECT_REASON).isNull()), BRONZE)
-    leaf = write_day(good, paths.bronze, run_date, files=files)
+    if file_bytes is not None:
+        stored = stored_bytes(spark, f"{paths.raw}/{INGESTION_DATE}={run_date}")
+        sized = partitions_for(stored, file_bytes)
+        good, file_rows = good.coalesce(sized), max(1, math.ceil(raw.count() / sized))
+    leaf = write_day(good, paths.bronze, run_date, files=files, file_rows=file_rows)
     rejected = checked.where(F.col(REJECT_REASON).isNotNull())
     if counters.get["rejected"] == 0:
         rejected = spark.createDataFrame([], rejected.schema)

@@ -25,16 +25,20 @@ def write_day(
     partition: str = INGESTION_DATE,
     files: int | None = None,
     within: tuple[str, ...] = (),
+    file_rows: int | None = None,
 ) -> str:
     """Replace one day of a layer, also when `df` is empty. Returns the day's path.
 
     Writing into the day's folder needs no sort by partition and leaves no rows of an
     earlier run, in none of the folders `within` the day. Without `files` the rows are
-    written where they are, one file per task; a number costs a round-robin shuffle.
+    written where they are, one file per task; a number costs a round-robin shuffle. With
+    `file_rows` no file has more rows than that; a task goes on in another, which costs none.
     """
     leaf = f"{root}/{partition}={run_date}"
     laid_out = df.drop(partition) if files is None else df.drop(partition).repartition(files)
     writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if file_rows is not None:
+        writer = writer.option("maxRecordsPerFile", file_rows)
     (writer.partitionBy(*within) if within else writer).parquet(leaf)
     return leaf
 
