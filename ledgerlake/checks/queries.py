@@ -24,6 +24,7 @@ from ledgerlake.sources.buckets import read_published
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 LANDED_FILES = 16
+LANDED_ROWS = 1_000_000  # of a file, at most
 V2_SINCE = "2024-01-16"
 FIRST_DELIVERY = "2024-01-29"
 FIX_DATE = "1998-12-31"
@@ -76,8 +77,14 @@ def q1_row_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.aggregate_by_currency(project.convert_to_sgd(enriched), RUN_DATE)
 
 
+def _land(raw: DataFrame, paths: LakePaths) -> None:
+    """`LANDED_FILES` files of raw rows or more, without a shuffle."""
+    file_rows = min(LANDED_ROWS, max(1, -(-raw.count() // LANDED_FILES)))
+    sink.write_day(raw, paths.raw, RUN_DATE, file_rows=file_rows)
+
+
 def _land_raw(spark: SparkSession, paths: LakePaths, sf_dir: str) -> None:
-    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
+    _land(fx_in.transactions(spark, sf_dir), paths)
     reply = scratch_path(spark, "reply")
     fx_in.fx_replies(fx_in.fx_rates(spark, sf_dir).where(F.col("run_date") == RUN_DATE)).write.json(reply)
     daily.run_fx_ingest(spark, reply, paths, RUN_DATE)
@@ -327,7 +334,7 @@ def salted_join_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def bronze_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = LakePaths.under(scratch_path(spark, "bronze"))
-    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
+    _land(fx_in.transactions(spark, sf_dir), paths)
     daily.run_bronze(spark, paths, RUN_DATE, files=8)
     return lake.read_transactions(spark, paths.bronze, RUN_DATE)
 
@@ -339,7 +346,7 @@ def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("withdrawal_amt").cast("string")
     comma = F.when(F.col("l_orderkey") % 43 == 0, F.replace(text, F.lit("."), F.lit(","))).otherwise(text)
     raw = fx_in.transactions(spark, sf_dir).withColumn("withdrawal_amt", comma)
-    sink.write_day(raw, paths.raw, RUN_DATE, files=LANDED_FILES)
+    _land(raw, paths)
     daily.run_bronze(spark, paths, RUN_DATE)
     good = lake.read_transactions(spark, paths.bronze, RUN_DATE)
     rejected = lake.read_day(spark, paths.reject, RUN_DATE)
@@ -368,7 +375,7 @@ def _land_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
 def bronze_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze in files of about 64 KB of raw data each."""
     paths = LakePaths.under(scratch_path(spark, "sized"))
-    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
+    _land(fx_in.transactions(spark, sf_dir), paths)
     daily.run_bronze(spark, paths, RUN_DATE, file_bytes=1 << 16)
     return lake.read_transactions(spark, paths.bronze, RUN_DATE)
 
@@ -595,7 +602,7 @@ def gold_odd_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 11 == 0, "+12024-01-01").when(key % 7 == 0, F.date_format(day.cast("date"), " y-M-d"))
     )
     raw = fx_in.transactions(spark, sf_dir).withColumn("value_date", F.coalesce(odd, day))
-    sink.write_day(raw, paths.raw, RUN_DATE, files=LANDED_FILES)
+    _land(raw, paths)
     sink.write_fx(fx_in.fx_rates(spark, sf_dir), paths.fx)
     daily.run_bronze(spark, paths, RUN_DATE)
     daily.run_gold(spark, paths, RUN_DATE)
@@ -638,7 +645,7 @@ def csv_rejects_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch with all transactions through the gold job; counts per outcome and currency."""
     paths = LakePaths.under(scratch_path(spark, "gold"))
-    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
+    _land(fx_in.transactions(spark, sf_dir), paths)
     sink.write_fx(fx_in.fx_rates(spark, sf_dir), paths.fx)
     daily.run_bronze(spark, paths, RUN_DATE)
     daily.run_gold(spark, paths, RUN_DATE)
@@ -653,7 +660,7 @@ def gold_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_reject_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the gold job leaves in the reject layer."""
     paths = LakePaths.under(scratch_path(spark, "gold-rejects"))
-    sink.write_day(fx_in.transactions(spark, sf_dir), paths.raw, RUN_DATE, files=LANDED_FILES)
+    _land(fx_in.transactions(spark, sf_dir), paths)
     sink.write_fx(fx_in.fx_rates(spark, sf_dir), paths.fx)
     daily.run_bronze(spark, paths, RUN_DATE)
     daily.run_gold(spark, paths, RUN_DATE)

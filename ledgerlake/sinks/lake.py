@@ -150,7 +150,11 @@ def stored_bytes(spark: SparkSession, root: str, names: str = "*.parquet") -> in
 
 
 def write_fx(rates: DataFrame, root: str) -> None:
-    """Replace the days of `rates` in the `year=/month=/day=` layout."""
+    """Replace the days of `rates` in the `year=/month=/day=` layout.
+
+    A day is one small file, so it is their number that takes time: they are dealt out by day over
+    the shuffle partitions, and not brought together by size.
+    """
     day = F.col("run_date").cast("date")
     dated = rates.select(
         "base_currency",
@@ -161,7 +165,8 @@ def write_fx(rates: DataFrame, root: str) -> None:
         F.date_format(day, "dd").alias("day"),
     )
     layout = ("year", "month", "day")
-    write_dates(cluster_by_date(dated, *layout), root, *layout)
+    partitions = int(rates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    write_dates(dated.repartition(partitions, *layout), root, *layout)
 
 
 def compact_day(
