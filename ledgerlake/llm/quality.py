@@ -23,7 +23,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import texts, written
+from ledgerlake.llm.common import at_once, texts, written
 from ledgerlake.operators.joins import lookup_join
 
 ORDER = 4
@@ -38,6 +38,8 @@ LEAST_SPREAD = 0.45
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent
 PIECE_CHARS = 1 << 20
+# Texts that a task gets in one batch; the JVM and the worker have each batch in memory, twice with `keep`.
+ROWS_AT_ONCE = 1000
 _SYMBOLS = b"#*$%&|<>"
 _SIGNS = string.punctuation.encode()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -496,9 +498,12 @@ def judge(
     fail. Null is a language of its own. Repeated rows are judged each. Very long texts are judged
     whole, whichever rows stand beside them. No rows give no rows.
     """
-    model = stored(train(gram_counts(docs, text_col, lang_col, order), order), order)
+    with at_once(docs.sparkSession, ROWS_AT_ONCE):
+        trained = train(gram_counts(docs, text_col, lang_col, order), order)
+    model = stored(trained, order)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    scored = written(score(docs, model, keep, text_col, lang_col).withColumn("base_failed", failed), "scored")
+    with at_once(docs.sparkSession, ROWS_AT_ONCE):
+        scored = written(score(docs, model, keep, text_col, lang_col).withColumn("base_failed", failed), "scored")
     limits = written(bands(scored.where("NOT base_failed"), width), "bands")
     judged = lookup_join(scored.withColumn("key", _key(F.col("lang"))), limits, ["key"], "left")
     inside = F.coalesce(F.col("bits").between(F.col("low"), F.col("high")), F.lit(False))

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import quality
@@ -105,6 +106,24 @@ def test_documents_keep_the_clean_and_reject_noise(spark):
     assert sum(noise) <= 0.02 * len(noise)
 
 
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    """The pipeline's first stage held ten thousand texts at a time, twice, in the JVM and in the worker."""
+    seen = []
+    for name in ("gram_counts", "score"):
+        step = getattr(quality, name)
+        monkeypatch.setattr(quality, name, lambda *a, f=step: f(*a).observe(quality_seen(seen, spark), F.count(F.lit(1)).alias("n")))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.range(60).selectExpr("id AS doc_id", "repeat(concat('word', id, ' other '), 40) AS text", "'en' AS lang")
+    judged = quality.judge(docs, keep=docs.columns)
+    assert judged.count() == 60 and seen == [str(quality.ROWS_AT_ONCE)] * 2 and quality.ROWS_AT_ONCE <= 1000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def quality_seen(seen, spark):
+    seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    return Observation(f"seen{len(seen)}")
+
+
 def test_nulls_long_texts_and_clashing_columns(spark):
     schema = "doc_id long, text string, lang string, bits string, kept string"
     rows = [(1, None, None, "b", "k"), (None, "", "en", "b", "k"), (2, "one two " * 30, "en", None, None)]
