@@ -361,7 +361,8 @@ def _met(chunks: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
     """All that a chunk needs, one row after the other within a partition: its texts, and `columns`
     of each of its words that `rows` has, with the word's place in the chunk."""
     asked = chunks.select("chunk", F.posexplode("words").alias("place", "word"))
-    words = asked.join(rows.hint("merge"), "word").select("chunk", "place", *columns)
+    # A partition's rows of the model are fewer than the words asked for, and need no order.
+    words = asked.join(rows.hint("shuffle_hash"), "word").select("chunk", "place", *columns)
     both = words.unionByName(chunks.select("chunk", "texts"), allowMissingColumns=True)
     return both.repartition("chunk").sortWithinPartitions("chunk")
 
@@ -431,7 +432,7 @@ def train(chunks: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> Mode
     # Every known word with its number; rare words have no states of their own.
     numbers = lexicon.where(~F.col("word").startswith(F.lit(b" "))).select("word", "n")
     columns = _share_columns(states)
-    joined = numbers.hint("merge").join(model.rows.drop("n").hint("merge"), "word", "left")
+    joined = numbers.join(model.rows.drop("n").hint("shuffle_hash"), "word", "left")
     zero = F.lit(0).cast("long")
     return model._replace(rows=joined.select("word", "n", *(F.coalesce(c, zero).alias(c) for c in columns)))
 

@@ -153,5 +153,13 @@ def test_rounds_and_states_fit_held_out_texts_better(spark, monkeypatch):
     assert better[1] > better[0] + 30
 
 
+def test_words_meet_the_model_without_a_sort(spark):
+    """Each round sorted the words of all chunks to join them with the model."""
+    chunks = spark.createDataFrame([(0, [b"a", b"b"], b"")], hmm.CHUNK)
+    rows = spark.createDataFrame([(b"a", 50, 1, 2)], "word binary, n long, p0 long, p1 long")
+    plan = hmm._met(chunks, rows, ["n", "p0", "p1"])._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
