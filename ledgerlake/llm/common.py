@@ -17,6 +17,7 @@ from ledgerlake.session import scratch_path
 # Python, bytes.split() cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+DECODED_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -33,8 +34,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table in the shared folder, so that a lost executor costs no earlier step.
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """`df` as a table in the shared folder, so that a lost executor costs no earlier step. `options`
+    are the writer's, with `__` for the dots.
 
     The shuffle files of the write go with it: what follows reads the table.
     """
@@ -42,7 +44,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**{key.replace("__", "."): value for key, value in options.items()}).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
@@ -59,6 +61,18 @@ def at_once(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(BATCH_ROWS, before)
 
 
+@contextmanager
+def decoded_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, actions decode at most so many rows of Parquet at a time: Spark's 4,096 can be a whole
+    file where rows have some megabytes."""
+    before = spark.conf.get(DECODED_ROWS)
+    spark.conf.set(DECODED_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(DECODED_ROWS, before)
+
+
 def block_masks(distance: int, extra: int, bits: int = 64) -> list[list[tuple[int, int]]]:
     """Bit ranges of each pigeonhole key: the ways to keep `extra` of `distance + extra` blocks.
 

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import at_once, texts, written
+from ledgerlake.llm.common import at_once, decoded_at_once, texts, written
 from ledgerlake.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
 
 K = 20
@@ -28,7 +28,8 @@ UNIT = 1_000_000_000  # a posting's impact is below that
 NODE_DOCS = 512
 NODE_TERMS = 100_000  # of all documents of a node, repeats counted, unless one document has more
 BLOCK_ITEMS = 256
-NODES_AT_ONCE = 8  # that a task gets in one batch
+NODES_AT_ONCE = 8  # that a task decodes, and gets in one batch
+TEXTS_AT_ONCE = 1000  # that a task gets in one batch; the JVM and the worker have each batch in memory
 
 _KEPT = bytes(range(0x30, 0x3A)) + bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TERMS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEPT else 0x20 for c in range(256))
@@ -47,12 +48,27 @@ class Index(NamedTuple):
     length: int
 
 
+# Else Parquet looks at the size of its pages and row groups, which are in memory whole, every hundred rows.
+STORED = {"parquet__page__size__row__check__min": "1", "parquet__block__size__row__check__min": "1", "parquet__block__size": str(16 << 20)}
+
+# The lists that are as long as the vocabulary or the postings are packed; only the lexicon needs df.
 NODE = (
     "ids array<long>, strata array<long>, stratum_ends array<int>, terms array<binary>, df array<int>, "
-    "term_ends array<int>, group_stratum array<int>, group_tf array<int>, group_ends array<int>, doc array<int>"
+    "term_groups binary, group_stratum binary, group_tf binary, group_docs binary, doc binary"
 )
 
 
+def _packed(values: np.ndarray) -> pa.Array:
+    """One cell with numbers from 0 in as few bytes as the largest of them needs."""
+    return pa.array([values.astype(np.min_scalar_type(values.max())).tobytes()], pa.binary())
+
+
+def _unpacked(cell: pa.BinaryScalar, number: int) -> np.ndarray:
+    """The numbers of a cell, of which there are so many."""
+    data = cell.as_buffer()
+    return np.frombuffer(data, f"u{data.size // number}").astype(np.int64)
+
+
 def corpus_size(docs: DataFrame, text_col: str) -> tuple[int, int]:
     """How many texts have a term, and how many terms all of them have."""
 
@@ -96,11 +112,11 @@ def _node(ids: list[int | None], words: list[list[bytes]], documents: int, lengt
         "stratum_ends": cell(np.cumsum(per_stratum).astype(np.int32), pa.int32()),
         "terms": cell(found.dictionary, None),
         "df": cell(per_term.astype(np.int32), pa.int32()),
-        "term_ends": cell(np.cumsum(groups_of_term).astype(np.int32), pa.int32()),
-        "group_stratum": cell(own[new].astype(np.int32), pa.int32()),
-        "group_tf": cell(tf[new].astype(np.int32), pa.int32()),
-        "group_ends": cell(np.append(new[1:], len(doc)).astype(np.int32), pa.int32()),
-        "doc": cell(doc.astype(np.int32), pa.int32()),
+        "term_groups": _packed(groups_of_term),
+        "group_stratum": _packed(own[new]),
+        "group_tf": _packed(tf[new]),
+        "group_docs": _packed(np.diff(new, append=len(doc))),
+        "doc": _packed(doc),
     }
     return pa.RecordBatch.from_arrays(list(cells.values()), list(cells))
 
@@ -108,7 +124,8 @@ def _node(ids: list[int | None], words: list[list[bytes]], documents: int, lengt
 def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
     """The index of all texts that have a term, as a written table. Tasks index the rows they read,
     so no text is shuffled; what is stored has about the size of the texts."""
-    documents, length = corpus_size(docs, text_col)
+    with at_once(docs.sparkSession, TEXTS_AT_ONCE):
+        documents, length = corpus_size(docs, text_col)
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, words, size = [], [], 0
@@ -127,7 +144,8 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> In
             yield _node(ids, words, documents, length)
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return Index(written(rows.mapInArrow(batches, NODE), "index"), documents, length)
+    with at_once(docs.sparkSession, TEXTS_AT_ONCE):
+        return Index(written(rows.mapInArrow(batches, NODE), "index", **STORED), documents, length)
 
 
 def weighted_items(index: Index, items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -148,8 +166,9 @@ def weighted_items(index: Index, items: DataFrame, id_col: str, text_col: str) -
     asked = written(asked.groupBy("key", "item", "term").agg(F.count(F.lit(1)).alias("n")), "asked")
     # Of the vocabulary only the asked terms are counted.
     held = index.nodes.select(F.explode(F.arrays_zip("terms", "df")).alias("t")).select("t.terms", "t.df")
-    held = lookup_join(held.withColumnRenamed("terms", "term"), asked.select("term").distinct(), ["term"])
-    lexicon = written(held.groupBy("term").agg(F.sum("df").alias("df")), "lexicon")
+    with decoded_at_once(items.sparkSession, NODES_AT_ONCE):
+        held = lookup_join(held.withColumnRenamed("terms", "term"), asked.select("term").distinct(), ["term"])
+        lexicon = written(held.groupBy("term").agg(F.sum("df").alias("df")), "lexicon")
     ratio = F.lit(2.0 * index.documents + 2) / (2 * F.col("df") + 1).cast("double")
     weight = F.floor(F.lit(1000.0) * F.log(ratio)) * F.col("n")
     return asked.join(lexicon, "term").select("key", "item", "term", weight.cast("long").alias("weight"))
@@ -159,14 +178,16 @@ class _Node:
     """A node's arrays, with the impact of each group."""
 
     def __init__(self, row: dict[str, pa.Scalar]):
-        array = {c: row[c].values.to_numpy(zero_copy_only=False) for c in row if c not in ("terms", "ids")}
         self.ids, self.terms = row["ids"].values, row["terms"].values
-        self.stratum_ends, self.doc = array["stratum_ends"], array["doc"]
-        self.term_ends, self.group_ends = array["term_ends"], array["group_ends"]
+        strata, self.stratum_ends = (row[c].values.to_numpy(zero_copy_only=False) for c in ("strata", "stratum_ends"))
+        self.term_ends = np.cumsum(_unpacked(row["term_groups"], len(self.terms)))
+        groups = self.term_ends[-1]
+        self.group_ends = np.cumsum(_unpacked(row["group_docs"], groups))
+        self.doc = _unpacked(row["doc"], self.group_ends[-1])
         self.term_starts = np.concatenate([[0], self.term_ends[:-1]])
         self.group_starts = np.concatenate([[0], self.group_ends[:-1]])
-        self.stratum, tf = array["group_stratum"], array["group_tf"].astype(np.int64)
-        self.impact = (UNIT * tf) // (1000 * tf + 12 * array["strata"][self.stratum])
+        self.stratum, tf = _unpacked(row["group_stratum"], groups), _unpacked(row["group_tf"], groups)
+        self.impact = (UNIT * tf) // (1000 * tf + 12 * strata[self.stratum])
         # The last group of a term and stratum has the highest tf.
         self.top = np.append(np.diff(self.stratum) != 0, True)
         self.top[self.term_ends - 1] = True
@@ -275,14 +296,14 @@ def search(
     )
     grouped = written(grouped.select("block", "e.key", "e.term", "e.weight"), "blocks")
     rounds = -(-measured_bytes(weighted) // limit)
-    found = None
+    spark, found = grouped.sparkSession, None
     for n in range(rounds):
         own = grouped.where(F.pmod("block", F.lit(rounds)) == n)
-        with at_once(grouped.sparkSession, NODES_AT_ONCE):
-            part = written(_found(index.nodes.crossJoin(F.broadcast(own)), k), "found")
+        with at_once(spark, NODES_AT_ONCE), decoded_at_once(spark, NODES_AT_ONCE):
+            part = written(_found(index.nodes.drop("df").crossJoin(F.broadcast(own)), k), "found")
         found = part if found is None else found.unionAll(part)
     if found is None:
-        found = grouped.sparkSession.createDataFrame([], "key long, id long, score long")
+        found = spark.createDataFrame([], "key long, id long, score long")
     order = Window.partitionBy("key").orderBy(F.desc("score"), F.asc_nulls_last("id"))
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     named = weighted.select("key", "item").distinct()

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from ledgerlake.llm import lexical
@@ -83,6 +84,51 @@ def test_visits_follow_the_bounds():
     assert cutoff[0] == best[1] and (found[0] > 0).sum() < len(words_of)
 
 
+def test_texts_and_nodes_come_in_small_batches(spark, monkeypatch):
+    """Ten thousand texts were handed over at a time, and the nodes of a whole file decoded at once."""
+    names, seen, stored = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"), {}, lexical.written
+
+    def written(df, name, **options):
+        seen[name] = [int(spark.conf.get(x)) for x in names]
+        return stored(df, name, **options)
+
+    monkeypatch.setattr(lexical, "written", written)
+    before = [spark.conf.get(x) for x in names]
+    docs, items = corpus(4)
+    assert run(spark, docs, items) == slow(docs, items, 4)
+    assert seen["index"][0] <= 1000 and seen["lexicon"][1] <= 8 and max(seen["found"]) <= 8
+    assert [spark.conf.get(x) for x in names] == before
+
+
+def test_nodes_are_packed():
+    # Groups and postings had four bytes for each number, and a Parquet level for each when decoded.
+    rng = random.Random(5)
+    words_of = [[b"%d" % rng.randrange(5000) for _ in range(rng.randint(1, 400))] for _ in range(300)]
+    node = lexical._node(list(range(300)), words_of, 300, sum(map(len, words_of)))
+    postings = sum(len(set(words)) for words in words_of)
+    rest = sum(node.column(name).nbytes for name in node.schema.names if name not in ("ids", "terms", "df"))
+    assert rest < 6 * postings
+    loaded = lexical._Node({name: node.column(name)[0] for name in node.schema.names})
+    assert len(loaded.doc) == postings and loaded.group_ends[-1] == postings
+
+
+def test_few_large_nodes_are_cut_into_row_groups(spark, monkeypatch):
+    # Parquet looked at sizes every hundred rows, so that less than a hundred nodes were one page and row group.
+    monkeypatch.setattr(lexical, "NODE_DOCS", 5)
+    monkeypatch.setitem(lexical.STORED, "parquet__block__size", "50000")
+    rows = spark.range(100).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 500), i -> hex(xxhash64(id, i)))) AS text")
+    index = lexical.build(rows.coalesce(1))
+    files = [pq.ParquetFile(name.removeprefix("file://")).metadata for name in index.nodes.inputFiles()]
+    assert sum(f.num_rows for f in files) == 20 and max(f.num_row_groups for f in files) > 5
+
+
+@pytest.mark.parametrize("most", [0, 255, 256, 65535, 65536, 2**32])
+def test_packed_numbers_come_back(most):
+    for values in ([most], [0, 1, most]):
+        (cell,) = lexical._packed(np.array(values, np.int64))
+        assert lexical._unpacked(cell, len(values)).tolist() == values
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a")]) == Counter()
     assert run(spark, [(1, "a")], []) == Counter()
